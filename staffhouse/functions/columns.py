@@ -66,6 +66,16 @@ def minutes_to_hhmm(c: ColumnOrName) -> Column:
                   F.format_string("%02d:%02d", F.floor(n / 60).cast("int"), (n % 60).cast("int")))
 
 
+def minutes_to_hours(c: ColumnOrName) -> Column:
+    """``hhmm_to_hours(minutes_to_hhmm(n))`` without the text round trip: the text is
+    5 characters exactly when 0 <= n < 6000, hours and the minute fraction are each
+    rounded to 2 decimals."""
+    n = _c(c)
+    hours = F.floor(n / 60).cast("int").cast("decimal(5,2)")
+    minutes = ((n % 60).cast("decimal(10,0)") / F.lit(60)).cast("decimal(5,2)")
+    return F.when((n >= 0) & (n < 6000), (hours + minutes).cast("decimal(6,2)"))
+
+
 # ---------------------------------------------------------------- PostgreSQL string semantics
 
 def pg_left(c: ColumnOrName, n: ColumnOrName | int) -> Column:

@@ -81,6 +81,29 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | Non
     return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
+def first_per_key_generated(base: DataFrame, generate, base_keys: Sequence[str], out_keys: Sequence[str],
+                            order: Sequence[str] | None = None) -> DataFrame:
+    """``first_per_key(generate(base), out_keys, order)`` where ``generate`` turns every
+    base row into rows that are distinct among themselves on ``out_keys`` (a series)
+    and ``base_keys`` are the base-level columns that ``out_keys`` are derived from.
+
+    Generated rows can only collide when their base rows share ``base_keys``. The
+    base rows are counted per ``base_keys`` (a small aggregate before the explosion);
+    rows of unique base keys are generated without any shuffle, and only the colliding
+    remainder goes through the ``first_per_key`` aggregate. Exact for any data.
+    """
+    keys = list(base_keys)
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_dup_n"))
+    cond = None
+    for k in keys:
+        c = base[k].eqNullSafe(counts[k])
+        cond = c if cond is None else cond & c
+    marked = base.join(counts, cond, "inner").select(base["*"], counts["_dup_n"])
+    single = generate(marked.where(F.col("_dup_n") == 1).drop("_dup_n"))
+    multi = first_per_key(generate(marked.where(F.col("_dup_n") > 1).drop("_dup_n")), out_keys, order)
+    return single.unionByName(multi.select(*single.columns))
+
+
 # ---------------------------------------------------------------- pivot / unpivot
 
 def column_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
@@ -138,29 +161,66 @@ def split_lines(df: DataFrame, col: str, as_: str, sep: str = "\n") -> DataFrame
     return df.select(*rest, F.explode(F.split(F.col(col), sep)).alias(as_))
 
 
-def month_series_array(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Dates from ``start`` to ``end`` in steps of one month, each step added to the
-    previous value (Jan 31 -> Feb 29 -> Mar 29, as the warehouse's generate_series).
-    ``end < start`` gives an empty array."""
-    s, e = _c(start), _c(end)
-    n_months = (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
-    simple = F.sequence(s, e, F.expr("INTERVAL 1 MONTH"))
-    folded = F.filter(
-        F.aggregate(
-            F.sequence(F.lit(1), F.greatest(n_months, F.lit(1))),
-            F.array(s),
-            lambda acc, _i: F.concat(acc, F.array(F.add_months(F.element_at(acc, -1), 1))),
-        ),
-        lambda d: d <= e,
-    )
-    return (F.when(s.isNull() | e.isNull() | (e < s), F.array().cast(T.ArrayType(T.DateType())))
-             .when(F.dayofmonth(s) <= 28, simple)
-             .otherwise(folded))
-
-
-def month_series(df: DataFrame, start: str, end: str, as_: str = "date") -> DataFrame:
-    """One row per month from ``start`` to ``end`` for every input row."""
-    return df.withColumn(as_, F.explode(month_series_array(start, end)))
+def _first_offset_to(month_set: set[int]) -> list[int]:
+    """For a start month 1..12, the number of months until the next month in ``month_set``."""
+    return [next(j for j in range(1, 13) if ((m0 - 1 + j) % 12) + 1 in month_set) for m0 in range(1, 13)]
+
+
+# months with 30 days; their distance from every start month is derived by rule
+_THIRTY_DAY_MONTHS = {4, 6, 9, 11}
+
+
+def _is_leap(y: Column) -> Column:
+    return ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+
+
+def month_step(start: ColumnOrName, k: ColumnOrName) -> Column:
+    """The k-th value of a monthly series that adds one month to the *previous* value
+    (Jan 31 -> Feb 29 -> Mar 29 -> ...), in closed form.
+
+    The day of step k is the running minimum of the start day and the lengths of the
+    months passed so far. Month lengths are 28-31, so the running minimum only drops at
+    the first 30-day month, the first February and the first non-leap February after
+    the start; their offsets come from the start month and year.
+    """
+    s, k = _c(start), _c(k)
+    m0, y0, day0 = F.month(s), F.year(s), F.dayofmonth(s)
+    j30 = F.element_at(F.array(*[F.lit(v) for v in _first_offset_to(_THIRTY_DAY_MONTHS)]), m0)
+    j_feb = ((F.lit(2) - m0 + 11) % 12) + 1
+    y_feb = y0 + F.floor((m0 - 1 + j_feb) / 12).cast("int")
+    feb_leap = _is_leap(y_feb)
+    feb_days = F.when(feb_leap, 29).otherwise(28)
+    j_non_leap = F.when(feb_leap, j_feb + 12).otherwise(j_feb)
+    day = F.least(day0, F.when(k >= j30, 30).otherwise(31), F.when(k >= j_feb, feb_days).otherwise(31),
+                  F.when(k >= j_non_leap, 28).otherwise(31))
+    first = F.add_months(F.trunc(s, "month"), k.cast("int"))
+    return F.make_date(F.year(first), F.month(first), day)
+
+
+def spread(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Hash-repartition a (small) input by a unique key before a row-multiplying
+    generator. Without it the generator runs in however few partitions the input has
+    after AQE coalesced it by *its* size, so a handful of tasks produce all output rows.
+    A downstream aggregate keyed by a superset of ``keys`` needs no further exchange."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
+def month_series(df: DataFrame, start: str, end: str, as_: str = "date",
+                 spread_by: Sequence[str] | None = None) -> DataFrame:
+    """One row per month from ``start`` to ``end`` for every input row, each step added
+    to the previous value (the warehouse's generate_series). ``end < start`` gives no
+    rows. Rows are generated in the task that owns the input row and every date is a
+    scalar expression (whole-stage codegen, no array folds). ``spread_by`` spreads the
+    input rows over the shuffle partitions first (see ``spread``)."""
+    if spread_by:
+        df = spread(df, spread_by)
+    s, e = F.col(start), F.col(end)
+    n = (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
+    steps = df.withColumn("_k", F.explode(F.when(s.isNotNull() & e.isNotNull() & (e >= s),
+                                                 F.sequence(F.lit(0), n))))
+    out = steps.withColumn(as_, month_step(start, "_k"))
+    return out.where(F.col(as_) <= F.col(end)).drop("_k")
 
 
 def date_spine(df: DataFrame, start: str, end: str, as_: str = "date") -> DataFrame:

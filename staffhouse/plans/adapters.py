@@ -159,19 +159,21 @@ def lunchit_export(lineitem: DataFrame) -> DataFrame:
 def troi_export(events: DataFrame) -> DataFrame:
     """Time-tracking export rows (all text). One row per event; 'signup' rows become
     summary rows that the day-row filter removes."""
-    v = F.floor("value").cast("bigint")
-    et = F.col("event_type")
-    start = F.hour("ts") * 60 + F.minute("ts")
-    brk_len = v % 50
 
     def hhmm(m):
         return F.format_string("%02d:%02d", F.floor(m / 60).cast("int"), (m % 60).cast("int"))
 
-    first = F.format_string("%s - %s", hhmm(start), hhmm((start + brk_len) % 1440))
-    second = F.format_string("%s - %s", hhmm((start + 60) % 1440), hhmm((start + 75) % 1440))
-    breaks = (F.when(et == "click", F.concat(first, F.lit("\n"), second))
+    # staged projections: shared parts are computed once per row
+    base = events.select("ts", "user_id", "value", F.col("event_type").alias("et"),
+                         F.floor("value").cast("bigint").alias("v"),
+                         (F.hour("ts") * 60 + F.minute("ts")).alias("st"))
+    v, et, start = F.col("v"), F.col("et"), F.col("st")
+    parts = base.select("*",
+                        F.format_string("%s - %s", hhmm(start), hhmm((start + v % 50) % 1440)).alias("b1"),
+                        F.format_string("%s - %s", hhmm((start + 60) % 1440), hhmm((start + 75) % 1440)).alias("b2"))
+    breaks = (F.when(et == "click", F.concat(F.col("b1"), F.lit("\n"), F.col("b2")))
                .when(et == "purchase", F.lit(""))
-               .otherwise(first))
+               .otherwise(F.col("b1")))
     work = (F.when(et == "view", F.lit(""))
              .when(et == "error", F.format_string("%d:%02d", (v % 10).cast("int"), F.minute("ts")))
              .otherwise(F.format_string("%02d:%02d", (v % 12).cast("int"), F.minute("ts"))))
@@ -185,7 +187,7 @@ def troi_export(events: DataFrame) -> DataFrame:
         F.concat((v % 3).cast("string"), F.lit(",00 / "), (v % 9 + 2).cast("string"), F.lit(",50")))
     monat = F.when(et == "signup", F.lit("Summe")).otherwise(
         F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(" 00:00:00")))
-    return events.select(
+    return parts.select(
         monat.alias("Monat"), F.date_format("ts", "HH:mm").alias("Checked_In"), F.lit("").alias("Checked_Out"),
         breaks.alias("Pausenzeiten"), work.alias("Arbeitszeit"), _comma(F.col("value")).alias("erfasste_Stunden"),
         urlaub.alias("Urlaub__PT___Std__"), krank.alias("krank__PT___Std__"), kurz.alias("Kurzarbeit__PT___Std__"),

@@ -12,9 +12,11 @@ from ..functions import columns as C
 from ..functions import measures as MS
 from ..operators import quality as Q
 from ..operators import relational as R
+from ..session import materialise
 from ..sources import readers as S
 from ..streaming import anonymise as E
 from . import adapters as A
+from . import checks as K
 from . import marts as M
 from . import oracle as O
 
@@ -41,7 +43,10 @@ class Lineage:
     @cached_property
     def dim_employees(self): return M.dim_employees(self.terminated, self.active, self.contracts_base)
     @cached_property
-    def filled(self): return M.fill_contract_dates(self.contracts_base, self.dim_employees, F.lit(A.AS_OF_ORDERS).cast("date"))
+    def filled(self):
+        # read by salary, benefit and checks: stored once under the shared checkpoint folder
+        return materialise(M.fill_contract_dates(self.contracts_base, self.dim_employees,
+                                                 F.lit(A.AS_OF_ORDERS).cast("date")), "fill_contract_dates")
     @cached_property
     def salary(self): return M.salary_payment(self.filled)
     @cached_property
@@ -67,7 +72,9 @@ class Lineage:
     @cached_property
     def inflation(self): return M.inflation_payment(self.mapped_custom, self.labels)
     @cached_property
-    def payments(self): return M.fct_payments(self.salary, self.lunchit_pay, self.inflation, self.benefit)
+    def payments(self):
+        return M.fct_payments(self.salary, self.lunchit_pay, self.inflation, self.benefit,
+                              materialise=lambda df: materialise(df, "payments_union"))
     @cached_property
     def troi(self): return M.processed_troi(A.troi_export(self.t("events")))
     @cached_property
@@ -283,6 +290,53 @@ def q_employee_measures(spark, d):
         MS.birthday_in_year("birthdate", F.year(a)).alias("birthday_this_year"))
 
 
+# model name -> (lineage builder, oracle CTE)
+_SUITE_MODELS = {
+    "factorial_active_employees": (lambda l: l.active, "active"),
+    "factorial_compensation": (lambda l: l.comp_base, "comp_base"),
+    "factorial_contracts": (lambda l: l.contracts_base, "contracts_base"),
+    "factorial_custom_tables": (lambda l: M.base_custom_tables(A.custom_tables(l.spark)), "custom_tables"),
+    "factorial_custom_tables_col": (lambda l: M.base_custom_tables_col(A.custom_columns(l.spark)), "custom_cols"),
+    "factorial_custom_tables_val": (lambda l: M.base_custom_tables_val(A.custom_values(l.t("part"))),
+                                    "custom_vals_model"),
+    "factorial_teams": (lambda l: M.base_teams(A.teams(l.t("customer"))), "teams_src"),
+    "factorial_terminated_employees": (lambda l: l.terminated, "terminated"),
+    "mood_survey_answers": (lambda l: M.mood_survey_answers(A.mood_answers(l.t("orders"))), "mood_answers"),
+    "processed_lunchit": (lambda l: l.lunchit, "lunchit"),
+    "processed_troi": (lambda l: l.troi, "troi"),
+    "factorial_map_custom_tables": (lambda l: l.mapped_custom, "mapped_custom"),
+    "factorial_unpack_custom_table_val": (lambda l: l.unpacked, "unpacked"),
+    "map_names_troi": (lambda l: l.troi_mapped, "troi_mapped"),
+    "industrial_working_hours": (lambda l: l.iwh, "iwh"),
+    "industrial_break_time": (lambda l: l.breaks, "breaks"),
+    "cleaned_absences": (lambda l: l.cleaned, "cleaned"),
+    "fill_contract_dates": (lambda l: l.filled, "filled"),
+    "salary_payment": (lambda l: l.salary, "salary"),
+    "benefit_payment": (lambda l: l.benefit, "benefit"),
+    "inflation_payment": (lambda l: l.inflation, "inflation"),
+    "lunchit_payment": (lambda l: l.lunchit_pay, "lunchit_pay"),
+    "dim_contracts": (lambda l: M.dim_contracts(l.contracts_base, l.dim_employees,
+                                                F.lit(A.AS_OF_ORDERS).cast("date")), "contracts_dim"),
+    "dim_date_table": (lambda l: M.dim_date_table(l.dim_employees, F.lit(A.AS_OF_ORDERS).cast("date")), "date_dim"),
+    "dim_employees": (lambda l: l.dim_employees, "dim_employees"),
+    "dim_name_mapping": (lambda l: M.dim_name_mapping(l.mapping), "name_mapping_dim"),
+    "dim_teams": (lambda l: M.dim_teams(M.base_teams(A.teams(l.t("customer")))), "teams_dim"),
+    "fct_absence_length": (lambda l: M.fct_absence_length(l.cleaned), "islands"),
+    "fct_absences": (lambda l: M.fct_absences(l.cleaned), "absences"),
+    "fct_mood_survey": (lambda l: M.fct_mood_survey(M.mood_survey_answers(A.mood_answers(l.t("orders")))), "mood"),
+    "fct_payments": (lambda l: l.payments, "payments"),
+    "fct_pto_entitlement": (lambda l: M.fct_pto_entitlement(l.mapping, l.cleaned), "pto"),
+    "fct_trainings": (lambda l: M.fct_trainings(l.mapped_custom, l.labels), "trainings"),
+    "fct_working_hours": (lambda l: M.fct_working_hours(l.cleaned, l.breaks), "working"),
+}
+
+
+def q_dq_declared_suite(spark, d):
+    """All declared model tests over the marts built from the driver tables."""
+    lin = _l(spark, d)
+    return Q.run_checks(K.declared_suite({name: build(lin) for name, (build, _) in _SUITE_MODELS.items()}))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_end_dates": q_contract_end_dates,
     "salary_months": q_salary_months,
@@ -324,6 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_contracts_dim": q_dq_contracts_dim,
     "dq_foreign_keys": q_dq_foreign_keys,
     "employee_measures": q_employee_measures,
+    "dq_declared_suite": q_dq_declared_suite,
 }
 
 
@@ -528,4 +583,6 @@ where Monat > lo and Monat < hi""",
     "dq_contracts_dim": O.sql(_CHECKS_CONTRACTS, "contracts_dim"),
     "dq_foreign_keys": O.sql(_CHECKS_FK, "payments", "filled", "dim_employees"),
     "employee_measures": O.sql(_MEASURES, "dim_employees"),
+    "dq_declared_suite": O.sql(K.declared_sql({m: c for m, (_, c) in _SUITE_MODELS.items()}),
+                               *[c for _, c in _SUITE_MODELS.values()]),
 }

@@ -160,11 +160,13 @@ def break_hours(iwh: DataFrame) -> DataFrame:
     """
     lines = R.split_lines(iwh.select("date", "troi_name", "break_time_period"), "break_time_period", "value")
     single = lines.where(F.col("value") != "").select("date", "troi_name", F.trim("value").alias("brk"))
-    start = F.trim(F.split_part(F.col("brk"), F.lit("-"), F.lit(1)))
-    end = F.trim(F.split_part(F.col("brk"), F.lit("-"), F.lit(2)))
-    hours = C.hhmm_to_hours(C.minutes_to_hhmm(C.minutes_between(start, end)))
-    return (single.select("date", "troi_name", hours.alias("h"))
-            .groupBy("date", "troi_name").agg(F.sum("h").cast("decimal(16,2)").alias("break_amount")))
+    # staged projections: each intermediate is computed once
+    ends = single.select("date", "troi_name",
+                         F.trim(F.split_part(F.col("brk"), F.lit("-"), F.lit(1))).alias("_start"),
+                         F.trim(F.split_part(F.col("brk"), F.lit("-"), F.lit(2))).alias("_end"))
+    mins = ends.select("date", "troi_name", C.minutes_between("_start", "_end").alias("_min"))
+    hours = mins.select("date", "troi_name", C.minutes_to_hours("_min").alias("h"))
+    return hours.groupBy("date", "troi_name").agg(F.sum("h").cast("decimal(16,2)").alias("break_amount"))
 
 
 ABSENCE_TYPES = ["paid_absence", "sick_leave", "short_working", "absence_time"]
@@ -172,11 +174,14 @@ ABSENCE_TYPES = ["paid_absence", "sick_leave", "short_working", "absence_time"]
 
 def cleaned_absences(iwh: DataFrame) -> DataFrame:
     """The four 'mandays / hours' cells -> eight doubles."""
+    # the cut position of each cell is computed once (staged projection)
+    pos = iwh.select("*", *[(F.locate("/", F.col(t)) - 1).alias(f"_n_{t}") for t in ABSENCE_TYPES])
     cols = []
     for t in ABSENCE_TYPES:
-        mandays, hours = C.split_pair(t)
-        cols += [hours.alias(f"{t}_hours"), mandays.alias(f"{t}_mandays")]
-    return iwh.select("date", "break_time_period", *cols, "wb", "nwb", "planned_amount", "troi_name",
+        n = F.col(f"_n_{t}")
+        cols += [C.clean_number(C.pg_right(t, n)).alias(f"{t}_hours"),
+                 C.clean_number(C.pg_left(t, n)).alias(f"{t}_mandays")]
+    return pos.select("date", "break_time_period", *cols, "wb", "nwb", "planned_amount", "troi_name",
                       "industrial_working_hours")
 
 
@@ -231,32 +236,42 @@ def fill_contract_dates(contracts_base: DataFrame, dim_emp: DataFrame, as_of=Non
 
 
 def salary_payment(filled: DataFrame) -> DataFrame:
-    """One salary row per contract and month (drifting month steps)."""
-    months = R.month_series(filled.select("contract_id", "employee_id", "salary_amount", "date", "end_date")
-                            .withColumnRenamed("date", "_start"), "_start", "end_date", "date")
-    rows = months.select(F.col("employee_id").alias("factorial_id"), "contract_id",
-                         F.col("salary_amount").alias("amount"), "date",
-                         F.lit("Salary").alias("type"), F.lit("Salary").alias("name"))
-    return R.first_per_key(rows, ["contract_id", "date"])
+    """One salary row per contract and month (drifting month steps), one row per
+    (contract, month). A contract's own months are distinct, so only contract ids that
+    occur twice need the de-duplicating aggregate."""
+    base = filled.select("contract_id", "employee_id", "salary_amount", F.col("date").alias("_start"), "end_date")
+
+    def generate(df: DataFrame) -> DataFrame:
+        months = R.month_series(df, "_start", "end_date", "date", spread_by=["contract_id"])
+        return months.select(F.col("employee_id").alias("factorial_id"), "contract_id",
+                             F.col("salary_amount").alias("amount"), "date",
+                             F.lit("Salary").alias("type"), F.lit("Salary").alias("name"))
+
+    return R.first_per_key_generated(base, generate, ["contract_id"], ["contract_id", "date"])
 
 
 def benefit_payment(comp_base: DataFrame, filled: DataFrame) -> DataFrame:
     """Compensations of a contract, monthly from their start (or the contract's)
     to the contract end; zero or missing amounts are dropped; one row per
-    (date, taxonomy, person, amount), lowest compensation id kept."""
+    (date, taxonomy, person, amount), lowest compensation id kept. Only compensations
+    sharing (taxonomy, person, amount) with another one can collide on a date, so only
+    those go through the de-duplicating aggregate."""
     f = filled.select(F.col("contract_id").alias("_cid"), "end_date", "employee_id",
                       F.col("date").alias("contract_start"))
     j = (comp_base.where(F.col("amount").isNotNull() & (F.col("amount") != 0))
          .join(f, F.col("contract_version_id") == F.col("_cid"), "inner"))
-    j = j.withColumn("_from", F.coalesce(F.col("starts_on"), F.col("contract_start")))
-    months = R.month_series(j, "_from", "end_date", "date")
-    rows = months.select(F.col("employee_id").alias("factorial_id"), "amount", "date", "end_date",
-                         F.lit("Benefit").alias("type"), F.col("description").alias("name"),
-                         "contract_version_id", "contracts_taxonomy_id", F.col("id").alias("compensation_id"))
-    out = R.first_per_key(rows, ["date", "contracts_taxonomy_id", "factorial_id", "amount"],
-                          order=["compensation_id"])
-    return out.select("factorial_id", "amount", "date", "end_date", "type", "name", "contract_version_id",
-                      "contracts_taxonomy_id", "compensation_id")
+    base = j.select("id", "amount", "description", "contract_version_id", "contracts_taxonomy_id", "end_date",
+                    "employee_id", F.coalesce(F.col("starts_on"), F.col("contract_start")).alias("_from"))
+
+    def generate(df: DataFrame) -> DataFrame:
+        months = R.month_series(df, "_from", "end_date", "date", spread_by=["id"])
+        return months.select(F.col("employee_id").alias("factorial_id"), "amount", "date", "end_date",
+                             F.lit("Benefit").alias("type"), F.col("description").alias("name"),
+                             "contract_version_id", "contracts_taxonomy_id", F.col("id").alias("compensation_id"))
+
+    return R.first_per_key_generated(base, generate, ["contracts_taxonomy_id", "employee_id", "amount"],
+                                     ["date", "contracts_taxonomy_id", "factorial_id", "amount"],
+                                     order=["compensation_id"])
 
 
 def map_lunchit(lunchit: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -277,12 +292,14 @@ def lunchit_payment(mapped: DataFrame, active: DataFrame) -> DataFrame:
                     F.lit("Lunchit").alias("name"), "factorial_id"))
 
 
-def fct_payments(salary: DataFrame, lunchit: DataFrame, inflation: DataFrame, benefit: DataFrame) -> DataFrame:
+def fct_payments(salary: DataFrame, lunchit: DataFrame, inflation: DataFrame, benefit: DataFrame,
+                 materialise=None) -> DataFrame:
     """All payments with the month's average per-person total of their type.
 
     Amounts are normalised to decimal(20,2) before the union (the source documents the
     column as a float; integer cents keep the average exact). The averages table has
     one row per (month, type) -- bounded by the calendar -- and is broadcast.
+    ``materialise`` (e.g. ``session.materialise``) stores the union once for both uses.
     """
     rels = {name: df.withColumn("amount", F.col("amount").cast("decimal(20,2)"))
             for name, df in (("salary_payment", salary), ("lunchit_payment", lunchit),
@@ -291,6 +308,9 @@ def fct_payments(salary: DataFrame, lunchit: DataFrame, inflation: DataFrame, be
     u = u.select("factorial_id", "amount", "date", "type", "name",
                  C.month_start("date").alias("month"),
                  (F.col("amount") * 100).cast("bigint").alias("_cents"))
+    if materialise is not None:
+        # the union feeds both the averages and the rows: compute it once
+        u = materialise(u)
     avg = I.group_average_cents(u, ["month", "type"], "factorial_id", "_cents", "average_amount")
     j = u.join(F.broadcast(avg), ["month", "type"], "left")
     return j.select("factorial_id", "amount", "date", "type", "name", "average_amount")

@@ -98,7 +98,8 @@ select l_orderkey * 8 + l_linenumber as id, l_orderkey as contract_version_id,
        'Zulage ' || l_returnflag || l_linestatus as description,
        case when l_linenumber <> 7 then cast(floor(l_quantity * 50) as bigint) // 100 end as amount,
        cast(l_suppkey % 5 as bigint) as contracts_taxonomy_id,
-       case when l_linenumber % 2 = 0 then cast(l_shipdate as date) end as starts_on
+       case when l_linenumber % 2 = 0 then cast(l_shipdate as date) end as starts_on,
+       null::date as first_payment_on
 from lineitem""")
 
 cte("benefit", """
@@ -376,6 +377,27 @@ full join (select troi_name, cast(date_trunc('year', date) as date) as year, sum
 where n.year is not null and n.troi_name is not null""", "mapping", "cleaned")
 
 
+cte("name_mapping_dim", "select email, troi_name from mapping where troi_name is not null", "mapping")
+cte("mood", """
+select cast(strftime(o_orderdate, '%Y-%m-%d') as date) as date, cast(left(o_orderpriority, 1) as integer) as rating,
+       case when o_orderkey % 3 = 0 then o_orderstatus end as feedback,
+       case when o_orderkey % 5 = 0 then 'zu laut' end as feedback_bad_rating,
+       case when o_orderkey % 3 <> 0 and o_orderkey % 5 <> 0 then 0 else 1 end as feedback_exists
+from orders""")
+cte("mood_answers", """
+select cast(o_orderkey as varchar) as response_id, cast(strftime(o_orderdate, '%Y-%m-%d') as date) as date,
+       o_orderpriority as rating from orders""")
+cte("teams_src", """
+select cast(c_nationkey * 1000000 + c_custkey // 100 as bigint) as id,
+       'Team ' || cast(c_nationkey as varchar) || '-' || cast(c_custkey // 100 as varchar) as name
+from customer group by c_nationkey, c_custkey // 100""")
+cte("teams_dim", """
+select 'Team ' || cast(c_nationkey as varchar) || '-' || cast(c_custkey // 100 as varchar) as team_name,
+       cast(c_custkey as integer) as factorial_id
+from customer""")
+cte("custom_vals_model", "select id, employee_id, raw as col_val, table_id from custom_vals", "custom_vals")
+
+
 def sql(final: str, *needed: str) -> str:
     """Assemble ``WITH`` + ``final`` including all transitive dependencies in order."""
     order: list[str] = []

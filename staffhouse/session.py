@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +60,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A location under the shared checkpoint folder (for materialised intermediates)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts)
+
+
+def materialise(df, name: str, run_id: str | None = None):
+    """*Action*: write ``df`` as Parquet under the shared checkpoint folder and return
+    a DataFrame reading it back. Cuts the lineage (downstream stages restart from the
+    files, also after executor loss) and lets several consumers share one
+    computation. Each call gets its own folder unless ``run_id`` is given."""
+    spark = df.sparkSession
+    path = shared_path(spark, "staffhouse-stage", run_id or uuid.uuid4().hex, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -36,3 +36,8 @@ def publish(df: DataFrame, table: str, path: str | None = None) -> None:
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
+
+
+def publish_path(df: DataFrame, path: str) -> None:
+    """Staging -> production as files: full overwrite of one table folder."""
+    df.write.mode("overwrite").parquet(path)
