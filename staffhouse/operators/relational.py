@@ -174,6 +174,29 @@ def _is_leap(y: Column) -> Column:
     return ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
 
 
+def _month_step_parts(start: ColumnOrName) -> dict[str, Column]:
+    """Per-start constants of the drifting month series (see ``month_step``)."""
+    s = _c(start)
+    m0, y0 = F.month(s), F.year(s)
+    j_feb = ((F.lit(2) - m0 + 11) % 12) + 1
+    feb_leap = _is_leap(y0 + F.floor((m0 - 1 + j_feb) / 12).cast("int"))
+    return {
+        "_ms_first": F.trunc(s, "month"),
+        "_ms_day0": F.dayofmonth(s),
+        "_ms_j30": F.element_at(F.array(*[F.lit(v) for v in _first_offset_to(_THIRTY_DAY_MONTHS)]), m0),
+        "_ms_jfeb": j_feb,
+        "_ms_febdays": F.when(feb_leap, 29).otherwise(28),
+        "_ms_jnl": F.when(feb_leap, j_feb + 12).otherwise(j_feb),
+    }
+
+
+def _month_step_from_parts(k: Column) -> tuple[Column, Column]:
+    day = F.least(F.col("_ms_day0"), F.when(k >= F.col("_ms_j30"), 30).otherwise(31),
+                  F.when(k >= F.col("_ms_jfeb"), F.col("_ms_febdays")).otherwise(31),
+                  F.when(k >= F.col("_ms_jnl"), 28).otherwise(31))
+    return F.add_months(F.col("_ms_first"), k.cast("int")), day
+
+
 def month_step(start: ColumnOrName, k: ColumnOrName) -> Column:
     """The k-th value of a monthly series that adds one month to the *previous* value
     (Jan 31 -> Feb 29 -> Mar 29 -> ...), in closed form.
@@ -183,17 +206,12 @@ def month_step(start: ColumnOrName, k: ColumnOrName) -> Column:
     the first 30-day month, the first February and the first non-leap February after
     the start; their offsets come from the start month and year.
     """
-    s, k = _c(start), _c(k)
-    m0, y0, day0 = F.month(s), F.year(s), F.dayofmonth(s)
-    j30 = F.element_at(F.array(*[F.lit(v) for v in _first_offset_to(_THIRTY_DAY_MONTHS)]), m0)
-    j_feb = ((F.lit(2) - m0 + 11) % 12) + 1
-    y_feb = y0 + F.floor((m0 - 1 + j_feb) / 12).cast("int")
-    feb_leap = _is_leap(y_feb)
-    feb_days = F.when(feb_leap, 29).otherwise(28)
-    j_non_leap = F.when(feb_leap, j_feb + 12).otherwise(j_feb)
-    day = F.least(day0, F.when(k >= j30, 30).otherwise(31), F.when(k >= j_feb, feb_days).otherwise(31),
-                  F.when(k >= j_non_leap, 28).otherwise(31))
-    first = F.add_months(F.trunc(s, "month"), k.cast("int"))
+    p = _month_step_parts(start)
+    k = _c(k)
+    day = F.least(p["_ms_day0"], F.when(k >= p["_ms_j30"], 30).otherwise(31),
+                  F.when(k >= p["_ms_jfeb"], p["_ms_febdays"]).otherwise(31),
+                  F.when(k >= p["_ms_jnl"], 28).otherwise(31))
+    first = F.add_months(p["_ms_first"], k.cast("int"))
     return F.make_date(F.year(first), F.month(first), day)
 
 
@@ -217,10 +235,15 @@ def month_series(df: DataFrame, start: str, end: str, as_: str = "date",
         df = spread(df, spread_by)
     s, e = F.col(start), F.col(end)
     n = (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
-    steps = df.withColumn("_k", F.explode(F.when(s.isNotNull() & e.isNotNull() & (e >= s),
-                                                 F.sequence(F.lit(0), n))))
-    out = steps.withColumn(as_, month_step(start, "_k"))
-    return out.where(F.col(as_) <= F.col(end)).drop("_k")
+    parts = _month_step_parts(start)
+    # per input row: the series constants; per generated row: comparisons + make_date
+    base = df.select("*", *[v.alias(k) for k, v in parts.items()],
+                     F.explode(F.when(s.isNotNull() & e.isNotNull() & (e >= s),
+                                      F.sequence(F.lit(0), n))).alias("_k"))
+    first, day = _month_step_from_parts(F.col("_k"))
+    stepped = base.select("*", first.alias("_ms_month"), day.alias("_ms_day"))
+    out = stepped.withColumn(as_, F.make_date(F.year("_ms_month"), F.month("_ms_month"), F.col("_ms_day")))
+    return out.where(F.col(as_) <= F.col(end)).drop("_k", "_ms_month", "_ms_day", *parts.keys())
 
 
 def date_spine(df: DataFrame, start: str, end: str, as_: str = "date") -> DataFrame:

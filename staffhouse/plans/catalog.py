@@ -25,8 +25,12 @@ class Lineage:
     """Lazily built models for one (session, data folder); each attribute is a
     DataFrame plan, nothing runs until an action."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, share: bool = False):
+        self.spark, self.sf_dir, self.share = spark, sf_dir, share
+
+    def _shared(self, df: DataFrame, name: str) -> DataFrame:
+        """Models read by several marts of one query are stored once when ``share``."""
+        return materialise(df, name) if self.share else df
 
     def t(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
@@ -41,7 +45,8 @@ class Lineage:
     @cached_property
     def contracts_base(self): return M.base_contracts(A.contracts(self.t("orders")))
     @cached_property
-    def dim_employees(self): return M.dim_employees(self.terminated, self.active, self.contracts_base)
+    def dim_employees(self):
+        return self._shared(M.dim_employees(self.terminated, self.active, self.contracts_base), "dim_employees")
     @cached_property
     def filled(self):
         # read by salary, benefit and checks: stored once under the shared checkpoint folder
@@ -65,8 +70,9 @@ class Lineage:
     def unpacked(self): return M.unpack_custom_values(M.base_custom_tables_val(A.custom_values(self.t("part"))))
     @cached_property
     def mapped_custom(self):
-        return M.label_custom_values(self.unpacked, M.base_custom_tables(A.custom_tables(self.spark)),
-                                     M.base_custom_tables_col(A.custom_columns(self.spark)))
+        return self._shared(M.label_custom_values(self.unpacked, M.base_custom_tables(A.custom_tables(self.spark)),
+                                                  M.base_custom_tables_col(A.custom_columns(self.spark))),
+                            "mapped_custom")
     @cached_property
     def labels(self): return R.column_values(A.custom_columns(self.spark), "label")
     @cached_property
@@ -80,11 +86,11 @@ class Lineage:
     @cached_property
     def troi_mapped(self): return M.map_names_troi(self.troi, self.mapping)
     @cached_property
-    def iwh(self): return M.industrial_working_hours(self.troi_mapped)
+    def iwh(self): return self._shared(M.industrial_working_hours(self.troi_mapped), "industrial_working_hours")
     @cached_property
     def breaks(self): return M.break_hours(self.iwh)
     @cached_property
-    def cleaned(self): return M.cleaned_absences(self.iwh)
+    def cleaned(self): return self._shared(M.cleaned_absences(self.iwh), "cleaned_absences")
 
 
 def _l(spark, sf_dir) -> Lineage:
@@ -333,7 +339,7 @@ _SUITE_MODELS = {
 
 def q_dq_declared_suite(spark, d):
     """All declared model tests over the marts built from the driver tables."""
-    lin = _l(spark, d)
+    lin = Lineage(spark, d, share=True)
     return Q.run_checks(K.declared_suite({name: build(lin) for name, (build, _) in _SUITE_MODELS.items()}))
 
 

@@ -398,13 +398,13 @@ def fct_working_hours(cleaned: DataFrame, breaks: DataFrame) -> DataFrame:
     filt = C.safe_add("industrial_working_hours", "break_amount", "planned_amount", "wb", "nwb",
                       "absence_time_hours")
     total = C.safe_add("industrial_working_hours", "absence_time_hours")
-    legal = C.legal_break_hours("industrial_working_hours")
     diff = F.round(C.safe_subtract(total, "planned_amount").cast("decimal(38,15)"), 2).cast("decimal(20,2)")
-    out = j.where(filt > 0).select(
+    # staged: the statutory break is computed once and read by the compliance flag
+    staged = j.where(filt > 0).select(
         "date", F.col("troi_name").alias("full_name"), F.col("industrial_working_hours").alias("worked_amount"),
         "break_amount", "planned_amount", diff.alias("difference"), "wb", "nwb",
-        legal.alias("legal_break_time"), C.compliance(legal, F.col("break_amount")).alias("compliance_break_time"))
-    return out
+        C.legal_break_hours("industrial_working_hours").alias("legal_break_time"))
+    return staged.withColumn("compliance_break_time", C.compliance("legal_break_time", "break_amount"))
 
 
 def fct_pto_entitlement(mapping: DataFrame, cleaned: DataFrame) -> DataFrame:

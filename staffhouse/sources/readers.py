@@ -46,6 +46,17 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType | None = No
     return r.csv(path)
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster can run at once
+    (an unsplittable file: a single Parquet row group, a compressed text file) before
+    heavy per-row work. Scans that already have enough splits -- the normal case for
+    large inputs -- are returned unchanged, so no shuffle is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def file_ending(path: Column) -> Column:
     """Text after the last '.' of a path column."""
     return F.substring_index(path, ".", -1)
