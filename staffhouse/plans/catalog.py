@@ -49,9 +49,9 @@ class Lineage:
         return self._shared(M.dim_employees(self.terminated, self.active, self.contracts_base), "dim_employees")
     @cached_property
     def filled(self):
-        # read by salary, benefit and checks: stored once under the shared checkpoint folder
-        return materialise(M.fill_contract_dates(self.contracts_base, self.dim_employees,
-                                                 F.lit(A.AS_OF_ORDERS).cast("date")), "fill_contract_dates")
+        # read by salary, benefit and checks: stored once when the query shares models
+        return self._shared(M.fill_contract_dates(self.contracts_base, self.dim_employees,
+                                                  F.lit(A.AS_OF_ORDERS).cast("date")), "fill_contract_dates")
     @cached_property
     def salary(self): return M.salary_payment(self.filled)
     @cached_property
@@ -102,7 +102,7 @@ def _l(spark, sf_dir) -> Lineage:
 def q_contract_end_dates(spark, d): return _l(spark, d).filled
 def q_salary_months(spark, d): return _l(spark, d).salary
 def q_benefit_months(spark, d): return _l(spark, d).benefit
-def q_payments_fact(spark, d): return _l(spark, d).payments
+def q_payments_fact(spark, d): return Lineage(spark, d, share=True).payments
 def q_employees_dim(spark, d): return _l(spark, d).dim_employees
 
 
@@ -271,7 +271,7 @@ def q_dq_contracts_dim(spark, d):
 
 
 def q_dq_foreign_keys(spark, d):
-    lin = _l(spark, d)
+    lin = Lineage(spark, d, share=True)
     de = lin.dim_employees
     pay = lin.payments
     return Q.run_checks({
@@ -442,7 +442,7 @@ from (select r.k, r.line, r.Arbeitszeit, m.id as mid,
         on r.Monat = m.troi_name) x""", "raw_export", "mapping")
 
 _CHECKS_CONTRACTS = """
-select 'dim_contracts' as "table", "check", "column", violations from (
+select 'dim_contracts' as "table", "check", "column", cast(violations as bigint) as violations from (
   select 'not_null' as "check", 'contract_id' as "column", count_if(contract_id is null) as violations from contracts_dim
   union all select 'not_null', 'factorial_id', count_if(factorial_id is null) from contracts_dim
   union all select 'not_null', 'job_title', count_if(job_title is null) from contracts_dim

@@ -98,3 +98,12 @@ def dynamic_columns_to_map(df: DataFrame, raw: str, keep: Sequence[str], as_: st
     fixed = [F.element_at(parsed, F.lit(k)).cast(key_types.get(k, "string")).alias(k) for k in keep]
     rest = [c for c in df.columns if c != raw]
     return df.select(*rest, *fixed, other.alias(as_))
+
+
+def choice_options(fields: DataFrame) -> DataFrame:
+    """Custom-field definitions -> one row per choice option (fields without options
+    give no row)."""
+    return (fields.select(F.col("id").alias("field_id"), F.col("label").alias("field_label"),
+                          F.explode("choice_options").alias("o"))
+            .select("field_id", "field_label", F.col("o.id").alias("option_id"), F.col("o.label").alias("label"),
+                    F.col("o.value").alias("value"), F.col("o.is_active").alias("is_active")))

@@ -14,8 +14,11 @@ def write_delimited(df: DataFrame, path: str, header: bool = True, mode: str = "
 
 
 def archive_raw(df: DataFrame, path: str, partition_col: str = "ingest_file") -> None:
-    """Write-once raw zone: append, partitioned by source file (restricted access)."""
-    df.write.mode("append").partitionBy(partition_col).parquet(path)
+    """Raw zone (restricted access), one partition per source file. Dynamic partition
+    overwrite makes a replayed micro-batch rewrite the same partitions instead of
+    appending duplicates."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(partition_col).parquet(path))
 
 
 def write_clean(df: DataFrame, path: str, partition_col: str = "ingest_file") -> None:
@@ -25,9 +28,15 @@ def write_clean(df: DataFrame, path: str, partition_col: str = "ingest_file") ->
        .partitionBy(partition_col).parquet(path))
 
 
-def append_processed(df: DataFrame, path: str) -> None:
-    """Append to the processed table (no header, no rewrite of earlier rows)."""
-    df.write.mode("append").parquet(path)
+def append_processed(df: DataFrame, path: str, partition_col: str | None = "ingest_file") -> None:
+    """Add the rows of new files to the processed table without touching earlier
+    files. With ``partition_col`` each file is its own partition written by dynamic
+    overwrite, so replaying a micro-batch after a failure is idempotent."""
+    if partition_col and partition_col in df.columns:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def publish(df: DataFrame, table: str, path: str | None = None) -> None:
