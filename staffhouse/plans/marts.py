@@ -237,41 +237,39 @@ def fill_contract_dates(contracts_base: DataFrame, dim_emp: DataFrame, as_of=Non
 
 def salary_payment(filled: DataFrame) -> DataFrame:
     """One salary row per contract and month (drifting month steps), one row per
-    (contract, month). A contract's own months are distinct, so only contract ids that
-    occur twice need the de-duplicating aggregate."""
-    base = filled.select("contract_id", "employee_id", "salary_amount", F.col("date").alias("_start"), "end_date")
-
-    def generate(df: DataFrame) -> DataFrame:
-        months = R.month_series(df, "_start", "end_date", "date", spread_by=["contract_id"])
-        return months.select(F.col("employee_id").alias("factorial_id"), "contract_id",
-                             F.col("salary_amount").alias("amount"), "date",
-                             F.lit("Salary").alias("type"), F.lit("Salary").alias("name"))
-
-    return R.first_per_key_generated(base, generate, ["contract_id"], ["contract_id", "date"])
+    (contract, month). Contracts are spread by contract id before the explosion, so
+    the de-duplication on (contract, month) finds its input already clustered and
+    needs no further exchange."""
+    months = R.month_series(filled.select("contract_id", "employee_id", "salary_amount", "date", "end_date")
+                            .withColumnRenamed("date", "_start"), "_start", "end_date", "date",
+                            spread_by=["contract_id"])
+    rows = months.select(F.col("employee_id").alias("factorial_id"), "contract_id",
+                         F.col("salary_amount").alias("amount"), "date")
+    return R.first_per_key(rows, ["contract_id", "date"]).select(
+        "factorial_id", "contract_id", "amount", "date", F.lit("Salary").alias("type"), F.lit("Salary").alias("name"))
 
 
 def benefit_payment(comp_base: DataFrame, filled: DataFrame) -> DataFrame:
     """Compensations of a contract, monthly from their start (or the contract's)
     to the contract end; zero or missing amounts are dropped; one row per
-    (date, taxonomy, person, amount), lowest compensation id kept. Only compensations
-    sharing (taxonomy, person, amount) with another one can collide on a date, so only
-    those go through the de-duplicating aggregate."""
+    (date, taxonomy, person, amount), lowest compensation id kept. The de-duplication
+    key contains the month, so even a person with a third of all compensations spreads
+    over many reducers; the map-side partial step runs first."""
     f = filled.select(F.col("contract_id").alias("_cid"), "end_date", "employee_id",
                       F.col("date").alias("contract_start"))
     j = (comp_base.where(F.col("amount").isNotNull() & (F.col("amount") != 0))
          .join(f, F.col("contract_version_id") == F.col("_cid"), "inner"))
     base = j.select("id", "amount", "description", "contract_version_id", "contracts_taxonomy_id", "end_date",
                     "employee_id", F.coalesce(F.col("starts_on"), F.col("contract_start")).alias("_from"))
-
-    def generate(df: DataFrame) -> DataFrame:
-        months = R.month_series(df, "_from", "end_date", "date", spread_by=["id"])
-        return months.select(F.col("employee_id").alias("factorial_id"), "amount", "date", "end_date",
-                             F.lit("Benefit").alias("type"), F.col("description").alias("name"),
-                             "contract_version_id", "contracts_taxonomy_id", F.col("id").alias("compensation_id"))
-
-    return R.first_per_key_generated(base, generate, ["contracts_taxonomy_id", "employee_id", "amount"],
-                                     ["date", "contracts_taxonomy_id", "factorial_id", "amount"],
-                                     order=["compensation_id"])
+    months = R.month_series(base, "_from", "end_date", "date", spread_by=["id"])
+    rows = months.select(F.col("employee_id").alias("factorial_id"), "amount", "date", "end_date",
+                         F.col("description").alias("name"), "contract_version_id", "contracts_taxonomy_id",
+                         F.col("id").alias("compensation_id"))
+    # tie-break order: compensation id, then end date, name, contract version
+    out = R.first_per_key(rows, ["date", "contracts_taxonomy_id", "factorial_id", "amount"],
+                          order=["compensation_id", "end_date", "name", "contract_version_id"])
+    return out.select("factorial_id", "amount", "date", "end_date", F.lit("Benefit").alias("type"), "name",
+                      "contract_version_id", "contracts_taxonomy_id", "compensation_id")
 
 
 def map_lunchit(lunchit: DataFrame, mapping: DataFrame) -> DataFrame:
