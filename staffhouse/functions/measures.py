@@ -51,6 +51,11 @@ def next_anniversary(start: ColumnOrName, as_of: ColumnOrName) -> Column:
     return F.when(cand >= a, cand).otherwise(F.add_months(s, (k + 1) * 12))
 
 
+def next_birthday(birth: ColumnOrName, as_of: ColumnOrName) -> Column:
+    """First birthday on or after ``as_of`` (Feb 29 births fall on Feb 28 in other years)."""
+    return next_anniversary(birth, as_of)
+
+
 def birthday_in_year(birth: ColumnOrName, year: ColumnOrName) -> Column:
     b = _c(birth)
     return F.add_months(b, (_c(year) - F.year(b)) * 12)
