@@ -281,6 +281,9 @@ def fill_down(df: DataFrame, col: str, order: Sequence[str], partition: Sequence
     """
     out_col = as_ or col
     part = list(partition)
+    if block is None and not part:
+        raise ValueError("fill_down over a whole table needs a block column (a single window would run "
+                         "in one task)")
     if block is None:
         w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out_col, F.last(col, ignorenulls=True).over(w))

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -88,10 +88,11 @@ def process_export(batch: DataFrame, batch_id: int, conf: ExportConf) -> None:
         sinks.write_clean(out.drop("_row"), f"{conf.root}/clean/{conf.name}")
         proc = out
         if conf.filter_col:
-            files = out.select("ingest_file").distinct()
-            w = Window.orderBy("ingest_file")
-            # previous file of the same run as the lower bound (file lists are small)
-            bounds = files.withColumn("_prev", F.lag("ingest_file").over(w))
+            # lower bound: the previous file of this batch (file names are metadata,
+            # already collected above; the bounds table is as small as the file list)
+            names = sorted(f for f in files if f not in skip)
+            bounds = spark.createDataFrame([(f, p) for f, p in zip(names, [None] + names[:-1])],
+                                           "ingest_file string, _prev string")
             proc = out.join(F.broadcast(bounds), "ingest_file")
             lo = F.coalesce(E.date_from_name(F.col("_prev")), F.lit(""))
             proc = E.slice_between(proc, conf.filter_col, lo, E.date_from_name(F.col("ingest_file"))).drop("_prev")

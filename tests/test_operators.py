@@ -58,11 +58,14 @@ def test_explode_drops_null_and_empty(spark):
 def test_fill_down_blocks_equal_plain_window(spark):
     rows = [(k, str(k) if k % 7 == 0 else None) for k in range(1, 400)]
     rows[10] = (11, "")                       # '' is a value and stops the fill
-    df = spark.createDataFrame(rows, "k int, v string")
-    plain = {r.k: r.v for r in R.fill_down(df, "v", ["k"]).collect()}
+    df = spark.createDataFrame(rows, "k int, v string").withColumn("g", F.lit(1))
+    plain = {r.k: r.v for r in R.fill_down(df, "v", ["k"], partition=["g"]).collect()}
     blocked = {r.k: r.v for r in R.fill_down(df, "v", ["k"], block=F.floor(F.col("k") / 16)).collect()}
     assert plain == blocked
     assert blocked[12] == "" and blocked[6] is None and blocked[13] == "" and blocked[15] == "14"
+    import pytest
+    with pytest.raises(ValueError):
+        R.fill_down(df, "v", ["k"])
 
 
 def test_next_in_order_handles_ties(spark):
