@@ -8,7 +8,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
 from ..functions import measures as MS
 from ..operators import quality as Q
 from ..operators import relational as R

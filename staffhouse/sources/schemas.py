@@ -97,5 +97,5 @@ SHEETS = {
                        "Abwesenheiten__PT___Std__", "Gesamt", "WB", "NWB", "wb_nwb", "an_ab", "Soll", "Saldo", "id"],
 }
 
-# Loader metadata columns that base models never project.
+# fixed values: loader metadata columns that base models never project.
 LOADER_COLUMNS = ("_airbyte_raw_id", "_airbyte_extracted_at", "_airbyte_meta", "_ab_source_file_last_modified")
