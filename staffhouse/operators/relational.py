@@ -270,14 +270,16 @@ def map_names(df: DataFrame, mapping: DataFrame, key: str, value: str, map_key:
 
 
 def fill_down(df: DataFrame, col: str, order: Sequence[str], partition: Sequence[str] = (),
-              block: Column | None = None, as_: str | None = None) -> DataFrame:
+              block: Column | None = None, as_: str | None = None, fanout: int = 4096) -> DataFrame:
     """Forward fill: every null of ``col`` takes the last non-null value before it in
     ``order`` within ``partition``. Only nulls are filled ('' stops the fill).
 
-    ``block`` must be a column that is non-decreasing along ``order`` (for example an
-    integer bucket of the leading order column). Rows are filled inside each
-    (partition, block) and the carry from earlier blocks is computed over one summary
-    row per block, so no task ever holds a whole partition key.
+    ``block`` must be an integer column that is non-decreasing along ``order`` (for
+    example a bucket of the leading order column). Rows are filled inside each
+    (partition, block); the carry from earlier blocks comes from one summary row per
+    block, and the carry across groups of ``fanout`` blocks from one row per group, so
+    no task ever holds a whole partition key and the only window that spans a whole
+    partition key runs over rows / (block width x fanout) rows.
     """
     out_col = as_ or col
     part = list(partition)
@@ -287,15 +289,24 @@ def fill_down(df: DataFrame, col: str, order: Sequence[str], partition: Sequence
     if block is None:
         w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out_col, F.last(col, ignorenulls=True).over(w))
-    b = df.withColumn("_blk", block)
+    b = df.withColumn("_blk", block.cast("bigint"))
     w_in = Window.partitionBy(*part, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = b.withColumn("_local", F.last(col, ignorenulls=True).over(w_in))
     order_struct = F.struct(*[F.col(o) for o in order])
-    # one summary row per block: its last non-null value (null when it has none)
+    # level 1: one row per block with its last non-null value (null when it has none)
     summary = (b.groupBy(*part, "_blk")
-               .agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order_struct)).alias("_blk_last")))
-    w_blk = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = summary.withColumn("_carry", F.last("_blk_last", ignorenulls=True).over(w_blk)).drop("_blk_last")
+               .agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order_struct)).alias("_blk_last"))
+               .withColumn("_sblk", F.floor(F.col("_blk") / fanout)))
+    w1 = Window.partitionBy(*part, "_sblk").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("_carry1", F.last("_blk_last", ignorenulls=True).over(w1))
+    # level 2: one row per group of blocks
+    groups = (summary.groupBy(*part, "_sblk")
+              .agg(F.max_by(F.col("_blk_last"), F.when(F.col("_blk_last").isNotNull(), F.col("_blk")))
+                   .alias("_sblk_last")))
+    w2 = Window.partitionBy(*part).orderBy("_sblk").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_carry2", F.last("_sblk_last", ignorenulls=True).over(w2)).drop("_sblk_last")
+    starts = (summary.join(groups, [*part, "_sblk"], "left")
+              .select(*part, "_blk", F.coalesce(F.col("_carry1"), F.col("_carry2")).alias("_carry")))
     out = filled.join(starts, [*part, "_blk"], "left")
     res = out.withColumn(out_col, F.coalesce(F.col("_local"), F.col("_carry")))
     keep = [c for c in df.columns if c != out_col] + [out_col] if out_col not in df.columns else df.columns

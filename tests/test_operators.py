@@ -62,6 +62,8 @@ def test_fill_down_blocks_equal_plain_window(spark):
     plain = {r.k: r.v for r in R.fill_down(df, "v", ["k"], partition=["g"]).collect()}
     blocked = {r.k: r.v for r in R.fill_down(df, "v", ["k"], block=F.floor(F.col("k") / 16)).collect()}
     assert plain == blocked
+    two_level = {r.k: r.v for r in R.fill_down(df, "v", ["k"], block=F.floor(F.col("k") / 8), fanout=3).collect()}
+    assert plain == two_level
     assert blocked[12] == "" and blocked[6] is None and blocked[13] == "" and blocked[15] == "14"
     import pytest
     with pytest.raises(ValueError):
