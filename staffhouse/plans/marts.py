@@ -302,13 +302,12 @@ def fct_payments(salary: DataFrame, lunchit: DataFrame, inflation: DataFrame, be
     rels = {name: df.withColumn("amount", F.col("amount").cast("decimal(20,2)"))
             for name, df in (("salary_payment", salary), ("lunchit_payment", lunchit),
                              ("inflation_payment", inflation), ("benefit_payment", benefit))}
-    u = R.union_relations(rels, source_col="_source_relation")
-    u = u.select("factorial_id", "amount", "date", "type", "name",
-                 C.month_start("date").alias("month"),
-                 (F.col("amount") * 100).cast("bigint").alias("_cents"))
+    u = R.union_relations(rels, source_col="_source_relation").select("factorial_id", "amount", "date", "type",
+                                                                       "name")
     if materialise is not None:
-        # the union feeds both the averages and the rows: compute it once
+        # the union feeds both the averages and the rows: compute it once (fact columns only)
         u = materialise(u)
+    u = u.select("*", C.month_start("date").alias("month"), (F.col("amount") * 100).cast("bigint").alias("_cents"))
     avg = I.group_average_cents(u, ["month", "type"], "factorial_id", "_cents", "average_amount")
     j = u.join(F.broadcast(avg), ["month", "type"], "left")
     return j.select("factorial_id", "amount", "date", "type", "name", "average_amount")
