@@ -292,7 +292,8 @@ def q_employee_measures(spark, d):
         MS.tenure_text("start_date", "termination_date", a).alias("company_affiliation_years_months"),
         (MS.tenure_years("start_date", "termination_date", a) + 1).alias("company_affiliation_years_upcoming"),
         MS.next_anniversary("start_date", a).alias("anniversary"),
-        MS.birthday_in_year("birthdate", F.year(a)).alias("birthday_this_year"))
+        MS.birthday_in_year("birthdate", F.year(a)).alias("birthday_this_year"),
+        MS.next_birthday("birthdate", a).alias("next_birthday"))
 
 
 # model name -> (lineage builder, oracle CTE)
@@ -495,7 +496,11 @@ select factorial_id, full_name,
             then cast(start_date + to_months(12 * greatest(year(a) - year(start_date), 0)) as date)
             else cast(start_date + to_months(12 * (greatest(year(a) - year(start_date), 0) + 1)) as date) end
            as anniversary,
-       cast(birthdate + to_months(12 * (year(a) - year(birthdate))) as date) as birthday_this_year
+       cast(birthdate + to_months(12 * (year(a) - year(birthdate))) as date) as birthday_this_year,
+       case when cast(birthdate + to_months(12 * greatest(year(a) - year(birthdate), 0)) as date) >= a
+            then cast(birthdate + to_months(12 * greatest(year(a) - year(birthdate), 0)) as date)
+            else cast(birthdate + to_months(12 * (greatest(year(a) - year(birthdate), 0) + 1)) as date) end
+           as next_birthday
 from (select *, {O.AS_OF_ORDERS} as a, coalesce(termination_date, {O.AS_OF_ORDERS}) as t,
              cast((year(coalesce(termination_date, {O.AS_OF_ORDERS})) - year(start_date)) * 12
                   + month(coalesce(termination_date, {O.AS_OF_ORDERS})) - month(start_date)

@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 from .schemas import LOADER_COLUMNS, SHEETS, STREAMS
 
 
-def read_stream(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A landed record stream (JSON lines or a top-level JSON array per file) with its
-    fixed schema; ``active_employees`` applies the source record filter."""
+def read_stream(spark: SparkSession, name: str, path: str, multi_line: bool = False) -> DataFrame:
+    """A landed record stream with its fixed schema: JSON lines (splittable, the
+    default) or, with ``multi_line=True``, one top-level JSON array per file.
+    ``active_employees`` applies the source record filter."""
     schema = STREAMS[name]
-    df = spark.read.schema(schema).option("multiLine", "false").json(path)
+    df = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path)
     if name == "active_employees":
         df = record_filter(df, F.col("terminated_on").isNull())
     return df
