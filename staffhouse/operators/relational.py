@@ -8,9 +8,10 @@ Scale notes
   holding a third of all rows is pre-reduced on every mapper before the shuffle.
 * ``fill_down`` never windows over a whole partition key: rows are cut into blocks
   along the ordering, filled inside each block, and the carry between blocks comes
-  from a second window over one summary row per block.
-* Series operators generate rows inside the task that owns the input row (``explode``),
-  no shuffle; the month fold is bounded by the number of months in a range.
+  from windows over one summary row per block and one per group of blocks.
+* Series operators generate rows inside the task that owns the input row (``explode``);
+  month steps are a closed form (no array folds). ``spread`` redistributes a small
+  input by its key before such a row-multiplying generator.
 """
 from __future__ import annotations
 
