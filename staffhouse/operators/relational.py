@@ -312,15 +312,3 @@ def fill_down(df: DataFrame, col: str, order: Sequence[str], partition: Sequence
     res = out.withColumn(out_col, F.coalesce(F.col("_local"), F.col("_carry")))
     keep = [c for c in df.columns if c != out_col] + [out_col] if out_col not in df.columns else df.columns
     return res.select(*keep)
-
-
-def cross_keys(left: DataFrame, right: DataFrame, max_right_rows: int = 10_000) -> DataFrame:
-    """Request keys for every (left, right) pair, e.g. custom-table headers x employees.
-
-    The right side must be a bounded header list; its size is checked (an action on a
-    ``limit``) and a larger side raises instead of multiplying the data.
-    """
-    n = right.limit(max_right_rows + 1).count()
-    if n > max_right_rows:
-        raise ValueError(f"cross_keys: right side has more than {max_right_rows} rows")
-    return left.crossJoin(F.broadcast(right))

@@ -83,15 +83,6 @@ def test_contract_schema_fields():
     assert CONTRACT["salary_amount"].dataType.typeName() == "long"
 
 
-def test_cross_keys_guard(spark):
-    from staffhouse.operators.relational import cross_keys
-    left = spark.range(5).withColumnRenamed("id", "employee_id")
-    right = spark.range(3).withColumnRenamed("id", "table_id")
-    assert cross_keys(left, right).count() == 15
-    with pytest.raises(ValueError):
-        cross_keys(left, right, max_right_rows=2)
-
-
 def test_read_sheet_keeps_declared_columns(spark):
     d = tempfile.mkdtemp(prefix="sheet-")
     with open(os.path.join(d, "mood.csv"), "w") as f:
