@@ -1,7 +1,6 @@
 """Session construction and cluster-shared locations."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,38 +38,35 @@ def build_session(master: str | None = None, app: str = "staffhouse",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """Return the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) is a scratch folder chosen.
+    A local session (one machine, as in tests) may go without: it gets a scratch folder. On a
+    cluster an unset folder is an error, as a machine's own disk is not seen by the others.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="staffhouse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - no SparkContext handle (remote session): files only
-        pass
     return d
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A location under the shared checkpoint folder (for materialised intermediates)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, *parts)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
-def materialise(df, name: str, run_id: str | None = None):
+def materialise(df, name: str, run_id: str | None = None, codec: str | None = None):
     """*Action*: write ``df`` as Parquet under the shared checkpoint folder and return
     a DataFrame reading it back. Cuts the lineage (downstream stages restart from the
     files, also after executor loss) and lets several consumers share one
     computation. Each call gets its own folder unless ``run_id`` is given."""
     spark = df.sparkSession
     path = shared_path(spark, "staffhouse-stage", run_id or uuid.uuid4().hex, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").option("compression", codec or "snappy").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
