@@ -81,12 +81,12 @@ def search_block(queries: pd.DataFrame, block: pd.DataFrame, dim: int, n_pivots:
 
 
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
-           n_pivots: int = 256, prefix: int = 128, rerank_share: float = 0.1, rerank_least: int = 200,
+           n_pivots: int = 256, prefix: int = 128, rerank_share: float = 0.15, rerank_least: int = 200,
            block_rows: int = 2048, query_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of every row that ``is_query`` marks (a condition
     on the id column), by cosine in double precision, ties to the smaller id, never the query itself.
 
-    The pivots are a bounded sample (``n_pivots`` vectors by a hash of the id); every vector is indexed.
+    The pivots are a bounded sample (``n_pivots`` distinct vectors by a hash of the id); every vector is indexed.
     Equal vectors share one index entry with their ``k`` + 1 smallest ids, which is all a result can show
     of them, so copies of one vector never meet in one task. Blocks of entries meet blocks of queries.
     Unusable vectors take no part; shorter vectors read as padded with zeros; of several rows with one id
@@ -99,13 +99,14 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
     entries = (rows.select("id", "vec").withColumn("rn", F.row_number().over(first)).filter(F.col("rn") <= k + 1)
                .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
                .withColumn("key", F.col("ids")[0]))
+    entries = stage(entries, "op6_entries")
     sizes = rows.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
     out = "qkey long, vec_id long, score double"
     spark = vectors.sparkSession
     if not sizes["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim = sizes["dim"]
-    pivots = _unit(_matrix([r["vec"] for r in rows.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()], dim))
+    pivots = _unit(_matrix([r["vec"] for r in entries.select("key", "vec").orderBy(F.xxhash64("key"), "key").limit(n_pivots).collect()], dim))
     p, prefix = len(pivots), min(prefix, len(pivots))
     index = stage(nearest_pivots(entries, pivots, prefix), "op6_index")
     asked = (rows.filter("is_q").groupBy("vec").agg(F.min("id").alias("qkey")))
