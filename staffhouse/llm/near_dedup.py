@@ -9,9 +9,9 @@ then confirmed on the full sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -62,12 +62,13 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
-    """(documents, SYMBOLS) keys: of every chunk, with each of its symbols left out in turn."""
+    """(documents, SYMBOLS) keys: of every chunk, with each of its symbols left out in turn; the lowest
+    bits of a key are the number of that symbol."""
     sig = signatures.astype(np.uint64) + _U(1)
     keys = np.empty(sig.shape, np.uint64)
     for j in range(SYMBOLS):
         c = j // PER * PER
-        keys[:, j] = _mix(sum((sig[:, i] * _KEYS[j, i - c] for i in range(c, c + PER) if i != j), _U(j)))
+        keys[:, j] = _mix(sum((sig[:, i] * _KEYS[j, i - c] for i in range(c, c + PER) if i != j), _U(j))) & ~_U(SYMBOLS - 1) | _U(j)
     return keys.view(np.int64)
 
 
@@ -118,41 +119,102 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, reps: DataFrame, bodies: DataFrame) -> DataFrame:
     """Pairs (a, b) whose signatures are within the limit and whose full sets are similar enough."""
-    sig, body = reps.select("rep", "sig"), bodies.select("rep", "body")
-    near = (pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-            .mapInArrow(_within, "a long, b long"))
+    sig, body = reps.select("rep", "sig", "n_shingles"), bodies.select("rep", "body")
+    both = pairs.join(sig.toDF("a", "sa", "na"), "a").join(sig.toDF("b", "sb", "nb"), "b")
+    # sets whose sizes are further apart than the similarity allows cannot be linked
+    both = both.filter(F.least("na", "nb") * SHARE[1] >= F.greatest("na", "nb") * SHARE[0])
+    near = both.select("a", "b", "sa", "sb").mapInArrow(_within, "a long, b long")
     return (near.join(body.toDF("a", "ta"), "a").join(body.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
             .mapInArrow(_confirm, "a long, b long"))
 
 
-def _open_pairs(buckets: DataFrame, comp: DataFrame, reps: DataFrame, block: int) -> DataFrame:
-    """Pairs from one bucket that are in different components and within the signature limit.
-
-    Only buckets that still hold several components are looked at. A bucket's members are dealt
-    to blocks of about ``block``, and pairs of blocks are compared in separate tasks, which give
-    back only pairs within the limit."""
-    member = (buckets.join(comp.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep")))
-    still = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"))
-             .filter("lo < hi").select("key", F.ceil(F.col("n") / block).cast("int").alias("nb")))
-    member = stage(member.join(still, "key").join(reps.select("rep", "sig"), "rep"), "op10_open")
-    at = member.withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("nb")).cast("int"))
-    dealt = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
-        "key", "rep", "c", "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
-
-    def compare(f: pd.DataFrame) -> pd.DataFrame:
-        i = f["i"].iloc[0]
-        x, y = f[f["own"] == i], f if f["j"].iloc[0] == i else f[f["own"] != i]
-        a, b = [], []
-        if len(x) and len(y):
-            sx, sy = (np.frombuffer(b"".join(z["sig"]), np.uint16).reshape(-1, SYMBOLS) for z in (x, y))
-            cx, cy, ix, iy = x["c"].to_numpy(), y["c"].to_numpy(), x["rep"].to_numpy(), y["rep"].to_numpy()
-            for k in range(len(x)):
-                other = np.flatnonzero(cy != cx[k])
-                hit = other[(sy[other] != sx[k]).sum(axis=1) <= LIMIT]
-                a.append(np.maximum(ix[k], iy[hit]))
-                b.append(np.minimum(ix[k], iy[hit]))
-        return pd.DataFrame({"a": np.concatenate(a) if a else [], "b": np.concatenate(b) if b else []}, dtype="int64").drop_duplicates()
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Rows sorted by (key, i, j) -> one dict of arrays for each group, whatever the batches."""
+    held: list[pa.RecordBatch] = []
+    for b in chain(batches, [None]):
+        if b is not None and not b.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, *([b] if b is not None else [])]).combine_chunks() if held or b is not None else None
+        if rows is None:
+            return
+        col = {c: rows[c].to_numpy() for c in ("key", "i", "j", "own", "rep", "c", "n")}
+        new = (col["key"][1:] != col["key"][:-1]) | (col["i"][1:] != col["i"][:-1]) | (col["j"][1:] != col["j"][:-1])
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), *([rows.num_rows] if b is None else [])]
+        col["sig"] = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        for low, high in zip(cuts, cuts[1:]):
+            yield {k: v[low:high] for k, v in col.items()}
+        # the last group may go on in the next batch; it has two blocks at most
+        held = [] if b is None else rows.slice(cuts[-1]).to_batches()
+
+
+def _candidates(g: dict[str, np.ndarray], x: int, among: np.ndarray) -> np.ndarray:
+    """Of the rows ``among``: in another component, of a size and a signature that may be linked with row x."""
+    y = among[(g["c"][among] != g["c"][x]) & (np.minimum(g["n"][among], g["n"][x]) * SHARE[1] >= np.maximum(g["n"][among], g["n"][x]) * SHARE[0])]
+    return y[(g["sig"][y] != g["sig"][x]).sum(axis=1) <= LIMIT] if len(y) else y
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    x = np.concatenate([np.empty(0, np.int64), *(f[0] for f in found)])
+    y = np.concatenate([np.empty(0, np.int64), *(f[1] for f in found)])
+    return pa.record_batch([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
+
+
+def _central(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every member of a block with the block's most central one: the nearest to the commonest symbols."""
+    found = []
+    for g in _groups(batches):
+        m = len(g["rep"])
+        s = np.sort(g["sig"], axis=0)
+        run = np.ones(s.shape, np.int32)
+        for k in range(1, m):
+            run[k] = np.where(s[k] == s[k - 1], run[k - 1] + 1, 1)
+        common = s[run.argmax(axis=0), np.arange(SYMBOLS)]
+        p = int((g["sig"] != common).sum(axis=1).argmin())
+        y = _candidates(g, p, np.arange(m))
+        found.append((np.full(len(y), g["rep"][p]), g["rep"][y]))
+    yield _pairs(found)
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of two blocks (or within one) that may be linked and are in different components. A pair
+    that shares several keys is given back under the first of them only."""
+    found = []
+    for g in _groups(batches):
+        i, j = g["i"][0], g["j"][0]
+        left, right = np.flatnonzero(g["own"] == i), np.flatnonzero(g["own"] == j)
+        here = int(g["key"][0]) & (SYMBOLS - 1)
+        for x in left:
+            y = _candidates(g, x, right[right > x] if i == j else right)
+            if len(y):
+                same = (g["sig"][y] == g["sig"][x]).reshape(len(y), CHUNKS, PER)
+                # key c * PER + s is shared if all symbols of chunk c but s agree
+                shared = (same.sum(axis=2, keepdims=True) - same == PER - 1).reshape(len(y), SYMBOLS)
+                y = y[shared.argmax(axis=1) == here]
+            if len(y):
+                found.append((np.full(len(y), g["rep"][x]), g["rep"][y]))
+        if len(found) > 1000:
+            yield _pairs(found)
+            found = []
+    yield _pairs(found)
+
+
+def _open(buckets: DataFrame, comp: DataFrame, reps: DataFrame, block: int, name: str) -> DataFrame:
+    """Members of the buckets that still hold several components, dealt to blocks of about ``block``.
+    A bucket of three is done: its smallest and its largest member were compared with all."""
+    member = buckets.join(comp.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    still = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m"))
+             .filter("lo < hi and m > 3").select("key", F.ceil(F.col("m") / block).cast("int").alias("nb")))
+    member = member.join(still, "key").join(reps.select("rep", "sig", F.col("n_shingles").alias("n")), "rep")
+    return stage(member.withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("nb")).cast("int")), name)
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    key = ["key", "i", "j"]
+    return rows.select(*key, "own", "rep", "c", "n", "sig").repartition(*key).sortWithinPartitions(*key)
+
+
+def _as_links(comp: DataFrame) -> DataFrame:
+    return comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
@@ -160,8 +222,9 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
     0.75 or more, for every row.
 
     Documents with equal sets are one node, so copies are never paired with each other. Every bucket
-    first links its members to its smallest and its largest one; only buckets that still hold several
-    components are searched further, in blocks, so large groups of near copies never meet pairwise.
+    first compares its members with its smallest and its largest one; buckets that still hold several
+    components compare theirs with the most central one, and what then is left open is searched in
+    blocks, between components only, so large groups of near copies are joined before any pairwise search.
     Null and empty texts have an empty set and are linked with nothing. Rows that share a doc_id count as
     linked, rows without one are left out. Extra columns are ignored; an empty table gives no rows."""
     sets = stage(document_sets(docs), "op10_sets")
@@ -179,9 +242,16 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
     member = stage(same_id, "op10_member")
     twice = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).filter("a > b").select("a", "b")
     links = stage(_linked(pairs, reps, bodies).unionByName(twice), "op10_links")
-    first = components(links)
-    more = stage(_linked(_open_pairs(buckets.select("key", "rep"), first, reps, block), reps, bodies), "op10_more")
-    final = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    comp = components(links)
+    buckets = buckets.select("key", "rep")
+    rows = _open(buckets, comp, reps, block, "op10_open").withColumns({"i": F.col("own"), "j": F.col("own")})
+    central = _linked(_dealt(rows).mapInArrow(_central, "a long, b long").distinct(), reps, bodies)
+    comp = components(_as_links(comp).unionByName(stage(central, "op10_central")))
+    rows = _open(buckets, comp, reps, block, "op10_rest")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    more = _linked(_dealt(rows).mapInArrow(_across, "a long, b long").distinct(), reps, bodies)
+    final = components(_as_links(comp).unionByName(stage(more, "op10_more")))
     empty = sets.filter("n_shingles = 0").select("doc_id", F.col("doc_id").alias("rep"), "n_shingles")
     return (member.unionByName(empty).join(final.toDF("rep", "c"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("c", "rep").alias("component_id"))
