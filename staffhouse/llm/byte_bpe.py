@@ -21,7 +21,7 @@ from staffhouse.llm.common import texts
 from staffhouse.llm.pieces import units
 
 LONG_WORD = 256         # longer words take the heap below: a round of the query costs their whole length
-REMEMBERED = 300_000    # units a task remembers before it forgets them all; only speed depends on it
+REMEMBERED = 500_000    # units a task remembers before it forgets them all; only speed depends on it
 BITS = 20               # pair keys and positions are packed; ranks stay far below 2^20
 
 ENCODE = f"""

@@ -26,7 +26,7 @@ WIDTHS = {0: (240, 0), 1: (120, 0), 2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15,
 POWERS = 1 << np.arange(61, dtype=np.int64)
 BLOCK = 4096
 END = 2
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 def _counts(ids: np.ndarray) -> np.ndarray:

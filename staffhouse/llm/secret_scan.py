@@ -57,11 +57,11 @@ def infer(s: str) -> tuple[str, int, np.ndarray] | None:
 def battery(s: str) -> tuple[float, float] | None:
     """(p of being text, p of being as regular as this by chance); None for strings without an encoding,
     of one kind of letters and for all-digit strings (numbers are not secrets by themselves)."""
+    if s.isalpha() and (s.islower() or s.isupper() or s.istitle()):
+        return None
     got = infer(s)
     if got is None or got[0] == "digits" or len(got[2]) < 16:
         return None
-    if s.isalpha() and (s.islower() or s.isupper() or s.istitle()):
-        return None
     _, k, x = got
     n = len(x)
     counts = np.bincount(x, minlength=k)
