@@ -149,7 +149,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool
            .groupBy(F.col("doc_id").alias("_cut_id"), F.col("th").alias("_cut_th")).agg(F.collect_list("at").alias("_cut_at")))
     cut = stage(cut, "op9_cut")
     at = (docs["doc_id"].cast("long") == F.col("_cut_id")) & (_key(docs["text"]) == F.col("_cut_th"))
-    out = docs.join(cut, at, "left")
+    # a merge join at every size: whether the table of cuts is small must not decide how texts move
+    out = docs.join(cut.hint("merge"), at, "left")
     changed = F.col("_cut_at").isNotNull()
     # only changed texts are sent to Python
     out = out.withColumn("_new", F.coalesce(_without(F.when(changed, F.col("text")), "_cut_at"), F.col("text")))
