@@ -223,29 +223,13 @@ def legal_break_hours(worked: ColumnOrName) -> Column:
     return band(worked, [6, 9], [0, 0.5, 0.75]).cast("decimal(3,2)")
 
 
-def flag(cond: Column) -> Column:
-    """Boolean condition as integer 1/0 (null condition -> 0)."""
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0))
-
-
 def compliance(required: ColumnOrName, actual: ColumnOrName) -> Column:
-    """'O' when the actual break covers the required one, 'X' otherwise.
-
-    Missing actual break: 'X' if a break was required, 'O' if none was; missing
-    requirement -> null.
-    """
-    r, a = _c(required), _c(actual)
-    return (F.when(r <= a, "O")
-             .when(r > a, "X")
-             .when(a.isNull() & (r > 0), "X")
-             .when((r == 0) & a.isNull(), "O"))
+    """'O' when the actual break (a missing one counts as none) covers the required one,
+    else 'X'; null when nothing is known to be required."""
+    r = _c(required)
+    return F.when(r.isNotNull(), F.when(F.coalesce(_c(actual), F.lit(0)) >= r, "O").otherwise("X"))
 
 
 def rating_digit(c: ColumnOrName) -> Column:
     """Leading digit of a rating text such as ``'4 🙂'`` or ``'3-MEDIUM'``."""
     return pg_left(c, 1).cast("int")
-
-
-def null_if_blank_text(c: ColumnOrName) -> Column:
-    """``fillna('')`` + ``astype(str)``: null -> ''."""
-    return F.coalesce(_c(c).cast("string"), F.lit(""))

@@ -8,7 +8,7 @@ Scale notes
   holding a third of all rows is pre-reduced on every mapper before the shuffle.
 * ``fill_down`` never windows over a whole partition key: rows are cut into blocks
   along the ordering, filled inside each block, and the carry between blocks comes
-  from windows over one summary row per block and one per group of blocks.
+  from windows over one summary row per block, inside groups of bounded size.
 * Series operators generate rows inside the task that owns the input row (``explode``);
   month steps are a closed form (no array folds). ``spread`` redistributes a small
   input by its key before such a row-multiplying generator.
@@ -82,52 +82,25 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | Non
     return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
-def first_per_key_generated(base: DataFrame, generate, base_keys: Sequence[str], out_keys: Sequence[str],
-                            order: Sequence[str] | None = None) -> DataFrame:
-    """``first_per_key(generate(base), out_keys, order)`` where ``generate`` turns every
-    base row into rows that are distinct among themselves on ``out_keys`` (a series)
-    and ``base_keys`` are the base-level columns that ``out_keys`` are derived from.
+# ---------------------------------------------------------------- pivot / unpivot
 
-    Generated rows can only collide when their base rows share ``base_keys``. The
-    base rows are counted per ``base_keys`` (a small aggregate before the explosion);
-    rows of unique base keys are generated without any shuffle, and only the colliding
-    remainder goes through the ``first_per_key`` aggregate. Exact for any data.
+def column_values(df: DataFrame, col: str) -> DataFrame:
+    """Distinct non-null values of ``col``, as rows: the domain may be of any size."""
+    return df.select(col).where(F.col(col).isNotNull()).distinct()
 
-    Pays off when ``base`` is cheap to read twice (materialised) and collisions are
-    rare; with an expensive ``base`` lineage a plain ``first_per_key`` after
-    ``spread`` is faster (measured on the payments models).
-    """
-    keys = list(base_keys)
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_dup_n"))
-    cond = None
-    for k in keys:
-        c = base[k].eqNullSafe(counts[k])
-        cond = c if cond is None else cond & c
-    marked = base.join(counts, cond, "inner").select(base["*"], counts["_dup_n"])
-    single = generate(marked.where(F.col("_dup_n") == 1).drop("_dup_n"))
-    multi = first_per_key(generate(marked.where(F.col("_dup_n") > 1).drop("_dup_n")), out_keys, order)
-    return single.unionByName(multi.select(*single.columns))
 
+def pivot_no_agg(df: DataFrame, keys: Sequence[str], col: str, val: str, values: Sequence) -> DataFrame:
+    """Attribute-value rows -> one column per attribute of ``values``, taking the (single)
+    value with ``max`` so text stays text. For an open domain keep the rows as they are or
+    use ``attributes_map``."""
+    return df.groupBy(*keys).pivot(col, list(values)).agg(F.max(val))
 
-# ---------------------------------------------------------------- pivot / unpivot
 
-def column_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
-    """*Action*: sorted distinct values of ``col`` (a pivot domain). The domain must be
-    small; more than ``max_values`` distinct values raises instead of building a huge plan."""
-    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_values + 1).collect()]
-    if len(vals) > max_values:
-        raise ValueError(f"pivot domain of {col!r} exceeds {max_values} values")
-    return sorted(vals)
-
-
-def pivot_no_agg(df: DataFrame, keys: Sequence[str], col: str, val: str,
-                 values: Sequence | None = None) -> DataFrame:
-    """Attribute-value rows -> one column per attribute, taking the (single) value with
-    ``max`` so text stays text. ``values`` fixes the output columns; without it the
-    domain is collected first (one extra small job)."""
-    if values is None:
-        values = column_values(df, col)
-    return df.groupBy(*keys).pivot(col, list(values)).agg(F.max(val))
+def attributes_map(df: DataFrame, keys: Sequence[str], col: str, val: str) -> DataFrame:
+    """The pivot of an open attribute domain: one map per key; one value per attribute (the
+    greatest), attributes of one key bounded by what one record holds."""
+    single = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.max(val).alias("_v"))
+    return single.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(col), F.col("_v"))))).alias("attributes"))
 
 
 def unpivot_measures(df: DataFrame, ids: Sequence[str], groups: Mapping[str, Sequence[ColumnOrName]],
@@ -180,7 +153,9 @@ def _is_leap(y: Column) -> Column:
 
 
 def _month_step_parts(start: ColumnOrName) -> dict[str, Column]:
-    """Per-start constants of the drifting month series (see ``month_step``)."""
+    """Per-start constants of the drifting month series (day of step k = the running minimum of the start day and
+    the month lengths passed; it drops at the first 30-day month, the first February and the
+    first non-leap February only)."""
     s = _c(start)
     m0, y0 = F.month(s), F.year(s)
     j_feb = ((F.lit(2) - m0 + 11) % 12) + 1
@@ -202,24 +177,6 @@ def _month_step_from_parts(k: Column) -> tuple[Column, Column]:
     return F.add_months(F.col("_ms_first"), k.cast("int")), day
 
 
-def month_step(start: ColumnOrName, k: ColumnOrName) -> Column:
-    """The k-th value of a monthly series that adds one month to the *previous* value
-    (Jan 31 -> Feb 29 -> Mar 29 -> ...), in closed form.
-
-    The day of step k is the running minimum of the start day and the lengths of the
-    months passed so far. Month lengths are 28-31, so the running minimum only drops at
-    the first 30-day month, the first February and the first non-leap February after
-    the start; their offsets come from the start month and year.
-    """
-    p = _month_step_parts(start)
-    k = _c(k)
-    day = F.least(p["_ms_day0"], F.when(k >= p["_ms_j30"], 30).otherwise(31),
-                  F.when(k >= p["_ms_jfeb"], p["_ms_febdays"]).otherwise(31),
-                  F.when(k >= p["_ms_jnl"], 28).otherwise(31))
-    first = F.add_months(p["_ms_first"], k.cast("int"))
-    return F.make_date(F.year(first), F.month(first), day)
-
-
 def spread(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Hash-repartition a (small) input by a unique key before a row-multiplying
     generator. Without it the generator runs in however few partitions the input has
@@ -266,49 +223,47 @@ def map_names(df: DataFrame, mapping: DataFrame, key: str, value: str, map_key:
     mk = map_key or key
     pairs = (mapping.where(F.col(value).isNotNull())
              .select(F.col(mk).alias("_map_key"), F.col(value)).distinct())
-    out = df.join(pairs, df[key] == pairs["_map_key"], "left").drop("_map_key")
-    return out
+    # rows without a key match nothing: they bypass the join, where all of them would meet in one task
+    known = df.where(F.col(key).isNotNull())
+    out = known.join(pairs, known[key] == pairs["_map_key"], "left").drop("_map_key")
+    none = df.where(F.col(key).isNull()).withColumn(value, F.lit(None).cast(pairs.schema[value].dataType))
+    return out.unionByName(none)
+
+
+FILL_FANOUT, FILL_LEVELS = 1 << 16, 4       # 2^64 blocks: every bigint block number
 
 
-def fill_down(df: DataFrame, col: str, order: Sequence[str], partition: Sequence[str] = (),
-              block: Column | None = None, as_: str | None = None, fanout: int = 4096) -> DataFrame:
+def fill_down(df: DataFrame, col: str, order: Sequence[str], block: Column, partition: Sequence[str] = (),
+              as_: str | None = None) -> DataFrame:
     """Forward fill: every null of ``col`` takes the last non-null value before it in
     ``order`` within ``partition``. Only nulls are filled ('' stops the fill).
 
-    ``block`` must be an integer column that is non-decreasing along ``order`` (for
-    example a bucket of the leading order column). Rows are filled inside each
-    (partition, block); the carry from earlier blocks comes from one summary row per
-    block, and the carry across groups of ``fanout`` blocks from one row per group, so
-    no task ever holds a whole partition key and the only window that spans a whole
-    partition key runs over rows / (block width x fanout) rows.
+    ``block`` must be a non-negative integer column that is non-decreasing along
+    ``order`` (a bucket of the leading order column, or of a row number). Rows are filled
+    inside each (partition, block). The carry from earlier blocks comes from one summary
+    row per block: blocks are grouped by ``FILL_FANOUT`` numbers, groups again, and a
+    window only ever runs over the members of one group, so no task holds more than a
+    block's rows or ``FILL_FANOUT`` summary rows, whatever the length of the table.
     """
     out_col = as_ or col
     part = list(partition)
-    if block is None and not part:
-        raise ValueError("fill_down over a whole table needs a block column (a single window would run "
-                         "in one task)")
-    if block is None:
-        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out_col, F.last(col, ignorenulls=True).over(w))
-    b = df.withColumn("_blk", block.cast("bigint"))
-    w_in = Window.partitionBy(*part, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    b = df.withColumn("_blk0", block.cast("bigint"))
+    w_in = Window.partitionBy(*part, "_blk0").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = b.withColumn("_local", F.last(col, ignorenulls=True).over(w_in))
     order_struct = F.struct(*[F.col(o) for o in order])
-    # level 1: one row per block with its last non-null value (null when it has none)
-    summary = (b.groupBy(*part, "_blk")
-               .agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order_struct)).alias("_blk_last"))
-               .withColumn("_sblk", F.floor(F.col("_blk") / fanout)))
-    w1 = Window.partitionBy(*part, "_sblk").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("_carry1", F.last("_blk_last", ignorenulls=True).over(w1))
-    # level 2: one row per group of blocks
-    groups = (summary.groupBy(*part, "_sblk")
-              .agg(F.max_by(F.col("_blk_last"), F.when(F.col("_blk_last").isNotNull(), F.col("_blk")))
-                   .alias("_sblk_last")))
-    w2 = Window.partitionBy(*part).orderBy("_sblk").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("_carry2", F.last("_sblk_last", ignorenulls=True).over(w2)).drop("_sblk_last")
-    starts = (summary.join(groups, [*part, "_sblk"], "left")
-              .select(*part, "_blk", F.coalesce(F.col("_carry1"), F.col("_carry2")).alias("_carry")))
-    out = filled.join(starts, [*part, "_blk"], "left")
+    # one row per block with its last non-null value (null when it has none)
+    level = (b.groupBy(*part, "_blk0")
+             .agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order_struct)).alias("_last")))
+    starts = None
+    for k in range(FILL_LEVELS):
+        own, up = f"_blk{k}", f"_blk{k + 1}"
+        level = level.withColumn(up, F.floor(F.col(own) / FILL_FANOUT).cast("bigint"))
+        before = Window.partitionBy(*part, up).orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
+        carried = level.withColumn(f"_c{k}", F.last("_last", ignorenulls=True).over(before)).drop("_last")
+        starts = carried if starts is None else starts.join(carried, [*part, own], "left")
+        level = level.groupBy(*part, up).agg(
+            F.max_by(F.col("_last"), F.when(F.col("_last").isNotNull(), F.col(own))).alias("_last"))
+    carry = F.coalesce(*[F.col(f"_c{k}") for k in range(FILL_LEVELS)])
+    out = filled.join(starts.select(*part, "_blk0", carry.alias("_carry")), [*part, "_blk0"], "left")
     res = out.withColumn(out_col, F.coalesce(F.col("_local"), F.col("_carry")))
-    keep = [c for c in df.columns if c != out_col] + [out_col] if out_col not in df.columns else df.columns
-    return res.select(*keep)
+    return res.select(*(df.columns if out_col in df.columns else [*df.columns, out_col]))

@@ -16,8 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.readers import balanced
-from ..sources.schemas import CONTRACT, EMPLOYEE
+from ..sources.schemas import COMPENSATION, CONTRACT, CUSTOM_TABLE, CUSTOM_TABLE_COL, EMPLOYEE, TEAM
 
 # fixed values: as-of dates for the two time domains of the driver data
 AS_OF_ORDERS = "2001-06-01"
@@ -30,13 +29,8 @@ CUSTOM_COLUMNS = [(11, "Titel"), (12, "Datum"), (13, "Typ"), (14, "Enddatum"), (
 PIVOT_LABELS = sorted({label for _, label in CUSTOM_COLUMNS})
 
 
-# tables whose per-row adapter work is heavy enough to spread an unsplit scan
-_SPREAD = {"lineitem", "orders", "events"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df) if name in _SPREAD else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _typed_nulls(schema, present: dict) -> list:
@@ -95,11 +89,15 @@ def teams(customer: DataFrame) -> DataFrame:
     """Teams of at most 100 people (nation x key block); the member array of a team is
     bounded by construction."""
     blk = F.floor(F.col("c_custkey") / 100)
-    g = customer.groupBy(F.col("c_nationkey"), blk.alias("blk")).agg(F.collect_list("c_custkey").alias("employee_ids"))
-    return g.select((F.col("c_nationkey") * 1_000_000 + F.col("blk")).cast("bigint").alias("id"),
-                    F.concat(F.lit("Team "), F.col("c_nationkey").cast("string"), F.lit("-"),
-                             F.col("blk").cast("string")).alias("name"),
-                    "employee_ids")
+    ids = F.sort_array(F.collect_list("c_custkey"))
+    g = customer.groupBy(F.col("c_nationkey"), blk.alias("blk")).agg(ids.alias("employee_ids"))
+    present = {
+        "id": (F.col("c_nationkey") * 1_000_000 + F.col("blk")).cast("bigint"),
+        "name": F.concat(F.lit("Team "), F.col("c_nationkey").cast("string"), F.lit("-"), F.col("blk").cast("string")),
+        "employee_ids": F.col("employee_ids"),
+        "avatar": F.concat(F.lit("team-"), F.col("blk").cast("string"), F.lit(".png")),
+    }
+    return g.select(*_typed_nulls(TEAM, present))
 
 
 # ---------------------------------------------------------------- orders
@@ -115,6 +113,9 @@ def contracts(orders: DataFrame) -> DataFrame:
         "salary_frequency": F.when(k % 2 == 0, "monthly").otherwise("hourly"),
         "working_hours": F.when(k % 3 == 0, F.lit(4000).cast("bigint")).when(k % 3 == 1, F.lit(3200).cast("bigint")),
         "working_hours_frequency": F.lit("weekly"),
+        "country": F.when(k % 4 == 0, "de").otherwise("es"),
+        "es_has_teleworking_contract": k % 5 == 0,
+        "de_contract_type_id": F.when(k % 4 == 0, k % 7),
     }
     return orders.select(*_typed_nulls(CONTRACT, present))
 
@@ -125,24 +126,26 @@ def mood_answers(orders: DataFrame) -> DataFrame:
                          F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
                          F.col("o_orderpriority").alias("rating"),
                          F.when(k % 3 == 0, F.col("o_orderstatus")).alias("feedback"),
-                         F.when(k % 5 == 0, F.lit("zu laut")).alias("feedback_bad_rating"))
+                         F.when(k % 5 == 0, F.lit("zu laut")).alias("feedback_bad_rating"),
+                         F.concat(F.lit("pa"), k.cast("string")).alias("__PowerAppsId__"))
 
 
 # ---------------------------------------------------------------- lineitem
 
 def compensation(lineitem: DataFrame) -> DataFrame:
     ln = F.col("l_linenumber")
-    return lineitem.select(
-        (F.col("l_orderkey") * 8 + ln).cast("bigint").alias("id"),
-        F.col("l_orderkey").alias("contract_version_id"),
-        F.concat(F.lit("Zulage "), F.col("l_returnflag"), F.col("l_linestatus")).alias("description"),
-        F.lit("fixed").alias("compensation_type"),
-        F.when(ln != 7, F.floor(F.col("l_quantity") * 50).cast("bigint")).alias("amount"),
-        F.lit("monthly").alias("recurrence"),
-        F.lit(None).cast("date").alias("first_payment_on"),
-        F.lit(False).alias("sync_with_supplements"),
-        (F.col("l_suppkey") % 5).cast("bigint").alias("contracts_taxonomy_id"),
-        F.when(ln % 2 == 0, F.col("l_shipdate").cast("date")).alias("starts_on"))
+    present = {
+        "id": (F.col("l_orderkey") * 8 + ln).cast("bigint"),
+        "contract_version_id": F.col("l_orderkey"),
+        "description": F.concat(F.lit("Zulage "), F.col("l_returnflag"), F.col("l_linestatus")),
+        "compensation_type": F.lit("fixed"),
+        "amount": F.when(ln != 7, F.floor(F.col("l_quantity") * 50).cast("bigint")),
+        "recurrence": F.lit("monthly"),
+        "sync_with_supplements": F.lit(False),
+        "contracts_taxonomy_id": (F.col("l_suppkey") % 5).cast("bigint"),
+        "starts_on": F.when(ln % 2 == 0, F.col("l_shipdate").cast("date")),
+    }
+    return lineitem.select(*_typed_nulls(COMPENSATION, present))
 
 
 def lunchit_export(lineitem: DataFrame) -> DataFrame:
@@ -239,9 +242,19 @@ def custom_values(part: DataFrame) -> DataFrame:
                        tid.alias("table_id"))
 
 
+def custom_value_records(part: DataFrame) -> DataFrame:
+    """The same records as landed: JSON text, fixed keys and open attribute keys side by side."""
+    v = custom_values(part)
+    body = F.to_json("col_val", {"ignoreNullFields": "false"})
+    return v.select(F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit(', "employee_id": '), F.col("employee_id").cast("string"),
+                             F.lit(', "table_id": '), F.col("table_id").cast("string"), F.lit(", "), F.substr(body, F.lit(2))).alias("raw"))
+
+
 def custom_tables(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CUSTOM_TABLES, "id bigint, name string")
+    df = spark.createDataFrame(CUSTOM_TABLES, "id bigint, name string")
+    return df.select(*_typed_nulls(CUSTOM_TABLE, {c: F.col(c) for c in df.columns}))
 
 
 def custom_columns(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CUSTOM_COLUMNS, "id bigint, label string")
+    df = spark.createDataFrame(CUSTOM_COLUMNS, "id bigint, label string")
+    return df.select(*_typed_nulls(CUSTOM_TABLE_COL, {c: F.col(c) for c in df.columns}))

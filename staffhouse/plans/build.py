@@ -10,98 +10,132 @@ name_mapping, processed_lunchit, processed_troi``.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ..functions import measures as MS
 from ..operators import quality as Q
-from ..operators import relational as R
-from ..session import materialise as stage
+from ..session import drop_stage, materialise
 from ..sources import sinks
 from . import checks as K
 from . import marts as M
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str, run_id: str) -> DataFrame:
-    """Write an intermediate under the cluster's shared checkpoint folder and read it
-    back: downstream stages restart from these files instead of recomputing."""
-    return stage(df, name, run_id)
+# models written before others read them: several readers, or shared with the checks
+STAGED = ["dim_employees", "fill_contract_dates", "factorial_map_custom_tables", "industrial_working_hours", "industrial_break_time",
+          "cleaned_absences", "processed_lunchit", "salary_payment", "benefit_payment", "inflation_payment", "lunchit_payment",
+          "payments_union"]
 
 
-def build_models(spark: SparkSession, src: Mapping[str, DataFrame], as_of=None,
-                 run_id: str = "latest", labels: list[str] | None = None) -> dict[str, DataFrame]:
-    """All models as DataFrames (intermediates materialised)."""
+def build_models(src: Mapping[str, DataFrame], as_of=None, stage=lambda df, name: df) -> dict[str, DataFrame]:
+    """All models as DataFrames. ``stage(df, name)`` is called for the models in ``STAGED`` and for
+    the report tables; without it nothing runs while the models are built."""
     m: dict[str, DataFrame] = {}
-    m["factorial_active_employees"] = M.active_employees(src["employees"])
-    m["factorial_terminated_employees"] = M.terminated_employees(src["employees"])
-    m["factorial_contracts"] = M.base_contracts(src["contracts"])
-    m["factorial_compensation"] = M.base_compensation(src["compensation"])
-    m["factorial_custom_tables"] = M.base_custom_tables(src["custom_tables"])
-    m["factorial_custom_tables_col"] = M.base_custom_tables_col(src["custom_tables_col"])
-    m["factorial_custom_tables_val"] = M.base_custom_tables_val(src["custom_tables_val"])
-    m["factorial_teams"] = M.base_teams(src["teams"])
-    m["mood_survey_answers"] = M.mood_survey_answers(src["mood_survey_answers"])
-    m["name_mapping_pto"] = M.name_mapping_pto(src["name_mapping"])
-    m["processed_lunchit"] = M.processed_lunchit(src["processed_lunchit"])
-    m["processed_troi"] = M.processed_troi(src["processed_troi"])
-
-    m["dim_employees"] = materialise(spark, M.dim_employees(
-        m["factorial_terminated_employees"], m["factorial_active_employees"], m["factorial_contracts"]),
-        "dim_employees", run_id)
-    m["fill_contract_dates"] = materialise(spark, M.fill_contract_dates(
-        m["factorial_contracts"], m["dim_employees"], as_of), "fill_contract_dates", run_id)
-    m["factorial_unpack_custom_table_val"] = M.unpack_custom_values(m["factorial_custom_tables_val"])
-    m["factorial_map_custom_tables"] = materialise(spark, M.label_custom_values(
-        m["factorial_unpack_custom_table_val"], m["factorial_custom_tables"], m["factorial_custom_tables_col"]),
-        "factorial_map_custom_tables", run_id)
-    labels = labels or R.column_values(m["factorial_custom_tables_col"], "label")
-
-    m["map_names_troi"] = M.map_names_troi(m["processed_troi"], m["name_mapping_pto"])
-    m["industrial_working_hours"] = materialise(spark, M.industrial_working_hours(m["map_names_troi"]),
-                                                "industrial_working_hours", run_id)
-    m["industrial_break_time"] = M.break_hours(m["industrial_working_hours"])
-    m["cleaned_absences"] = materialise(spark, M.cleaned_absences(m["industrial_working_hours"]),
-                                        "cleaned_absences", run_id)
-
-    m["salary_payment"] = M.salary_payment(m["fill_contract_dates"])
-    m["benefit_payment"] = M.benefit_payment(m["factorial_compensation"], m["fill_contract_dates"])
-    m["inflation_payment"] = M.inflation_payment(m["factorial_map_custom_tables"], labels)
-    m["map_lunchit"] = M.map_lunchit(m["processed_lunchit"], m["name_mapping_pto"])
-    m["lunchit_payment"] = M.lunchit_payment(m["map_lunchit"], m["factorial_active_employees"])
-
-    m["dim_contracts"] = M.dim_contracts(m["factorial_contracts"], m["dim_employees"], as_of)
-    m["dim_date_table"] = M.dim_date_table(m["dim_employees"], as_of)
-    m["dim_name_mapping"] = M.dim_name_mapping(m["name_mapping_pto"])
-    m["dim_teams"] = M.dim_teams(m["factorial_teams"])
-    m["fct_payments"] = M.fct_payments(m["salary_payment"], m["lunchit_payment"], m["inflation_payment"],
-                                       m["benefit_payment"],
-                                       materialise=lambda df: materialise(spark, df, "payments_union", run_id))
-    m["fct_absences"] = M.fct_absences(m["cleaned_absences"])
-    m["fct_absence_length"] = M.fct_absence_length(m["cleaned_absences"])
-    m["fct_working_hours"] = M.fct_working_hours(m["cleaned_absences"], m["industrial_break_time"])
-    m["fct_pto_entitlement"] = M.fct_pto_entitlement(m["name_mapping_pto"], m["cleaned_absences"])
-    m["fct_mood_survey"] = M.fct_mood_survey(m["mood_survey_answers"])
-    m["fct_trainings"] = M.fct_trainings(m["factorial_map_custom_tables"], labels)
+
+    def add(name: str, df: DataFrame) -> None:
+        m[name] = stage(df, name) if name in STAGED or name in REPORT_TABLES else df
+    add("factorial_active_employees", M.active_employees(src["employees"]))
+    add("factorial_terminated_employees", M.terminated_employees(src["employees"]))
+    add("factorial_contracts", M.base_contracts(src["contracts"]))
+    add("factorial_compensation", M.base_compensation(src["compensation"]))
+    add("factorial_custom_tables", M.base_custom_tables(src["custom_tables"]))
+    add("factorial_custom_tables_col", M.base_custom_tables_col(src["custom_tables_col"]))
+    add("factorial_custom_tables_val", M.base_custom_tables_val(src["custom_tables_val"]))
+    add("factorial_teams", M.base_teams(src["teams"]))
+    add("mood_survey_answers", M.mood_survey_answers(src["mood_survey_answers"]))
+    add("name_mapping_pto", M.name_mapping_pto(src["name_mapping"]))
+    add("processed_lunchit", M.processed_lunchit(src["processed_lunchit"]))
+    add("processed_troi", M.processed_troi(src["processed_troi"]))
+
+    add("dim_employees", M.dim_employees(m["factorial_terminated_employees"], m["factorial_active_employees"], m["factorial_contracts"]))
+    add("_dim_employees", M.employee_copy(m["dim_employees"]))
+    add("fill_contract_dates", M.fill_contract_dates(m["factorial_contracts"], m["dim_employees"], as_of))
+    add("factorial_unpack_custom_table_val", M.unpack_custom_values(m["factorial_custom_tables_val"]))
+    add("factorial_map_custom_tables", M.label_custom_values(
+        m["factorial_unpack_custom_table_val"], m["factorial_custom_tables"], m["factorial_custom_tables_col"]))
+
+    add("map_names_troi", M.map_names_troi(m["processed_troi"], m["name_mapping_pto"]))
+    add("industrial_working_hours", M.industrial_working_hours(m["map_names_troi"]))
+    add("industrial_break_time", M.break_hours(m["industrial_working_hours"]))
+    add("cleaned_absences", M.cleaned_absences(m["industrial_working_hours"]))
+
+    add("salary_payment", M.salary_payment(m["fill_contract_dates"]))
+    add("benefit_payment", M.benefit_payment(m["factorial_compensation"], m["fill_contract_dates"]))
+    add("inflation_payment", M.inflation_payment(m["factorial_map_custom_tables"]))
+    add("map_lunchit", M.map_lunchit(m["processed_lunchit"], m["name_mapping_pto"]))
+    add("lunchit_payment", M.lunchit_payment(m["map_lunchit"], m["factorial_active_employees"]))
+    add("payments_union", M.payments_union(m["salary_payment"], m["lunchit_payment"], m["inflation_payment"], m["benefit_payment"]))
+
+    add("dim_contracts", M.dim_contracts(m["factorial_contracts"], m["dim_employees"], as_of))
+    add("dim_date_table", M.dim_date_table(m["dim_employees"], as_of))
+    add("dim_date_table_previous", MS.previous_period(m["dim_date_table"].select("date")))
+    add("dim_name_mapping", M.dim_name_mapping(m["name_mapping_pto"]))
+    add("dim_teams", M.dim_teams(m["factorial_teams"]))
+    add("fct_payments", M.fct_payments(m["payments_union"]))
+    add("fct_absences", M.fct_absences(m["cleaned_absences"]))
+    add("fct_absence_length", M.fct_absence_length(m["cleaned_absences"]))
+    add("fct_working_hours", M.fct_working_hours(m["cleaned_absences"], m["industrial_break_time"]))
+    add("fct_pto_entitlement", M.fct_pto_entitlement(m["name_mapping_pto"], m["cleaned_absences"]))
+    add("fct_mood_survey", M.fct_mood_survey(m["mood_survey_answers"]))
+    add("fct_trainings", M.fct_trainings(m["factorial_map_custom_tables"]))
     return m
 
 
-REPORT_TABLES = ["dim_employees", "dim_contracts", "fct_payments", "dim_teams", "fct_trainings", "fct_mood_survey",
+REPORT_TABLES = ["dim_employees", "_dim_employees", "dim_contracts", "fct_payments", "dim_teams", "fct_trainings", "fct_mood_survey",
                  "fct_working_hours", "fct_absences", "fct_absence_length", "dim_name_mapping", "dim_date_table",
-                 "fct_pto_entitlement"]
-
-
-def build_and_publish(spark: SparkSession, src: Mapping[str, DataFrame], target: str, as_of=None,
-                      run_id: str = "latest", gate: bool = True) -> DataFrame:
-    """*Action*: build, run the declared tests, and (if they pass, or ``gate=False``)
-    publish the report tables under ``target/<table>``. Returns the test results."""
-    models = build_models(spark, src, as_of, run_id)
-    results = Q.run_checks(K.declared_suite(models)).cache()
+                 "dim_date_table_previous", "fct_pto_entitlement"]
+
+# which models each report table is made from: a failing check holds these back
+_FEEDS = {
+    "dim_employees": ["factorial_active_employees", "factorial_terminated_employees", "factorial_contracts"],
+    "_dim_employees": ["dim_employees"], "dim_contracts": ["factorial_contracts", "dim_employees"],
+    "fill_contract_dates": ["factorial_contracts", "dim_employees"], "salary_payment": ["fill_contract_dates"],
+    "benefit_payment": ["factorial_compensation", "fill_contract_dates"], "inflation_payment": ["factorial_map_custom_tables"],
+    "lunchit_payment": ["processed_lunchit", "factorial_active_employees"],
+    "fct_payments": ["salary_payment", "benefit_payment", "inflation_payment", "lunchit_payment"],
+    "factorial_map_custom_tables": ["factorial_unpack_custom_table_val", "factorial_custom_tables", "factorial_custom_tables_col"],
+    "factorial_unpack_custom_table_val": ["factorial_custom_tables_val"], "fct_trainings": ["factorial_map_custom_tables"],
+    "dim_teams": ["factorial_teams"], "fct_mood_survey": ["mood_survey_answers"],
+    "map_names_troi": ["processed_troi"], "industrial_working_hours": ["map_names_troi"],
+    "industrial_break_time": ["industrial_working_hours"], "cleaned_absences": ["industrial_working_hours"],
+    "fct_working_hours": ["cleaned_absences", "industrial_break_time"], "fct_absences": ["cleaned_absences"],
+    "fct_absence_length": ["cleaned_absences"], "fct_pto_entitlement": ["cleaned_absences"],
+    "dim_date_table": ["dim_employees"], "dim_date_table_previous": ["dim_date_table"],
+}
+
+
+def held_back(failed: set[str]) -> set[str]:
+    """The failed models and everything made from them."""
+    out = set(failed)
+    while True:
+        more = {t for t, feeds in _FEEDS.items() if t not in out and out.intersection(feeds)}
+        if not more:
+            return out
+        out |= more
+
+
+def build_and_publish(spark: SparkSession, src: Mapping[str, DataFrame], target: str, as_of=None, gate: bool = True) -> DataFrame:
+    """*Action*: build, run the declared tests and references on the staged tables, and copy
+    these very tables to ``target/<table>``.
+
+    With ``gate`` a failing check holds back its table and the tables made from it, the
+    others are published, and an error says which checks failed; the results of all checks
+    are under ``target/_checks/<run>``. Staged files are removed at the end."""
+    run = uuid.uuid4().hex
+    models = build_models(src, as_of, lambda df, name: materialise(df, name, run))
+    suite = {**K.declared_suite(models)}
+    results = Q.run_checks(suite).unionByName(Q.run_checks(K.reference_suite(models)))
+    path = f"{target.rstrip('/')}/_checks/{run}"
+    results.write.parquet(path)
+    results = spark.read.parquet(path)
+    bad = [r for r in results.where("violations > 0").collect()]       # one row a declared check
+    back = held_back({r["table"] for r in bad}) if gate else set()
+    for name in REPORT_TABLES:
+        if name not in back:
+            sinks.publish_path(models[name], f"{target.rstrip('/')}/{name}")
+    drop_stage(spark, run)
     if gate:
         Q.assert_clean(results)
-    for name in REPORT_TABLES:
-        sinks.publish_path(models[name], f"{target.rstrip('/')}/{name}")
-    # report-only companions
-    prev = models["dim_date_table"].select("date").withColumn("previous_date", F.add_months("date", -12))
-    sinks.publish_path(prev, f"{target.rstrip('/')}/dim_date_table_previous")
     return results

@@ -2,11 +2,13 @@
 adapters, with its oracle SQL (``plans/oracle.py``) under the same key."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import measures as MS
 from ..operators import quality as Q
@@ -14,7 +16,9 @@ from ..operators import relational as R
 from ..session import materialise
 from ..sources import readers as S
 from ..streaming import anonymise as E
+from ..streaming import ingest as IN
 from . import adapters as A
+from . import build as B
 from . import checks as K
 from . import marts as M
 from . import oracle as O
@@ -24,12 +28,8 @@ class Lineage:
     """Lazily built models for one (session, data folder); each attribute is a
     DataFrame plan, nothing runs until an action."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, share: bool = False):
-        self.spark, self.sf_dir, self.share = spark, sf_dir, share
-
-    def _shared(self, df: DataFrame, name: str) -> DataFrame:
-        """Models read by several marts of one query are stored once when ``share``."""
-        return materialise(df, name) if self.share else df
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
     def t(self, name: str) -> DataFrame:
         return A.table(self.spark, self.sf_dir, name)
@@ -45,12 +45,10 @@ class Lineage:
     def contracts_base(self): return M.base_contracts(A.contracts(self.t("orders")))
     @cached_property
     def dim_employees(self):
-        return self._shared(M.dim_employees(self.terminated, self.active, self.contracts_base), "dim_employees")
+        return M.dim_employees(self.terminated, self.active, self.contracts_base)
     @cached_property
     def filled(self):
-        # read by salary, benefit and checks: stored once when the query shares models
-        return self._shared(M.fill_contract_dates(self.contracts_base, self.dim_employees,
-                                                  F.lit(A.AS_OF_ORDERS).cast("date")), "fill_contract_dates")
+        return M.fill_contract_dates(self.contracts_base, self.dim_employees, F.lit(A.AS_OF_ORDERS).cast("date"))
     @cached_property
     def salary(self): return M.salary_payment(self.filled)
     @cached_property
@@ -69,27 +67,35 @@ class Lineage:
     def unpacked(self): return M.unpack_custom_values(M.base_custom_tables_val(A.custom_values(self.t("part"))))
     @cached_property
     def mapped_custom(self):
-        return self._shared(M.label_custom_values(self.unpacked, M.base_custom_tables(A.custom_tables(self.spark)),
-                                                  M.base_custom_tables_col(A.custom_columns(self.spark))),
-                            "mapped_custom")
-    @cached_property
-    def labels(self): return R.column_values(A.custom_columns(self.spark), "label")
+        return M.label_custom_values(self.unpacked, M.base_custom_tables(A.custom_tables(self.spark)),
+                                     M.base_custom_tables_col(A.custom_columns(self.spark)))
     @cached_property
-    def inflation(self): return M.inflation_payment(self.mapped_custom, self.labels)
+    def inflation(self): return M.inflation_payment(self.mapped_custom)
     @cached_property
     def payments(self):
-        return M.fct_payments(self.salary, self.lunchit_pay, self.inflation, self.benefit,
-                              materialise=lambda df: materialise(df, "payments_union"))
+        return M.fct_payments(M.payments_union(self.salary, self.lunchit_pay, self.inflation, self.benefit))
     @cached_property
     def troi(self): return M.processed_troi(A.troi_export(self.t("events")))
     @cached_property
     def troi_mapped(self): return M.map_names_troi(self.troi, self.mapping)
     @cached_property
-    def iwh(self): return self._shared(M.industrial_working_hours(self.troi_mapped), "industrial_working_hours")
+    def iwh(self): return M.industrial_working_hours(self.troi_mapped)
     @cached_property
     def breaks(self): return M.break_hours(self.iwh)
     @cached_property
-    def cleaned(self): return self._shared(M.cleaned_absences(self.iwh), "cleaned_absences")
+    def cleaned(self): return M.cleaned_absences(self.iwh)
+
+    def staged_models(self) -> dict[str, DataFrame]:
+        """*Action*: the production build over the driver tables, shared models and report tables
+        written once (``plans/build.py``)."""
+        src = {"employees": self.employees_src, "contracts": A.contracts(self.t("orders")),
+               "compensation": A.compensation(self.t("lineitem")), "teams": A.teams(self.t("customer")),
+               "custom_tables": A.custom_tables(self.spark), "custom_tables_col": A.custom_columns(self.spark),
+               "custom_tables_val": A.custom_values(self.t("part")), "mood_survey_answers": A.mood_answers(self.t("orders")),
+               "name_mapping": A.name_mapping(self.t("customer")), "processed_lunchit": A.lunchit_export(self.t("lineitem")),
+               "processed_troi": A.troi_export(self.t("events"))}
+        run = uuid.uuid4().hex
+        return B.build_models(src, F.lit(A.AS_OF_ORDERS).cast("date"), lambda df, name: materialise(df, name, run))
 
 
 def _l(spark, sf_dir) -> Lineage:
@@ -101,7 +107,7 @@ def _l(spark, sf_dir) -> Lineage:
 def q_contract_end_dates(spark, d): return _l(spark, d).filled
 def q_salary_months(spark, d): return _l(spark, d).salary
 def q_benefit_months(spark, d): return _l(spark, d).benefit
-def q_payments_fact(spark, d): return Lineage(spark, d, share=True).payments
+def q_payments_fact(spark, d): return _l(spark, d).payments
 def q_employees_dim(spark, d): return _l(spark, d).dim_employees
 
 
@@ -166,24 +172,50 @@ def q_custom_values_labelled(spark, d): return _l(spark, d).mapped_custom
 
 def q_custom_pivot(spark, d):
     lin = _l(spark, d)
-    return R.pivot_no_agg(lin.mapped_custom, ["factorial_id", "id"], "col_name", "val", lin.labels)
+    return R.pivot_no_agg(lin.mapped_custom, ["factorial_id", "id"], "col_name", "val", A.PIVOT_LABELS)
 
 
 def q_trainings(spark, d):
     lin = _l(spark, d)
-    return M.fct_trainings(lin.mapped_custom, lin.labels)
+    return M.fct_trainings(lin.mapped_custom)
 
 
 def q_inflation_payment(spark, d): return _l(spark, d).inflation
 def q_meal_payment(spark, d): return _l(spark, d).lunchit_pay
 
-ACTIVE_COLS = ["id", "first_name", "last_name", "full_name", "email", "birthday_on", "gender",
-               "company_identifier", "terminated_on"]
+
+
+def _lists_as_text(df: DataFrame) -> DataFrame:
+    """Id lists as comma-separated text, every other column as it is."""
+    return df.select(*[F.array_join(c, ",").alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes])
 
 
 def q_active_employees(spark, d):
     lin = _l(spark, d)
-    return M.active_employees(S.record_filter(lin.employees_src, F.col("terminated_on").isNull())).select(*ACTIVE_COLS)
+    return _lists_as_text(M.active_employees(S.record_filter(lin.employees_src, F.col("terminated_on").isNull())))
+
+
+def q_contracts_base(spark, d): return _lists_as_text(_l(spark, d).contracts_base)
+def q_teams_base(spark, d): return _lists_as_text(M.base_teams(A.teams(_l(spark, d).t("customer"))))
+def q_employee_copy(spark, d): return M.employee_copy(_l(spark, d).dim_employees)
+
+
+def q_custom_values_raw(spark, d):
+    """Landed value records (text with open attribute keys) -> map -> rows."""
+    raw = A.custom_value_records(_l(spark, d).t("part"))
+    return M.unpack_custom_values(M.base_custom_tables_val(S.custom_value_records(raw, "raw")))
+
+
+def q_record_extract(spark, d):
+    """Response bodies (one JSON array for each nation and hundred keys) -> records."""
+    c = _l(spark, d).t("customer")
+    body = c.groupBy("c_nationkey", F.floor(F.col("c_custkey") / 100)).agg(
+        F.to_json(F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))).alias("body"))
+    return S.extract_records(body, "body", T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())]))
+
+
+def q_parent_slices(spark, d):
+    return S.parent_keys(A.teams(_l(spark, d).t("customer")), "id", "team_id")
 
 
 def q_terminated_employees(spark, d): return _l(spark, d).terminated
@@ -206,7 +238,7 @@ def q_first_per_key(spark, d):
 def _raw_export(lin: Lineage) -> DataFrame:
     """A time-tracking export before anonymisation: one header row per order carrying
     the person's name (an unknown 'Last, First' name for every 13th), then its lines as
-    day rows; row order (k, line)."""
+    day rows, some of them a note that holds another person's name; row order (k, line)."""
     o = lin.t("orders").select(
         F.col("o_orderkey").alias("k"), F.lit(0).alias("line"),
         F.when(F.col("o_orderkey") % 13 == 0, F.lit("Unbekannt, Person"))
@@ -214,19 +246,22 @@ def _raw_export(lin: Lineage) -> DataFrame:
         F.lit("").alias("Arbeitszeit"))
     li = lin.t("lineitem").select(
         F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("Monat"), F.lit("08:00").alias("Arbeitszeit"))
+        F.when((F.col("l_linenumber") == 2) & (F.col("l_orderkey") % 5 == 0),
+               F.concat(F.lit("Vertretung Customer#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"), F.lit(" (halbtags)")))
+         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("Monat"), F.lit("08:00").alias("Arbeitszeit"))
     return o.unionByName(li)
 
 
 def q_export_anonymise(spark, d):
     lin = _l(spark, d)
-    mapping = lin.mapping.where(F.col("troi_name").isNotNull()).select(F.col("id").cast("string").alias("id"),
-                                                                      "troi_name", "email")
+    # a name with two entries has two ids here: its rows fan out and are filled in the order of the ids
+    other = F.when(F.col("email").startswith("alt"), F.col("id") + 1_000_000).otherwise(F.col("id"))
+    mapping = lin.mapping.where(F.col("troi_name").isNotNull()).select(other.cast("string").alias("id"), "troi_name", "email")
     merged = E.map_ids(_raw_export(lin), mapping, "Monat", "troi_name")
     masked = E.mask_values(merged, "Monat", "troi_name")
-    ided = E.default_id(masked, "Monat")
-    filled = R.fill_down(ided, "id", ["k", "line"], block=F.floor(F.col("k") / 4096))
-    return E.drop_identifiers(filled, [])
+    ided = E.default_id(masked, "Monat").withColumn("fan", F.coalesce("id", F.lit("")))
+    filled = R.fill_down(ided, "id", ["k", "line", "fan"], F.floor(F.col("k") / 4096))
+    return E.drop_identifiers(filled, ["fan"])
 
 
 def q_fill_down(spark, d):
@@ -235,7 +270,7 @@ def q_fill_down(spark, d):
                                F.col("o_custkey").alias("v"))
     li = lin.t("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"),
                                   F.lit(None).cast("bigint").alias("v"))
-    return R.fill_down(o.unionByName(li), "v", ["k", "line"], block=F.floor(F.col("k") / 4096))
+    return R.fill_down(o.unionByName(li), "v", ["k", "line"], F.floor(F.col("k") / 4096))
 
 
 def q_watermark_slice(spark, d):
@@ -252,6 +287,24 @@ def q_watermark_slice(spark, d):
     return E.slice_between(f, "Monat", lo, hi)
 
 
+def q_export_increment(spark, d):
+    """Cumulative weekly files (a week and the one before it): the processed rows are those
+    after the previous file's date, whichever run that file came with."""
+    ev = _l(spark, d).t("events")
+    name = lambda day: F.concat(F.lit("raw/troi/export_"), F.date_format(day, "yyyy-MM-dd"), F.lit(".csv"))
+    week = F.date_trunc("week", F.col("ts")).cast("date")
+    rows = ev.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Monat"), F.explode(F.array(
+        name(F.date_add(week, 6)), name(F.date_add(week, 13)))).alias("file"))
+    files = ev.select(name(F.date_add(week, 6)).alias("ingest_file")).distinct()
+    first = files.agg(F.min("ingest_file").alias("ingest_file")).withColumn("_prev", F.lit(None).cast("string"))
+    # a run takes one new file; the one before it is the last file of the run before
+    later = IN.file_bounds(files, None).where(F.col("_prev").isNotNull())
+    bounds = first.unionByName(later).withColumnRenamed("ingest_file", "file")
+    out = E.slice_between(rows.join(bounds, "file"), "Monat", F.coalesce(E.date_from_name(F.col("_prev")), F.lit("")),
+                          E.date_from_name(F.col("file")))
+    return out.select("event_id", "Monat", "file")
+
+
 def _contract_checks(lin: Lineage):
     dc = M.dim_contracts(lin.contracts_base, lin.dim_employees, F.lit(A.AS_OF_ORDERS).cast("date"))
     return dc, Q.TableChecks(
@@ -270,16 +323,8 @@ def q_dq_contracts_dim(spark, d):
 
 
 def q_dq_foreign_keys(spark, d):
-    lin = Lineage(spark, d, share=True)
-    de = lin.dim_employees
-    pay = lin.payments
-    return Q.run_checks({
-        "fct_payments": (pay, Q.TableChecks(not_null=["amount", "type"],
-                                            foreign_keys=[("factorial_id", de, "factorial_id", "dim_employees")])),
-        "fill_contract_dates": (lin.filled, Q.TableChecks(unique=["contract_id"], pair_ge=[("end_date", "date")],
-                                                          foreign_keys=[("employee_id", de, "factorial_id",
-                                                                         "dim_employees")])),
-    })
+    """All declared references between the report tables."""
+    return Q.run_checks(K.reference_suite(_l(spark, d).staged_models()))
 
 
 def q_employee_measures(spark, d):
@@ -296,51 +341,49 @@ def q_employee_measures(spark, d):
         MS.next_birthday("birthdate", a).alias("next_birthday"))
 
 
-# model name -> (lineage builder, oracle CTE)
+# model -> its CTE
 _SUITE_MODELS = {
-    "factorial_active_employees": (lambda l: l.active, "active"),
-    "factorial_compensation": (lambda l: l.comp_base, "comp_base"),
-    "factorial_contracts": (lambda l: l.contracts_base, "contracts_base"),
-    "factorial_custom_tables": (lambda l: M.base_custom_tables(A.custom_tables(l.spark)), "custom_tables"),
-    "factorial_custom_tables_col": (lambda l: M.base_custom_tables_col(A.custom_columns(l.spark)), "custom_cols"),
-    "factorial_custom_tables_val": (lambda l: M.base_custom_tables_val(A.custom_values(l.t("part"))),
-                                    "custom_vals_model"),
-    "factorial_teams": (lambda l: M.base_teams(A.teams(l.t("customer"))), "teams_src"),
-    "factorial_terminated_employees": (lambda l: l.terminated, "terminated"),
-    "mood_survey_answers": (lambda l: M.mood_survey_answers(A.mood_answers(l.t("orders"))), "mood_answers"),
-    "processed_lunchit": (lambda l: l.lunchit, "lunchit"),
-    "processed_troi": (lambda l: l.troi, "troi"),
-    "factorial_map_custom_tables": (lambda l: l.mapped_custom, "mapped_custom"),
-    "factorial_unpack_custom_table_val": (lambda l: l.unpacked, "unpacked"),
-    "map_names_troi": (lambda l: l.troi_mapped, "troi_mapped"),
-    "industrial_working_hours": (lambda l: l.iwh, "iwh"),
-    "industrial_break_time": (lambda l: l.breaks, "breaks"),
-    "cleaned_absences": (lambda l: l.cleaned, "cleaned"),
-    "fill_contract_dates": (lambda l: l.filled, "filled"),
-    "salary_payment": (lambda l: l.salary, "salary"),
-    "benefit_payment": (lambda l: l.benefit, "benefit"),
-    "inflation_payment": (lambda l: l.inflation, "inflation"),
-    "lunchit_payment": (lambda l: l.lunchit_pay, "lunchit_pay"),
-    "dim_contracts": (lambda l: M.dim_contracts(l.contracts_base, l.dim_employees,
-                                                F.lit(A.AS_OF_ORDERS).cast("date")), "contracts_dim"),
-    "dim_date_table": (lambda l: M.dim_date_table(l.dim_employees, F.lit(A.AS_OF_ORDERS).cast("date")), "date_dim"),
-    "dim_employees": (lambda l: l.dim_employees, "dim_employees"),
-    "dim_name_mapping": (lambda l: M.dim_name_mapping(l.mapping), "name_mapping_dim"),
-    "dim_teams": (lambda l: M.dim_teams(M.base_teams(A.teams(l.t("customer")))), "teams_dim"),
-    "fct_absence_length": (lambda l: M.fct_absence_length(l.cleaned), "islands"),
-    "fct_absences": (lambda l: M.fct_absences(l.cleaned), "absences"),
-    "fct_mood_survey": (lambda l: M.fct_mood_survey(M.mood_survey_answers(A.mood_answers(l.t("orders")))), "mood"),
-    "fct_payments": (lambda l: l.payments, "payments"),
-    "fct_pto_entitlement": (lambda l: M.fct_pto_entitlement(l.mapping, l.cleaned), "pto"),
-    "fct_trainings": (lambda l: M.fct_trainings(l.mapped_custom, l.labels), "trainings"),
-    "fct_working_hours": (lambda l: M.fct_working_hours(l.cleaned, l.breaks), "working"),
+    "factorial_active_employees": "active",
+    "factorial_compensation": "comp_base",
+    "factorial_contracts": "contracts_base",
+    "factorial_custom_tables": "custom_tables",
+    "factorial_custom_tables_col": "custom_cols",
+    "factorial_custom_tables_val": "custom_vals_model",
+    "factorial_teams": "teams_src",
+    "factorial_terminated_employees": "terminated",
+    "mood_survey_answers": "mood_answers",
+    "processed_lunchit": "lunchit",
+    "processed_troi": "troi",
+    "factorial_map_custom_tables": "mapped_custom",
+    "factorial_unpack_custom_table_val": "unpacked",
+    "map_names_troi": "troi_mapped",
+    "industrial_working_hours": "iwh",
+    "industrial_break_time": "breaks",
+    "cleaned_absences": "cleaned",
+    "fill_contract_dates": "filled",
+    "salary_payment": "salary",
+    "benefit_payment": "benefit",
+    "inflation_payment": "inflation",
+    "lunchit_payment": "lunchit_pay",
+    "dim_contracts": "contracts_dim",
+    "dim_date_table": "date_dim",
+    "dim_employees": "dim_employees",
+    "dim_name_mapping": "name_mapping_dim",
+    "dim_teams": "teams_dim",
+    "fct_absence_length": "islands",
+    "fct_absences": "absences",
+    "fct_mood_survey": "mood",
+    "fct_payments": "payments",
+    "fct_pto_entitlement": "pto",
+    "fct_trainings": "trainings",
+    "fct_working_hours": "working",
 }
 
 
 def q_dq_declared_suite(spark, d):
     """All declared model tests over the marts built from the driver tables."""
-    lin = Lineage(spark, d, share=True)
-    return Q.run_checks(K.declared_suite({name: build(lin) for name, (build, _) in _SUITE_MODELS.items()}))
+    models = _l(spark, d).staged_models()
+    return Q.run_checks(K.declared_suite({name: models[name] for name in _SUITE_MODELS}))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -375,6 +418,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inflation_payment": q_inflation_payment,
     "meal_payment": q_meal_payment,
     "active_employees": q_active_employees,
+    "contracts_base": q_contracts_base,
+    "teams_base": q_teams_base,
+    "employee_copy": q_employee_copy,
+    "custom_values_raw": q_custom_values_raw,
+    "record_extract": q_record_extract,
+    "parent_slices": q_parent_slices,
+    "export_increment": q_export_increment,
     "terminated_employees": q_terminated_employees,
     "compensation_keys": q_compensation_keys,
     "first_per_key": q_first_per_key,
@@ -428,18 +478,21 @@ select o_orderkey as k, 0 as line,
            as Monat, '' as Arbeitszeit
 from orders
 union all
-select l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'), '08:00' from lineitem""")
+select l_orderkey, l_linenumber,
+       case when l_linenumber = 2 and l_orderkey % 5 = 0
+            then 'Vertretung Customer#' || lpad(cast(l_suppkey as varchar), 9, '0') || ' (halbtags)'
+            else strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') end, '08:00' from lineitem""")
 
 O.cte("export_masked", r"""
-select k, line, Monat, Arbeitszeit,
+with m as (select cast(case when starts_with(email, 'alt') then id + 1000000 else id end as varchar) as id, troi_name
+           from mapping where troi_name is not null),
+     found as (select distinct r.Monat as name from raw_export r where r.Monat in (select troi_name from m))
+select k, line, Monat, Arbeitszeit, coalesce(mid, '') as fan,
        case when (mid is null or mid = '') and contains(Monat, ',') then '0' else mid end as id
 from (select r.k, r.line, r.Arbeitszeit, m.id as mid,
-             case when m.troi_name is not null and m.troi_name <> ''
-                  then regexp_replace(coalesce(r.Monat, ''), '\b\Q' || m.troi_name || '\E\b', '', 'g')
-                  else coalesce(r.Monat, '') end as Monat
-      from raw_export r
-      left join (select cast(id as varchar) as id, troi_name from mapping where troi_name is not null) m
-        on r.Monat = m.troi_name) x""", "raw_export", "mapping")
+             case when regexp_extract(r.Monat, 'Customer#\d+') in (select name from found)
+                  then replace(r.Monat, regexp_extract(r.Monat, 'Customer#\d+'), '') else r.Monat end as Monat
+      from raw_export r left join m on r.Monat = m.troi_name) x""", "raw_export", "mapping")
 
 _CHECKS_CONTRACTS = """
 select 'dim_contracts' as "table", "check", "column", cast(violations as bigint) as violations from (
@@ -465,20 +518,12 @@ select 'dim_contracts' as "table", "check", "column", cast(violations as bigint)
   union all select 'unique', 'job_title', count(*) from (select job_title from contracts_dim
             where job_title is not null group by job_title having count(*) > 1) u2) s"""
 
-_CHECKS_FK = """
-select "table", "check", "column", cast(violations as bigint) as violations from (
-  select 'fct_payments' as "table", 'not_null' as "check", 'amount' as "column", count_if(amount is null) as violations
-  from payments
-  union all select 'fct_payments', 'not_null', 'type', count_if(type is null) from payments
-  union all select 'fct_payments', 'foreign_key', 'factorial_id', count(*) from payments p
-            where p.factorial_id is not null
-              and not exists (select 1 from dim_employees e where e.factorial_id = p.factorial_id)
-  union all select 'fill_contract_dates', 'pair_ge', 'end_date>=date', count_if(not (end_date >= date)) from filled
-  union all select 'fill_contract_dates', 'unique', 'contract_id', count(*) from (select contract_id from filled
-            where contract_id is not null group by contract_id having count(*) > 1) u
-  union all select 'fill_contract_dates', 'foreign_key', 'employee_id', count(*) from filled f
-            where f.employee_id is not null
-              and not exists (select 1 from dim_employees e where e.factorial_id = f.employee_id)) s"""
+# report table -> its CTE
+_REPORT_CTES = {
+    "dim_contracts": "contracts_dim", "dim_employees": "dim_employees", "_dim_employees": "dim_employees",
+    "dim_date_table": "date_dim", "dim_date_table_previous": "date_dim", "dim_teams": "teams_dim", "dim_name_mapping": "name_mapping_dim",
+    "fct_payments": "payments", "fct_trainings": "trainings", "fct_mood_survey": "mood", "fct_working_hours": "working",
+    "fct_absences": "absences", "fct_absence_length": "islands", "fct_pto_entitlement": "pto"}
 
 _MEASURES = f"""
 select factorial_id, full_name,
@@ -564,7 +609,21 @@ from orders""",
     "trainings": O.sql("select * from trainings", "trainings"),
     "inflation_payment": O.sql("select * from inflation", "inflation"),
     "meal_payment": O.sql("select * from lunchit_pay", "lunchit_pay"),
-    "active_employees": O.sql("select " + ", ".join(ACTIVE_COLS) + " from active", "active"),
+    "active_employees": O.sql("select * from active_full", "active_full"),
+    "contracts_base": O.sql("select * from contracts_full", "contracts_full"),
+    "teams_base": O.sql("select * from teams_full", "teams_full"),
+    "employee_copy": O.sql("select factorial_id, full_name from dim_employees", "dim_employees"),
+    "custom_values_raw": O.sql("select * from unpacked", "unpacked"),
+    "record_extract": "select c_custkey as id, c_name as name from customer",
+    "parent_slices": O.sql("select id as team_id from teams_src", "teams_src"),
+    "export_increment": """
+with w as (select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as Monat, cast(date_trunc('week', ts) as date) as wk from events),
+     f as (select wk, lag(wk) over (order by wk) as prev from (select distinct wk from w) x),
+     r as (select event_id, Monat, wk from w union all select event_id, Monat, wk + 7 from w)
+select r.event_id, r.Monat, 'raw/troi/export_' || strftime(f.wk + 6, '%Y-%m-%d') || '.csv' as file
+from r join f on r.wk = f.wk
+where r.Monat < strftime(f.wk + 7, '%Y-%m-%d') || ' 00:00:00'
+  and r.Monat > coalesce(strftime(f.prev + 7, '%Y-%m-%d') || ' 00:00:00', '')""",
     "terminated_employees": O.sql("select * from terminated", "terminated"),
     "compensation_keys": """
 select o_orderkey as id, l_orderkey * 8 + l_linenumber as compensation_id
@@ -575,7 +634,7 @@ from (select *, row_number() over (partition by l_orderkey order by l_linenumber
 where rn = 1""",
     "export_anonymise": O.sql("""
 select k, line, Monat, Arbeitszeit,
-       last_value(id ignore nulls) over (order by k, line rows between unbounded preceding and current row) as id
+       last_value(id ignore nulls) over (order by k, line, fan rows between unbounded preceding and current row) as id
 from export_masked""", "export_masked"),
     "fill_down": """
 select k, line, last_value(v ignore nulls) over (order by k, line rows between unbounded preceding and current row) as v
@@ -591,8 +650,8 @@ select event_id, Monat, file, prev_file from (
   from events) x
 where Monat > lo and Monat < hi""",
     "dq_contracts_dim": O.sql(_CHECKS_CONTRACTS, "contracts_dim"),
-    "dq_foreign_keys": O.sql(_CHECKS_FK, "payments", "filled", "dim_employees"),
+    "dq_foreign_keys": O.sql("select \"table\", \"check\", \"column\", cast(violations as bigint) as violations from ("
+                             + K.reference_sql(_REPORT_CTES) + ") s", *sorted(set(_REPORT_CTES.values()))),
     "employee_measures": O.sql(_MEASURES, "dim_employees"),
-    "dq_declared_suite": O.sql(K.declared_sql({m: c for m, (_, c) in _SUITE_MODELS.items()}),
-                               *[c for _, c in _SUITE_MODELS.values()]),
+    "dq_declared_suite": O.sql(K.declared_sql(_SUITE_MODELS), *_SUITE_MODELS.values()),
 }

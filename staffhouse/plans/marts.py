@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import intervals as I
 from ..operators import relational as R
-from ..sources.schemas import EMPLOYEE
+from ..sources.schemas import COMPENSATION, CONTRACT, CUSTOM_TABLE, CUSTOM_TABLE_COL, EMPLOYEE, SHEETS, TEAM
 
 
 def _as_of(as_of) -> Column:
@@ -41,34 +41,29 @@ def terminated_employees(employees: DataFrame) -> DataFrame:
                     "termination_observations"))
 
 
-CONTRACT_BASE_COLUMNS = [
-    "id", "employee_id", "country", "job_title", "role", "level", "effective_on", "starts_on", "ends_on",
-    "has_payroll", "salary_frequency", "working_week_days", "working_hours_frequency", "trial_period_ends_on",
-    "compensation_ids", "created_at", "updated_at"]
+def _projection(schema, cents: Sequence[str] = ()) -> list[Column]:
+    """Every declared column (one that the input lacks is an error); ``cents`` -> whole units."""
+    return [C.div_cents(f.name).alias(f.name) if f.name in cents else F.col(f.name) for f in schema.fields]
 
 
 def base_contracts(contracts: DataFrame) -> DataFrame:
     """M3: projection; salary cents and hundredths of hours -> whole units (integer division)."""
-    keep = [c for c in CONTRACT_BASE_COLUMNS if c in contracts.columns]
-    return contracts.select(*keep, C.div_cents("salary_amount").alias("salary_amount"),
-                            C.div_cents("working_hours").alias("working_hours"))
+    return contracts.select(*_projection(CONTRACT, ["salary_amount", "working_hours"]))
 
 
 def base_compensation(compensation: DataFrame) -> DataFrame:
     """M4: projection; amount cents -> whole units (integer division)."""
-    keep = [c for c in compensation.columns if c != "amount"]
-    return compensation.select(*keep, C.div_cents("amount").alias("amount"))
+    return compensation.select(*_projection(COMPENSATION, ["amount"]))
 
 
 def base_custom_tables(df: DataFrame) -> DataFrame:
     """M5."""
-    return df.select("id", "name", *[c for c in ("created_at", "topic_name", "custom_resources_topic_id",
-                                                   "reportable", "hidden") if c in df.columns])
+    return df.select(*_projection(CUSTOM_TABLE))
 
 
 def base_custom_tables_col(df: DataFrame) -> DataFrame:
     """M6."""
-    return df.select("id", "label", *[c for c in ("position",) if c in df.columns])
+    return df.select(*_projection(CUSTOM_TABLE_COL))
 
 
 def base_custom_tables_val(df: DataFrame) -> DataFrame:
@@ -78,14 +73,12 @@ def base_custom_tables_val(df: DataFrame) -> DataFrame:
 
 def base_teams(df: DataFrame) -> DataFrame:
     """M8."""
-    return df.select(*[c for c in ("company_id", "id", "name", "employee_ids", "lead_ids", "description")
-                       if c in df.columns])
+    return df.select(*_projection(TEAM))
 
 
 def mood_survey_answers(df: DataFrame) -> DataFrame:
     """M9: cast the answer date."""
-    return df.select("response_id", F.col("date").cast("date").alias("date"), "rating", "feedback",
-                     "feedback_bad_rating", *[c for c in ("__PowerAppsId__",) if c in df.columns])
+    return df.select(*SHEETS["mood_survey_answers"]).withColumn("date", F.col("date").cast("date"))
 
 
 def name_mapping_pto(df: DataFrame) -> DataFrame:
@@ -113,6 +106,7 @@ def processed_lunchit(df: DataFrame) -> DataFrame:
         F.to_date(F.nullif(F.col("Datum"), F.lit("")), "dd.MM.yyyy").alias("datum"))
 
 
+# fixed value: shape of a day row's month cell
 DAY_ROW = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
@@ -206,22 +200,22 @@ def label_custom_values(unpacked: DataFrame, tables: DataFrame, cols: DataFrame)
 
 def pivot_custom_table(mapped: DataFrame, table_pattern: str, labels: Sequence[str]) -> DataFrame:
     """Rows of custom tables whose name matches ``%pattern%`` pivoted to one column per
-    label (the label domain spans *all* custom tables)."""
+    given label."""
     f = mapped.where(F.col("table_name").contains(table_pattern))
     return R.pivot_no_agg(f, ["factorial_id", "id"], "col_name", "val", labels)
 
 
-def inflation_payment(mapped: DataFrame, labels: Sequence[str]) -> DataFrame:
+def inflation_payment(mapped: DataFrame) -> DataFrame:
     """Inflation-compensation rows -> payments (cents -> units, integer division)."""
-    p = pivot_custom_table(mapped, "Inflation", labels)
+    p = pivot_custom_table(mapped, "Inflation", ["Datum", "Betrag"])
     return p.select("factorial_id", F.col("Datum").cast("date").alias("date"), F.lit("Inflation").alias("type"),
                     F.lit("Inflation").alias("name"),
                     C.int_div(F.col("Betrag").cast("int"), 100).cast("int").alias("amount"))
 
 
-def fct_trainings(mapped: DataFrame, labels: Sequence[str]) -> DataFrame:
+def fct_trainings(mapped: DataFrame) -> DataFrame:
     """Training rows; missing end date falls back to the start date."""
-    p = pivot_custom_table(mapped, "Weiterbildung", labels)
+    p = pivot_custom_table(mapped, "Weiterbildung", ["Titel", "Datum", "Typ", "Enddatum", "Kosten"])
     d = F.col("Datum").cast("date")
     return p.select("factorial_id", F.col("Titel").alias("title"), d.alias("date"), F.col("Typ").alias("type"),
                     F.coalesce(F.col("Enddatum").cast("date"), d).alias("end_date"),
@@ -261,15 +255,20 @@ def benefit_payment(comp_base: DataFrame, filled: DataFrame) -> DataFrame:
          .join(f, F.col("contract_version_id") == F.col("_cid"), "inner"))
     base = j.select("id", "amount", "description", "contract_version_id", "contracts_taxonomy_id", "end_date",
                     "employee_id", F.coalesce(F.col("starts_on"), F.col("contract_start")).alias("_from"))
-    months = R.month_series(base, "_from", "end_date", "date", spread_by=["id"])
-    rows = months.select(F.col("employee_id").alias("factorial_id"), "amount", "date", "end_date",
-                         F.col("description").alias("name"), "contract_version_id", "contracts_taxonomy_id",
-                         F.col("id").alias("compensation_id"))
-    # tie-break order: compensation id, then end date, name, contract version
-    out = R.first_per_key(rows, ["date", "contracts_taxonomy_id", "factorial_id", "amount"],
-                          order=["compensation_id", "end_date", "name", "contract_version_id"])
-    return out.select("factorial_id", "amount", "date", "end_date", F.lit("Benefit").alias("type"), "name",
-                      "contract_version_id", "contracts_taxonomy_id", "compensation_id")
+    # tie-break order: compensation id, then end date, name, contract version. Rows of one id
+    # are numbered in that order, so the winner is the least of one fixed-width number (a hash
+    # aggregate) and its attributes are joined back from the rows before the explosion
+    in_order = Window.partitionBy("id").orderBy("end_date", "description", "contract_version_id", "_from")
+    base = base.withColumn("_ord", F.col("id").cast("decimal(38,0)") * 10 ** 9 + F.row_number().over(in_order))
+    base = base.withColumn("_ord", F.col("_ord").cast("decimal(38,0)"))
+    months = R.month_series(base.select("_ord", "amount", "employee_id", "contracts_taxonomy_id", "_from", "end_date"),
+                            "_from", "end_date", "date", spread_by=["_ord"])
+    first = (months.groupBy("date", "contracts_taxonomy_id", F.col("employee_id").alias("factorial_id"), "amount")
+             .agg(F.min("_ord").alias("_ord")))
+    names = base.select("_ord", F.col("id").alias("compensation_id"), F.col("description").alias("name"), "end_date", "contract_version_id")
+    return first.join(names, "_ord").select(
+        "factorial_id", "amount", "date", "end_date", F.lit("Benefit").alias("type"), "name", "contract_version_id",
+        "contracts_taxonomy_id", "compensation_id")
 
 
 def map_lunchit(lunchit: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -290,25 +289,25 @@ def lunchit_payment(mapped: DataFrame, active: DataFrame) -> DataFrame:
                     F.lit("Lunchit").alias("name"), "factorial_id"))
 
 
-def fct_payments(salary: DataFrame, lunchit: DataFrame, inflation: DataFrame, benefit: DataFrame,
-                 materialise=None) -> DataFrame:
-    """All payments with the month's average per-person total of their type.
+AMOUNT_UNITS = 10_000           # amounts are summed exactly in units of a hundredth of a cent
 
-    Amounts are normalised to decimal(20,2) before the union (the source documents the
-    column as a float; integer cents keep the average exact). The averages table has
-    one row per (month, type) -- bounded by the calendar -- and is broadcast.
-    ``materialise`` (e.g. ``session.materialise``) stores the union once for both uses.
-    """
-    rels = {name: df.withColumn("amount", F.col("amount").cast("decimal(20,2)"))
+
+def payments_union(salary: DataFrame, lunchit: DataFrame, inflation: DataFrame, benefit: DataFrame) -> DataFrame:
+    """The four kinds of payment by column name, fact columns only; amounts with four decimals."""
+    rels = {name: df.withColumn("amount", F.col("amount").cast("decimal(20,4)"))
             for name, df in (("salary_payment", salary), ("lunchit_payment", lunchit),
                              ("inflation_payment", inflation), ("benefit_payment", benefit))}
-    u = R.union_relations(rels, source_col="_source_relation").select("factorial_id", "amount", "date", "type",
-                                                                       "name")
-    if materialise is not None:
-        # the union feeds both the averages and the rows: compute it once (fact columns only)
-        u = materialise(u)
-    u = u.select("*", C.month_start("date").alias("month"), (F.col("amount") * 100).cast("bigint").alias("_cents"))
-    avg = I.group_average_cents(u, ["month", "type"], "factorial_id", "_cents", "average_amount")
+    return R.union_relations(rels, source_col="_source_relation").select("factorial_id", "amount", "date", "type", "name")
+
+
+def fct_payments(union: DataFrame) -> DataFrame:
+    """All payments (``payments_union``) with the month's average per-person total of
+    their type; only the average is rounded. The averages table has one row per
+    (month, type) -- bounded by the calendar -- and is broadcast. The build hands in the
+    staged union, as it is read twice here.
+    """
+    u = union.select("*", C.month_start("date").alias("month"), (F.col("amount") * AMOUNT_UNITS).cast("bigint").alias("_units"))
+    avg = I.group_average(u, ["month", "type"], "factorial_id", "_units", AMOUNT_UNITS, "average_amount")
     j = u.join(F.broadcast(avg), ["month", "type"], "left")
     return j.select("factorial_id", "amount", "date", "type", "name", "average_amount")
 
@@ -326,6 +325,11 @@ def dim_employees(terminated: DataFrame, active: DataFrame, contracts_base: Data
                     F.col("terminated_on").alias("termination_date"), "start_date")
 
 
+def employee_copy(dim_emp: DataFrame) -> DataFrame:
+    """The report's second employee table for salary comparison: key and name."""
+    return dim_emp.select("factorial_id", "full_name")
+
+
 def dim_contracts(contracts_base: DataFrame, dim_emp: DataFrame, as_of=None) -> DataFrame:
     """Contract versions with hourly rate, full/part-time band, latest-version flag
     and first start in the job role."""

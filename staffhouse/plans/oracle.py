@@ -62,6 +62,30 @@ select o_orderkey as id, o_custkey as employee_id, o_orderpriority as job_title,
            as working_hours
 from orders""")
 
+
+
+def _nulls(kind: str, names: str) -> str:
+    return "".join(f", null::{kind} as {n}" for n in names.split())
+
+
+cte("contracts_full", f"""
+select b.*, case when id % 4 = 0 then 'de' else 'es' end as country, id % 5 = 0 as es_has_teleworking_contract,
+       case when id % 4 = 0 then id % 7 end as de_contract_type_id
+       {_nulls("varchar", "role level working_week_days es_contract_observations es_job_description fr_employee_type compensation_ids")}
+       {_nulls("boolean", "has_payroll fr_forfait_jours")}{_nulls("date", "trial_period_ends_on")}{_nulls("timestamp", "created_at updated_at")}
+       {_nulls("bigint", "es_cotization_group es_contract_type_id es_working_day_type_id es_education_level_id es_professional_category_id "
+               "fr_jours_par_an fr_coefficient fr_contract_type_id fr_level_id fr_step_id fr_mutual_id fr_professional_category_id "
+               "fr_work_type_id pt_contract_type_id")}
+from contracts_base b""", "contracts_base")
+
+cte("active_full", f"""
+select a.*{_nulls("varchar", "termination_type_description identifier identifier_type nationality bank_number swift_bic "
+                  "bank_number_format country city state postal_code address_line_1 address_line_2 social_security_number tax_id "
+                  "team_ids phone_number contact_name contact_number")}
+       {_nulls("bigint", "company_id legal_entity_id manager_id location_id timeoff_manager_id timeoff_policy_id")}
+       {_nulls("timestamp", "created_at updated_at")}
+from active a""", "active")
+
 cte("dim_employees", """
 select u.id as factorial_id, u.company_identifier as employee_id, u.email, u.first_name, u.last_name, u.full_name,
        u.birthday_on as birthdate, u.gender, u.terminated_on as termination_date, s.start_date
@@ -218,20 +242,20 @@ select factorial_id, "Titel" as title, cast("Datum" as date) as date, "Typ" as t
 from pivot_training""", "pivot_training")
 
 cte("payments_union", """
-select factorial_id, cast(amount as decimal(20,2)) as amount, date, type, name from salary
-union all select factorial_id, cast(amount as decimal(20,2)), date, type, name from lunchit_pay
-union all select factorial_id, cast(amount as decimal(20,2)), date, type, name from inflation
-union all select factorial_id, cast(amount as decimal(20,2)), date, type, name from benefit""",
+select factorial_id, cast(amount as decimal(20,4)) as amount, date, type, name from salary
+union all select factorial_id, cast(amount as decimal(20,4)), date, type, name from lunchit_pay
+union all select factorial_id, cast(amount as decimal(20,4)), date, type, name from inflation
+union all select factorial_id, cast(amount as decimal(20,4)), date, type, name from benefit""",
     "salary", "lunchit_pay", "inflation", "benefit")
 
 cte("payments", """
 select a.factorial_id, a.amount, a.date, a.type, a.name, g.average_amount
 from (select *, cast(date_trunc('month', date) as date) as month from payments_union) a
 left join (select month, type,
-                  cast(sign(t) * ((2 * abs(t) + n) // (2 * n)) / 100.0 as decimal(20,2)) as average_amount
+                  cast(sign(t) * ((2 * abs(t) + 100 * n) // (200 * n)) / 100.0 as decimal(20,2)) as average_amount
            from (select month, type, cast(sum(s) as bigint) as t, count(*) as n
                  from (select cast(date_trunc('month', date) as date) as month, type, factorial_id,
-                              cast(sum(cast(amount * 100 as bigint)) as bigint) as s
+                              cast(sum(cast(amount * 10000 as bigint)) as bigint) as s
                        from payments_union group by all) p
                  group by month, type) q) g
   on a.month = g.month and a.type = g.type""", "payments_union")
@@ -336,8 +360,8 @@ select *, coalesce(absence_time_hours, 0) - (coalesce(paid_absence_hours, 0) + c
 from cleaned""", "cleaned")
 
 cte("islands", """
-select case when isodow(s) = 6 then s + 2 when isodow(s) = 7 then s + 1 else s end as interval_start_date,
-       case when isodow(e) = 6 then e - 1 when isodow(e) = 7 then e - 2 else e end as interval_end_date,
+select s + cast(greatest(isodow(s) - 5, 0) * (8 - isodow(s)) / greatest(isodow(s) - 5, 1) as integer) as interval_start_date,
+       e - cast(greatest(isodow(e) - 5, 0) as integer) as interval_end_date,
        consecutive_days
 from (select min(date) as s, max(date) as e,
              cast(1 + datediff('day', min(date), max(date)) - sum(wk) as bigint) as consecutive_days, full_name
@@ -355,9 +379,7 @@ select date, troi_name as full_name, industrial_working_hours as worked_amount,
        cast(round(cast(coalesce(coalesce(industrial_working_hours, 0) + coalesce(absence_time_hours, 0), 0)
                        - coalesce(planned_amount, 0) as decimal(38,15)), 2) as decimal(20,2)) as difference,
        wb, nwb, legal as legal_break_time,
-       case when legal <= break_amount then 'O' when legal > break_amount then 'X'
-            when break_amount is null and legal > 0 then 'X' when legal = 0 and break_amount is null then 'O' end
-           as compliance_break_time
+       if(legal is null, null, if(coalesce(break_amount, 0) >= legal, 'O', 'X')) as compliance_break_time
 from (select c.*, b.break_amount,
              cast(case when industrial_working_hours <= 6 then 0 when industrial_working_hours <= 9 then 0.5
                        when industrial_working_hours > 9 then 0.75 end as decimal(3,2)) as legal
@@ -391,6 +413,12 @@ cte("teams_src", """
 select cast(c_nationkey * 1000000 + c_custkey // 100 as bigint) as id,
        'Team ' || cast(c_nationkey as varchar) || '-' || cast(c_custkey // 100 as varchar) as name
 from customer group by c_nationkey, c_custkey // 100""")
+cte("teams_full", """
+select null::bigint as company_id, cast(c_nationkey * 1000000 + c_custkey // 100 as bigint) as id,
+       'Team ' || cast(c_nationkey as varchar) || '-' || cast(c_custkey // 100 as varchar) as name,
+       string_agg(cast(c_custkey as varchar), ',' order by c_custkey) as employee_ids, null::varchar as lead_ids,
+       null::varchar as description, 'team-' || cast(c_custkey // 100 as varchar) || '.png' as avatar
+from customer group by c_nationkey, c_custkey // 100""")
 cte("teams_dim", """
 select 'Team ' || cast(c_nationkey as varchar) || '-' || cast(c_custkey // 100 as varchar) as team_name,
        cast(c_custkey as integer) as factorial_id

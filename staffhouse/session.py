@@ -70,3 +70,9 @@ def materialise(df, name: str, run_id: str | None = None, codec: str | None = No
     path = shared_path(spark, "staffhouse-stage", run_id or uuid.uuid4().hex, name)
     df.write.mode("overwrite").option("compression", codec or "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stage(spark: SparkSession, run_id: str) -> None:
+    """Remove what ``materialise`` wrote under ``run_id``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_path(spark, "staffhouse-stage", run_id))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

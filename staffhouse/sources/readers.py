@@ -14,24 +14,40 @@ from .schemas import LOADER_COLUMNS, SHEETS, STREAMS
 def read_stream(spark: SparkSession, name: str, path: str, multi_line: bool = False) -> DataFrame:
     """A landed record stream with its fixed schema: JSON lines (splittable, the
     default) or, with ``multi_line=True``, one top-level JSON array per file.
-    ``active_employees`` applies the source record filter."""
+    A malformed record fails the read. ``active_employees`` applies the source record
+    filter; ``custom_tables_val`` turns open attributes into the ``col_val`` map."""
+    if name == "custom_tables_val":
+        raw = spark.read.option("wholetext", str(multi_line).lower()).text(path)
+        if multi_line:
+            raw = raw.select(F.explode(F.from_json("value", "array<string>", {"mode": "FAILFAST"})).alias("value"))
+        return custom_value_records(raw.where(F.trim("value") != ""), "value")
     schema = STREAMS[name]
-    df = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path)
+    df = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).option("mode", "FAILFAST").json(path)
     if name == "active_employees":
         df = record_filter(df, F.col("terminated_on").isNull())
     return df
 
 
-def extract_records(spark: SparkSession, raw: DataFrame, col: str, schema: T.StructType) -> DataFrame:
-    """Response bodies whose top level *is* the record list -> one row per record."""
-    return raw.select(F.explode(F.from_json(F.col(col), T.ArrayType(schema))).alias("r")).select("r.*")
+def custom_value_records(raw: DataFrame, col: str) -> DataFrame:
+    """Record text with open attribute keys -> id, employee_id, table_id and the map of the rest."""
+    types = {"id": "bigint", "employee_id": "bigint", "table_id": "bigint"}
+    out = dynamic_columns_to_map(raw, col, list(types), "col_val", types)
+    return out.select(*[f.name for f in STREAMS["custom_tables_val"].fields])
+
+
+def extract_records(raw: DataFrame, col: str, schema: T.StructType) -> DataFrame:
+    """Response bodies whose top level *is* the record list -> one row per record; a
+    malformed body fails."""
+    records = F.from_json(F.col(col), T.ArrayType(schema), {"mode": "FAILFAST"})
+    return raw.select(F.explode(records).alias("r")).select("r.*")
 
 
 def read_sheet(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A sheet export (CSV, header) read with every declared column as text."""
+    """A sheet export (CSV, header) read with every declared column as text; a declared
+    column that the file lacks is an error."""
     df = spark.read.option("header", "true").option("multiLine", "true").csv(path)
     wanted = SHEETS.get(name)
-    return drop_loader_columns(df if not wanted else df.select(*[c for c in wanted if c in df.columns]))
+    return drop_loader_columns(df if not wanted else df.select(*wanted))
 
 
 def read_export(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -47,19 +63,6 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType | None = No
     return r.csv(path)
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster can run at once
-    (an unsplittable file: a single Parquet row group, a compressed text file) before
-    heavy per-row work. Scans that already have enough splits -- the normal case for
-    large inputs -- are returned unchanged, so no shuffle is added at scale."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep the scan as is
-        return df
-    return df.repartition(target) if have < target else df
-
-
 def file_ending(path: Column) -> Column:
     """Text after the last '.' of a path column."""
     return F.substring_index(path, ".", -1)
@@ -85,16 +88,11 @@ def parent_keys(df: DataFrame, key: str, as_: str) -> DataFrame:
     return df.select(F.col(key).alias(as_))
 
 
-def add_slice_field(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Stamp the slice key on every record of that slice."""
-    return df.withColumn(name, value)
-
-
 def dynamic_columns_to_map(df: DataFrame, raw: str, keep: Sequence[str], as_: str = "col_val",
                            key_types: dict[str, str] | None = None) -> DataFrame:
     """JSON record text with open keys -> the fixed ``keep`` fields plus one
     ``map<string,string>`` of every other attribute (null values kept)."""
-    parsed = F.from_json(F.col(raw), T.MapType(T.StringType(), T.StringType()))
+    parsed = F.from_json(F.col(raw), T.MapType(T.StringType(), T.StringType()), {"mode": "FAILFAST"})
     keep_arr = F.array(*[F.lit(k) for k in keep])
     other = F.map_filter(parsed, lambda k, _v: ~F.array_contains(keep_arr, k))
     key_types = key_types or {}

@@ -14,7 +14,7 @@ def write_delimited(df: DataFrame, path: str, header: bool = True, mode: str = "
 
 
 def archive_raw(df: DataFrame, path: str, partition_col: str = "ingest_file") -> None:
-    """Raw zone (restricted access), one partition per source file. Dynamic partition
+    """Original files (restricted access), one partition per source file. Dynamic partition
     overwrite makes a replayed micro-batch rewrite the same partitions instead of
     appending duplicates."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -39,12 +39,20 @@ def append_processed(df: DataFrame, path: str, partition_col: str | None = "inge
         df.write.mode("append").parquet(path)
 
 
-def publish(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Staging -> production: full overwrite of a table after the checks passed."""
-    w = df.write.mode("overwrite").format("parquet")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)
+def write_state(df: DataFrame, path: str) -> None:
+    """The last file of a batch; a replayed batch rewrites its own row."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch").parquet(path))
+
+
+def remove_files(files: DataFrame, col: str) -> None:
+    """Remove landed files whose anonymised content is written: one delete for each file of a
+    batch, names only on the driver."""
+    spark = files.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for r in files.select(col).toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(r[0])
+        path.getFileSystem(conf).delete(path, False)
 
 
 def publish_path(df: DataFrame, path: str) -> None:

@@ -1,10 +1,9 @@
 """Export anonymisation operators: map people to ids, mask names, default ids for
 unknown people, forward-fill ids, drop identifying columns, date slicing by file name.
 
-Masking is row-level: each row loses the reference value it was matched with (the
-source job builds one alternation over every matched value of the file). Row-level
-matching scales with the data, needs no driver-side pattern, and gives the same
-result on exports whose names only occur in their own header rows.
+Masking covers the whole file, as in the source job: every name matched anywhere in it is
+removed from every row. Cells and names are joined on words, so no pattern over all names
+is built on the driver.
 """
 from __future__ import annotations
 
@@ -13,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# fixed value: the date in a file name
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
@@ -22,14 +22,48 @@ def map_ids(df: DataFrame, mapping: DataFrame, left_col: str, right_col: str) ->
     return df.join(mapping, df[left_col] == mapping[right_col], "left")
 
 
-def mask_values(df: DataFrame, col: str, ref_col: str) -> DataFrame:
-    """null -> '' and remove the matched reference value at word boundaries (quoted,
-    so regex characters in names are literal)."""
+def _words(c: Column) -> Column:
+    return F.filter(F.split(c, r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+
+
+def matched_names(merged: DataFrame, ref_col: str, file_cols: Sequence[str] = ()) -> DataFrame:
+    """The distinct reference values that a file's rows were matched with."""
+    return (merged.where(F.col(ref_col).isNotNull() & (F.col(ref_col) != ""))
+            .select(*file_cols, F.col(ref_col).alias("_name")).distinct())
+
+
+def mask_values(df: DataFrame, col: str, ref_col: str, file_cols: Sequence[str] = ()) -> DataFrame:
+    """null -> '' and remove every name matched anywhere in the file from every row of it,
+    at word boundaries (quoted, so regex characters in names are literal; of overlapping
+    names the longer one).
+
+    Cells meet names on a word they have in common: the words of the distinct cells are
+    joined with the rarest word of the file's names, so no pattern over all names is built,
+    and a name is compared with those cells only that hold its rarest word.
+    A cell text is masked once for each file (``file_cols``).
+    """
     text = F.coalesce(F.col(col).cast("string"), F.lit(""))
-    ref = F.col(ref_col)
-    pattern = F.concat(F.lit(r"\b\Q"), ref, F.lit(r"\E\b"))
-    masked = F.when(ref.isNotNull() & (ref != ""), F.regexp_replace(text, pattern, F.lit(""))).otherwise(text)
-    return df.withColumn(col, masked)
+    df = df.withColumn(col, text)
+    names = matched_names(df, ref_col, file_cols)
+    # a name is looked up by that of its words which the fewest names have
+    by_word = names.withColumn("_word", F.explode(F.array_distinct(_words(F.col("_name")))))
+    often = by_word.groupBy(*file_cols, "_word").agg(F.count("*").alias("_n"))
+    names = (by_word.join(often, [*file_cols, "_word"]).groupBy(*file_cols, "_name")
+             .agg(F.min(F.struct("_n", "_word")).alias("_w")).select(*file_cols, "_name", F.col("_w._word").alias("_word")))
+    cells = df.select(*file_cols, F.col(col).alias("_text")).distinct()
+    met = (cells.withColumn("_word", F.explode(F.array_distinct(_words(F.col("_text")))))
+           .join(names, [*file_cols, "_word"]).where(F.col("_text").contains(F.col("_name")))
+           .groupBy(*file_cols, "_text")
+           .agg(F.collect_set("_name").alias("_names")))      # bounded by the words of one cell
+    by_length = F.transform(F.array_sort(F.transform("_names", lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda x: x["n"])
+    quoted = F.array_join(F.transform(by_length, lambda n: F.concat(F.lit(r"\Q"), n, F.lit(r"\E"))), "|")
+    masked = met.select(*[F.col(c).alias(f"_in_{c}") for c in file_cols], "_text",
+                        F.regexp_replace("_text", F.concat(F.lit(r"(?<![\p{L}\p{N}_])("), quoted, F.lit(r")(?![\p{L}\p{N}_])")), F.lit("")).alias("_masked"))
+    cond = F.col(col) == F.col("_text")
+    for c in file_cols:
+        cond = cond & (F.col(c) == F.col(f"_in_{c}"))
+    out = df.join(masked, cond, "left")
+    return out.select(*[F.coalesce("_masked", col).alias(c) if c == col else c for c in df.columns])
 
 
 def default_id(df: DataFrame, col: str, id_col: str = "id", default: str = "0") -> DataFrame:

@@ -1,30 +1,37 @@
 """Incremental ingest of manual exports with Structured Streaming.
 
-``start_ingest`` watches ``<root>/raw/<name>/`` for ``;``-CSV files, processes only
-files not seen before (the checkpoint is the high-watermark state), and runs
-``process_export`` once per micro-batch via ``foreachBatch``:
-
-  map ids -> mask names -> default id -> fill down -> drop identifiers
-  -> raw archive (write-once) + clean zone (dynamic partition overwrite per file)
-  -> slice by file dates -> append to the processed table.
-
-``trigger(availableNow=True)`` processes what is there and stops, which is the
-weekday batch of the source; a second run with no new file processes nothing.
-Files already carrying an ``id`` column are skipped. Every sink is partitioned by
-source file and written with dynamic partition overwrite, so a micro-batch replayed
-after a failure rewrites its own files' partitions and never duplicates rows.
+``start_ingest`` watches ``<root>/raw/<name>/``, processes only files not seen before
+(the checkpoint is the high-watermark state), and runs ``process_export`` once per
+micro-batch via ``foreachBatch``:
+
+  read by header -> map ids -> mask names -> default id -> fill down -> drop identifiers
+  -> clean zone and processed table (dynamic partition overwrite per file)
+  -> the raw file is replaced by the anonymised one.
+
+Files arrive as bytes (``binaryFile``), so a file of any ending is seen: an ending that
+cannot be read is an error, not a file that is passed over. Columns are taken by header
+name. The processed table keeps rows strictly between the previous file's date and the
+file's own; the previous file of the first one is the last file of the run before, which is
+kept in ``<root>/state/<name>``.
+
+``trigger(availableNow=True)`` processes what is there and stops, which is the weekday
+batch of the source; a second run with no new file processes nothing. Files already
+carrying an ``id`` column are skipped. Every sink is partitioned by source file and written
+with dynamic partition overwrite, and the state is written last, so a micro-batch replayed
+after a failure rewrites its own files' partitions with the same bounds.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.relational import fill_down
+from ..session import materialise
 from ..sources import sinks
+from ..sources.readers import file_ending
 from . import anonymise as E
 
 
@@ -33,81 +40,119 @@ class ExportConf:
     name: str                       # export name, files under <root>/raw/<name>/
     root: str                       # storage root (shared file system / object store)
     checkpoint: str                 # streaming checkpoint (the file high-watermark)
-    columns: list[str]              # header of the export (all text)
+    columns: list[str]              # header of the export (all text), in any order
     left_col: str                   # export column holding the person
     right_col: str                  # mapping column to match it with
     mapping_path: str               # parquet mapping (id, <right_col>, ...)
     del_cols: list[str] = field(default_factory=list)
     fill_down_col: str | None = None
     filter_col: str | None = None
-    block_rows: int = 1 << 20      # fill-down block size along the row order
-
-
-def raw_schema(conf: ExportConf) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in conf.columns])
-
-
-def already_processed(spark: SparkSession, files: list[str]) -> set[str]:
-    """Files whose header already carries an ``id`` column (the clean shape). The
-    stream reads with a fixed positional schema, so each new file's header is read
-    on its own (metadata only: a bounded list of file names per batch)."""
-    done = set()
-    for f in files:
-        header = spark.read.option("sep", ";").option("header", "true").csv(f).columns
-        if "id" in header:
-            done.add(f)
-    return done
+    block_rows: int = 1 << 16       # fill-down block size along the row order
+
+
+def _rows(content: Column) -> Column:
+    """``;``-separated text -> array of rows, each an array of cells. Line ends outside quotes
+    end a row: quoted parts are hidden while the text is split."""
+    text = F.regexp_replace(F.decode(content, "UTF-8"), "^﻿", "")
+    # odd pieces of a split at quotes lie inside quotes; doubled quotes give an empty piece between
+    pieces = F.split(text, '"')
+    hidden = F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.translate(p, ";\n\r", "\u0001\u0002\u0003")).otherwise(p))
+    plain = F.array_join(hidden, '"')
+    lines = F.filter(F.split(plain, r"\r\n|\n|\r"), lambda x: x != "")
+    return F.transform(lines, lambda x: F.transform(F.split(x, ";"), _cell))
+
+
+def _cell(c: Column) -> Column:
+    inner = F.when(c.startswith('"') & c.endswith('"') & (F.length(c) >= 2), F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
+    shown = F.translate(F.replace(inner, F.lit('""'), F.lit('"')), "\u0001\u0002\u0003", ";\n\r")
+    return F.when(shown != "", shown)
+
+
+def read_files(files: DataFrame, conf: ExportConf) -> tuple[DataFrame, DataFrame]:
+    """(headers, rows) of binary files. One row per file: ingest_file, header, ending; and one per
+    data row: the export's columns by name, ingest_file and _row (its number in the file).
+
+    A file is one message of a person's export tool and is split by the task that read it;
+    its rows are spread only after that."""
+    parsed = files.select(F.col("path").alias("ingest_file"), F.lower(file_ending(F.col("path"))).alias("ending"), _rows(F.col("content")).alias("rows"))
+    heads = parsed.select("ingest_file", "ending", F.transform(F.get("rows", F.lit(0)), lambda h: F.trim(F.coalesce(h, F.lit("")))).alias("header"))
+    data = parsed.select("ingest_file", F.get("rows", F.lit(0)).alias("header"), F.posexplode(F.slice("rows", 2, F.greatest(F.size("rows"), F.lit(1)))).alias("_row", "cells"))
+    trimmed = F.transform("header", lambda h: F.trim(F.coalesce(h, F.lit(""))))
+    cols = [F.get("cells", F.array_position(trimmed, F.lit(c)).cast("int") - 1).alias(c) for c in conf.columns]
+    return heads, data.select("ingest_file", F.col("_row").cast("bigint").alias("_row"), *cols)
+
+
+def check_headers(heads: DataFrame, conf: ExportConf) -> DataFrame:
+    """Raise on an ending that is not read or on a header that lacks a column or has an unknown one.
+    Returns the files to process: those without an ``id`` column yet."""
+    wanted = F.array(*[F.lit(c) for c in conf.columns])
+    done = F.array_contains("header", "id")
+    unknown = F.array_except("header", F.array_union(wanted, F.array(F.lit(""))))
+    state = heads.select("ingest_file", done.alias("done"),
+                         F.when(F.col("ending") != "csv", F.concat(F.lit("unsupported file ending "), F.col("ending")))
+                          .when(done, F.lit(None))
+                          .when(F.size(F.array_except(wanted, "header")) > 0, F.concat(F.lit("missing columns "), F.array_join(F.array_except(wanted, "header"), ", ")))
+                          .when(F.size(unknown) > 0, F.concat(F.lit("unknown columns "), F.array_join(unknown, ", "))).alias("problem"))
+    wrong = state.where(F.col("problem").isNotNull()).agg(F.count("*").alias("n"), F.min(F.struct("ingest_file", "problem")).alias("first")).first()
+    if wrong["n"]:
+        raise ValueError(f"{wrong['n']} export files cannot be read, first {wrong['first']['ingest_file']}: {wrong['first']['problem']}")
+    return state.where(~F.col("done")).select("ingest_file")
+
+
+def last_file(spark: SparkSession, conf: ExportConf, batch_id: int) -> str | None:
+    """The last file processed by an earlier batch. A replayed batch does not see its own state."""
+    path = f"{conf.root}/state/{conf.name}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return (spark.read.schema("last_file string, batch long").parquet(path).where(F.col("batch") < batch_id)
+            .agg(F.max_by("last_file", "batch")).first()[0])
+
+
+def file_bounds(files: DataFrame, before: str | None) -> DataFrame:
+    """ingest_file, _prev: the file before it in name order, ``before`` for the first one. The
+    window runs over the file names of one batch."""
+    w = Window.orderBy("ingest_file")
+    return files.withColumn("_prev", F.coalesce(F.lag("ingest_file").over(w), F.lit(before).cast("string")))
 
 
 def process_export(batch: DataFrame, batch_id: int, conf: ExportConf) -> None:
-    """One micro-batch of new export files."""
+    """One micro-batch of new export files (path, content)."""
     spark = batch.sparkSession
-    files = [r[0] for r in batch.select("ingest_file").distinct().collect()]
-    skip = already_processed(spark, files)
-    if skip:
-        batch = batch.where(~F.col("ingest_file").isin(sorted(skip)))
-    if len(skip) == len(files):
-        return
-    # row order inside each file: multiLine CSV files are read whole by one task, so a
-    # per-partition increasing id preserves the file's row order
-    rows = batch.withColumn("_row", F.monotonically_increasing_id())
+    heads, rows = read_files(batch, conf)
+    files = check_headers(materialise(heads, "ingest_heads"), conf)
+    rows = rows.join(files, "ingest_file")
     mapping = spark.read.parquet(conf.mapping_path)
-    mapping = mapping.select(F.col("id").cast("string").alias("id"),
-                             *[c for c in mapping.columns if c != "id"])
+    mapping = mapping.select(F.col("id").cast("string").alias("id"), *[c for c in mapping.columns if c != "id"])
     merged = E.map_ids(rows, mapping, conf.left_col, conf.right_col)
-    masked = E.mask_values(merged, conf.left_col, conf.right_col)
-    out = masked
+    out = E.mask_values(merged, conf.left_col, conf.right_col, ["ingest_file"])
     if conf.fill_down_col:
         out = E.default_id(out, conf.left_col)
-        out = fill_down(out, conf.fill_down_col, ["_row"], partition=["ingest_file"],
-                        block=F.floor(F.col("_row") / conf.block_rows))
+        # rows fanned out by a repeated mapping name follow each other by id, as a merge lists them
+        out = out.withColumn("_fan", F.coalesce(F.col("id"), F.lit("")))
+        out = fill_down(out, conf.fill_down_col, ["_row", "_fan"], F.floor(F.col("_row") / conf.block_rows), ["ingest_file"]).drop("_fan")
     out = E.drop_identifiers(out, conf.del_cols, [c for c in mapping.columns if c != "id"])
-    out = out.persist()
-    try:
-        sinks.archive_raw(batch, f"{conf.root}/archive/{conf.name}")
-        sinks.write_clean(out.drop("_row"), f"{conf.root}/clean/{conf.name}")
-        proc = out
-        if conf.filter_col:
-            # lower bound: the previous file of this batch (file names are metadata,
-            # already collected above; the bounds table is as small as the file list)
-            names = sorted(f for f in files if f not in skip)
-            bounds = spark.createDataFrame([(f, p) for f, p in zip(names, [None] + names[:-1])],
-                                           "ingest_file string, _prev string")
-            proc = out.join(F.broadcast(bounds), "ingest_file")
-            lo = F.coalesce(E.date_from_name(F.col("_prev")), F.lit(""))
-            proc = E.slice_between(proc, conf.filter_col, lo, E.date_from_name(F.col("ingest_file"))).drop("_prev")
-        sinks.append_processed(proc.drop("_row"), f"{conf.root}/processed/{conf.name}")
-    finally:
-        out.unpersist()
+    out = materialise(out, "ingest_clean")
+    sinks.archive_raw(batch.select(F.col("path").alias("ingest_file"), "content").join(files, "ingest_file"), f"{conf.root}/archive/{conf.name}")
+    sinks.write_clean(out.drop("_row"), f"{conf.root}/clean/{conf.name}")
+    proc = out
+    if conf.filter_col:
+        bounds = file_bounds(files, last_file(spark, conf, batch_id))
+        proc = out.join(bounds, "ingest_file")
+        lo = F.coalesce(E.date_from_name(F.col("_prev")), F.lit(""))
+        proc = E.slice_between(proc, conf.filter_col, lo, E.date_from_name(F.col("ingest_file"))).drop("_prev")
+    sinks.append_processed(proc.drop("_row"), f"{conf.root}/processed/{conf.name}")
+    state = files.agg(F.max("ingest_file").alias("last_file")).where(F.col("last_file").isNotNull())
+    sinks.write_state(state.withColumn("batch", F.lit(batch_id).cast("long")), f"{conf.root}/state/{conf.name}")
+    sinks.remove_files(files, "ingest_file")
 
 
 def start_ingest(spark: SparkSession, conf: ExportConf) -> StreamingQuery:
     """*Action*: process every new export file once and stop."""
-    stream = (spark.readStream.schema(raw_schema(conf)).option("sep", ";").option("header", "true")
-              .option("multiLine", "true").option("latestFirst", "false")
-              .option("pathGlobFilter", "*.csv")
-              .csv(f"{conf.root}/raw/{conf.name}/"))
-    stream = stream.withColumn("ingest_file", F.col("_metadata.file_path"))
+    # a batch replayed after its files were removed has nothing left to write
+    stream = (spark.readStream.format("binaryFile").option("ignoreMissingFiles", "true").schema("path string, modificationTime timestamp, length long, content binary")
+              .load(f"{conf.root}/raw/{conf.name}/"))
     return (stream.writeStream.foreachBatch(lambda df, bid: process_export(df, bid, conf))
             .option("checkpointLocation", conf.checkpoint)
             .trigger(availableNow=True).start())

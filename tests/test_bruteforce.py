@@ -64,20 +64,6 @@ def test_business_day_islands_brute_force(spark):
     assert got == _islands_brute(rows)
 
 
-def test_first_per_key_generated_equals_plain(spark):
-    rnd = random.Random(3)
-    base = [(i, rnd.randint(0, 3), rnd.randint(1, 3), D0 + dt.timedelta(days=rnd.randint(0, 90)),
-             D0 + dt.timedelta(days=rnd.randint(60, 200))) for i in range(300)]
-    df = spark.createDataFrame(base, "id int, emp int, amount int, s date, e date")
-
-    def gen(b):
-        return R.month_series(b, "s", "e", "date").select("id", "emp", "amount", "date")
-
-    plain = R.first_per_key(gen(df), ["emp", "amount", "date"], order=["id"])
-    fast = R.first_per_key_generated(df, gen, ["emp", "amount"], ["emp", "amount", "date"], order=["id"])
-    assert sorted(tuple(r) for r in plain.collect()) == sorted(tuple(r) for r in fast.select(*plain.columns).collect())
-
-
 def test_month_step_matches_iterated_addition(spark):
     starts = [dt.date(y, m, d) for y in (2023, 2024) for m in range(1, 13) for d in (1, 15, 28, 29, 30, 31)
               if d <= calendar.monthrange(y, m)[1]]

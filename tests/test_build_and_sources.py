@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from staffhouse.plans import adapters as A
 from staffhouse.plans import checks as K
-from staffhouse.plans.build import REPORT_TABLES, build_and_publish
+from staffhouse.plans import marts as M
+from staffhouse.plans.build import REPORT_TABLES, build_and_publish, build_models
+from staffhouse.session import ensure_checkpoint_dir
 from staffhouse.sources import readers as S
 from staffhouse.sources.schemas import CONTRACT, TEAM
 
@@ -29,15 +31,53 @@ def test_build_and_publish(spark):
         "processed_troi": A.troi_export(t("events")),
     }
     target = tempfile.mkdtemp(prefix="publish-")
-    res = build_and_publish(spark, src, target, as_of=F.lit("2001-06-01").cast("date"), run_id="t1", gate=False)
+    res = build_and_publish(spark, src, target, as_of=F.lit("2001-06-01").cast("date"), gate=False)
     got = {(r.table, r.check, r.column): r.violations for r in res.collect()}
-    assert len(got) == 141
+    assert len(got) == 141 + len(K.REFERENCES) and len(K.REFERENCES) == 17
     assert got[("fct_payments", "not_null", "amount")] == 0
     assert got[("factorial_compensation", "not_null", "first_payment_on")] > 0   # adapter leaves it empty
     for name in REPORT_TABLES:
         assert spark.read.parquet(f"{target}/{name}").count() >= 0
+    # published is what was staged and tested, not a second computation
+    models = build_models(src, F.lit("2001-06-01").cast("date"))
+    for name in ("fct_payments", "dim_contracts"):
+        a, b = spark.read.parquet(f"{target}/{name}"), models[name]
+        assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+    # a failing check holds back its table's dependants and only those
+    gated = tempfile.mkdtemp(prefix="publish-")
     with pytest.raises(AssertionError):
-        build_and_publish(spark, src, target, as_of=F.lit("2001-06-01").cast("date"), run_id="t2", gate=True)
+        build_and_publish(spark, src, gated, as_of=F.lit("2001-06-01").cast("date"), gate=True)
+    assert not os.path.exists(f"{gated}/fct_payments") and os.path.exists(f"{gated}/dim_employees")
+    assert spark.read.parquet(f"{gated}/_checks/*").count() == len(got)
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    class Conf(dict):
+        def get(self, k, d=None): return dict.get(self, k, d)
+
+    class Session:
+        conf = Conf({"spark.master": "yarn"})
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_missing_columns_and_bad_records_fail(spark):
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        M.base_contracts(A.contracts(A.table(spark, SF, "orders")).drop("de_contract_type_id"))
+    d = tempfile.mkdtemp(prefix="bad-")
+    with open(os.path.join(d, "teams.json"), "w") as f:
+        f.write('{"id": 1, "name": "A"}\n{"id": 2, "na\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        S.read_stream(spark, "teams", d).collect()
+
+
+def test_custom_values_are_read_from_landed_records(spark):
+    d = tempfile.mkdtemp(prefix="vals-")
+    with open(os.path.join(d, "v.json"), "w") as f:
+        f.write('{"id": 1, "employee_id": 5, "table_id": 2, "7": "x", "8": null}\n')
+    r = S.read_stream(spark, "custom_tables_val", d).first()
+    assert (r.id, r.employee_id, r.table_id, r.col_val) == (1, 5, 2, {"7": "x", "8": None})
 
 
 def test_read_stream_and_slices(spark):
@@ -58,7 +98,7 @@ def test_extract_records_and_dynamic_map(spark):
     raw = spark.createDataFrame([('[{"id": 1, "employee_id": 5, "table_id": 2, "7": "x", "8": null}]',)], "body string")
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("employee_id", T.LongType())])
-    assert S.extract_records(spark, raw, "body", schema).collect()[0].employee_id == 5
+    assert S.extract_records(raw, "body", schema).collect()[0].employee_id == 5
     rec = spark.createDataFrame([('{"id": 1, "employee_id": 5, "table_id": 2, "7": "x", "8": null}',)], "raw string")
     m = S.dynamic_columns_to_map(rec, "raw", ["id", "employee_id", "table_id"],
                                  key_types={"id": "bigint", "employee_id": "bigint", "table_id": "bigint"}).first()

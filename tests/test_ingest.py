@@ -20,8 +20,54 @@ def test_anonymise_columns(spark):
     df = spark.createDataFrame([("Doe, Jane", "Doe, Jane", None), ("Roe, Rick", None, None),
                                 ("2024-01-02 00:00:00", None, None)], "Monat string, troi_name string, id string")
     out = default_id(mask_values(df, "Monat", "troi_name"), "Monat").collect()
-    assert [r.Monat for r in out] == ["", "Roe, Rick", "2024-01-02 00:00:00"]
-    assert [r.id for r in out] == [None, "0", None]
+    assert {r.Monat: r.id for r in out} == {"": None, "Roe, Rick": "0", "2024-01-02 00:00:00": None}
+
+
+def test_names_are_masked_in_the_whole_file(spark):
+    df = spark.createDataFrame([("f", "Doe, Jane", "Doe, Jane"), ("f", "Doe, Jane (Vertretung)", None), ("f", "Doe, Janet", None),
+                                ("f", "mit Doe, Jane Ann", None), ("f", "Doe, Jane Ann", "Doe, Jane Ann"), ("f", "a.b", "a.b"), ("f", "axb", None),
+                                ("g", "Doe, Jane", None), ("f", None, None)], "file string, Monat string, troi_name string")
+    got = sorted((r.file, r.Monat) for r in mask_values(df, "Monat", "troi_name", ["file"]).collect())
+    assert got == sorted([("f", ""), ("f", " (Vertretung)"), ("f", "Doe, Janet"), ("f", "mit "), ("f", ""), ("f", ""), ("f", "axb"), ("g", "Doe, Jane"), ("f", "")])
+
+
+def _ingest(spark, root, **more):
+    conf = ExportConf(name="troi", root=root, checkpoint=f"{root}/_ckpt", columns=HEADER, left_col="Monat",
+                      right_col="troi_name", mapping_path=f"{root}/mapping", fill_down_col="id", filter_col="Monat", **more)
+    start_ingest(spark, conf).awaitTermination()
+
+
+def test_cumulative_files_in_two_runs_give_each_row_once(spark):
+    root = tempfile.mkdtemp(prefix="ingest-")
+    os.makedirs(f"{root}/raw/troi")
+    spark.createDataFrame([(7, "Doe, Jane", "j@x")], "id long, troi_name string, email string").write.parquet(f"{root}/mapping")
+    days = lambda *n: [("Doe, Jane", "", "")] + [(f"2024-01-{d:02d} 08:00:00", "08:00", "") for d in n]
+    _write(f"{root}/raw/troi/export_2024-01-10.csv", days(9, 10))
+    _ingest(spark, root)
+    assert os.listdir(f"{root}/raw/troi") == []             # no names are left where they landed
+    _write(f"{root}/raw/troi/export_2024-01-12.csv", days(9, 10, 12))
+    _ingest(spark, root)
+    got = sorted(r.Monat for r in spark.read.parquet(f"{root}/processed/troi").collect())
+    assert got == ["2024-01-09 08:00:00", "2024-01-10 08:00:00", "2024-01-12 08:00:00"]
+
+
+def test_columns_are_read_by_name_and_others_refused(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="ingest-")
+    os.makedirs(f"{root}/raw/troi")
+    spark.createDataFrame([(7, "Doe, Jane", "j@x"), (9, "Doe, Jane", "k@x")], "id long, troi_name string, email string").write.parquet(f"{root}/mapping")
+    with open(f"{root}/raw/troi/export_2024-01-31.csv", "w") as f:
+        f.write('Arbeitszeit;Pausenzeiten;Monat\n"08;00";"say ""hi""";Doe, Jane\n;;2024-01-30 00:00:00\n')
+    _ingest(spark, root)
+    rows = spark.read.parquet(f"{root}/clean/troi").collect()
+    assert sorted((r.Monat, r.id) for r in rows) == [("", "7"), ("", "9"), ("2024-01-30 00:00:00", "9")]
+    assert {(r.Arbeitszeit, r.Pausenzeiten) for r in rows} == {("08;00", 'say "hi"'), (None, None)}
+    for name, text in (("export_2024-02-01.xlsx", "x"), ("export_2024-02-02.csv", "Monat;Arbeitszeit;Neu\n"), ("export_2024-02-03.csv", "Monat\n")):
+        with open(f"{root}/raw/troi/{name}", "w") as f:
+            f.write(text)
+        with pytest.raises(Exception, match="cannot be read"):
+            _ingest(spark, root)
+        os.remove(f"{root}/raw/troi/{name}")
     d = spark.range(1).select(date_from_name(F.lit("raw/troi/export_2024-01-31.csv")).alias("d")).first().d
     assert d == "2024-02-01 00:00:00"
 

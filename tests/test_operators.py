@@ -1,6 +1,7 @@
 import datetime as dt
 
 from pyspark.sql import Row
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from staffhouse.operators import intervals as I
@@ -55,19 +56,19 @@ def test_explode_drops_null_and_empty(spark):
     assert got == [(1, -1), (1, 1)]
 
 
-def test_fill_down_blocks_equal_plain_window(spark):
+def test_fill_down_blocks_equal_plain_window(spark, monkeypatch):
     rows = [(k, str(k) if k % 7 == 0 else None) for k in range(1, 400)]
     rows[10] = (11, "")                       # '' is a value and stops the fill
     df = spark.createDataFrame(rows, "k int, v string").withColumn("g", F.lit(1))
-    plain = {r.k: r.v for r in R.fill_down(df, "v", ["k"], partition=["g"]).collect()}
-    blocked = {r.k: r.v for r in R.fill_down(df, "v", ["k"], block=F.floor(F.col("k") / 16)).collect()}
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    plain = {r.k: r.v for r in df.withColumn("v", F.last("v", ignorenulls=True).over(w)).collect()}
+    blocked = {r.k: r.v for r in R.fill_down(df, "v", ["k"], F.floor(F.col("k") / 16)).collect()}
     assert plain == blocked
-    two_level = {r.k: r.v for r in R.fill_down(df, "v", ["k"], block=F.floor(F.col("k") / 8), fanout=3).collect()}
-    assert plain == two_level
+    monkeypatch.setattr(R, "FILL_FANOUT", 3)      # several levels of carries
+    monkeypatch.setattr(R, "FILL_LEVELS", 6)
+    levels = {r.k: r.v for r in R.fill_down(df, "v", ["k"], F.floor(F.col("k") / 2), ["g"]).collect()}
+    assert plain == levels
     assert blocked[12] == "" and blocked[6] is None and blocked[13] == "" and blocked[15] == "14"
-    import pytest
-    with pytest.raises(ValueError):
-        R.fill_down(df, "v", ["k"])
 
 
 def test_next_in_order_handles_ties(spark):
@@ -113,3 +114,16 @@ def test_quality_checks(spark):
     assert res == {("not_null", "v"): 1, ("unique", "id"): 1, ("accepted_values", "v"): 1, ("pair_ge", "a>=b"): 1}
     ref = spark.createDataFrame([(1,)], "id int")
     assert Q.foreign_key(df, "id", ref, "id").count() == 1
+
+
+def test_null_keys_bypass_the_mapping(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "id int, x string")
+    m = spark.createDataFrame([(1, "n1"), (1, "n2"), (2, "z"), (None, "never")], "id int, name string")
+    got = sorted((r.x, r.name or "") for r in R.map_names(df, m, "id", "name").collect())
+    assert got == [("a", "n1"), ("a", "n2"), ("b", ""), ("c", "")]
+
+
+def test_attributes_map(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (1, "a", "y"), (2, None, "z")], "k int, c string, v string")
+    got = {r.k: r.attributes for r in R.attributes_map(df, ["k"], "c", "v").collect()}
+    assert got == {1: {"a": "y", "b": None}}

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from staffhouse.plans import catalog as C
-from staffhouse.sources.readers import balanced
+from staffhouse.plans import marts as M
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,16 +26,16 @@ def test_salary_dedup_reuses_the_spread_partitioning(spark):
 
 
 def test_payments_broadcasts_only_the_averages(spark):
-    txt = _plan(C.q_payments_fact(spark, SF))
-    assert txt.count("BroadcastHashJoin") >= 1
+    union = spark.createDataFrame([], "factorial_id bigint, amount decimal(20,4), date date, type string, name string")
+    txt = _plan(M.fct_payments(union))
+    assert txt.count("BroadcastHashJoin") == 1 and "avg" not in txt.lower().split("broadcastexchange")[0]
     assert "Window" not in txt          # no window over the fact rows
 
 
-def test_balanced_keeps_split_scans(spark):
-    df = spark.range(0, 1000, numPartitions=8)
-    assert balanced(df, min_partitions=4) is df
-    one = spark.range(0, 1000, numPartitions=1)
-    assert balanced(one, min_partitions=4).rdd.getNumPartitions() == 4
+def test_no_single_partition_and_no_sorted_deduplication(spark):
+    assert "SinglePartition" not in _plan(C.q_fill_down(spark, SF))
+    assert "SortAggregate" not in _plan(C.q_benefit_months(spark, SF))
+    assert "RoundRobin" not in _plan(C.q_fill_down(spark, SF))
 
 
 def test_scan_pruning_and_pushdown(spark):
