@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,15 @@ def _counts(ids: np.ndarray) -> np.ndarray:
     """Selector that would be used if a word began at each position: the one that holds most ids."""
     bits = np.searchsorted(POWERS, ids, "right")
     best = np.full(len(ids), 15, np.int8)
+    wide = np.zeros(len(ids) + 1, np.int32)
     for sel in range(14, -1, -1):
         n, width = WIDTHS[sel]
         if n > len(ids):
-            continue
-        wide = np.concatenate([[0], np.cumsum(bits > width)])
-        fits = wide[n:] - wide[:-n] == 0
+            break
+        np.cumsum(bits > width, out=wide[1:])
+        fits = wide[n:] == wide[:-n]
+        if not fits.any():
+            break           # what does not fit here fits no longer and narrower word either
         best[:len(fits)][fits] = sel
     return best
 
@@ -100,6 +104,19 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return out[first - base:last - base]
 
 
+class Known(dict):
+    """Unit -> its number; a unit not met before gets the next one and is noted as new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = n = len(self)
+        self.new.append(unit)
+        return n
+
+
 class Encoder:
     """The tokenizers library over distinct units; remembered units are not encoded again."""
 
@@ -107,30 +124,32 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = Known()
         self.ids, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def _learn(self, new: list[str]) -> None:
-        got = [x.ids for x in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+    def _learn(self) -> None:
+        new, self.known.new = self.known.new, []
+        # the fast form leaves out offsets, which nothing here needs
+        got = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.int32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
         self.ids = np.concatenate([self.ids, flat])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
 
     def encode(self, parts: list[list[str]]) -> list[np.ndarray]:
-        new = list(dict.fromkeys(u for x in parts for u in x if u not in self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.ids, self.start = {}, np.empty(0, np.int32), np.zeros(1, np.int64)
-            new = list(dict.fromkeys(u for x in parts for u in x))
-        if new:
-            self._learn(new)
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        ats = [np.fromiter(map(self.known.__getitem__, x), np.int64, len(x)) for x in parts]
+        if self.known.new:
+            self._learn()
         out = []
-        for x in parts:
-            at = np.fromiter(map(self.known.__getitem__, x), np.int64, len(x))
+        for at in ats:
             low, size = self.start[at], self.start[at + 1] - self.start[at]
             first = np.repeat(low - (np.cumsum(size) - size), size)
-            out.append(self.ids[first + np.arange(size.sum())])
+            out.append(self.ids[first + np.arange(len(first))])
         return out
 
 

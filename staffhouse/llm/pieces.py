@@ -1,21 +1,59 @@
 """Cutting texts into units that a byte-level BPE pre-tokenizer treats independently."""
 from __future__ import annotations
 
+MARKS = ".,;:!?"
+
+
+def _starts(x: str) -> bool:
+    """A letter or a printable ASCII character comes first: certainly no white space."""
+    return "!" <= x[0] <= "~" or x[0].isalpha()
+
+
+def _add(out: list[str], x: str) -> None:
+    word = x.rstrip(MARKS)
+    if len(word) < len(x) and word and word[-1].isalpha():
+        out.append(word)
+        out.append(x[len(word):])
+    else:
+        out.append(x)
+
+
+def _add_lines(out: list[str], x: str) -> None:
+    lines = x.split("\n")
+    if lines[0] and lines[0].rstrip() == lines[0] and all(p and p.strip() == p and _starts(p) for p in lines[1:]):
+        _add(out, lines[0])
+        for p in lines[1:]:
+            out.append("\n")
+            _add(out, p)
+    else:
+        out.append(x)
+
 
 def units(text: str) -> list[str]:
-    """Cut before every space that is followed by a letter or a printable ASCII character.
+    """Cut where the pre-tokenizer pattern always ends a match, so that units can be split, encoded
+    and remembered alone:
 
-    The pre-tokenizer pattern always begins a match at such a space: a single space goes to the
-    word after it, and of a longer run of white space all but the last character form a match of
-    their own. No match crosses the cuts, so units can be split, encoded and remembered alone."""
+    * before a space followed by a letter or a printable ASCII character: a single space goes to the
+      word after it, and of a longer run of white space all but the last character are a match;
+    * around a line feed between characters that are no white space: it is a match of its own;
+    * between a letter and the marks after it: letters only match with letters."""
+    first, *rest = text.split(" ")
     out: list[str] = []
-    for i, x in enumerate(text.split(" ")):
-        if i and x and ("!" <= x[0] <= "~" or x[0].isalpha()):
-            out.append(" " + x)
-        elif i and out:
+    if "\n" in first:
+        _add_lines(out, first)
+    elif first:
+        _add(out, first)
+    add = out.append
+    for x in rest:
+        if x and ((c := x[0]).isalpha() or "!" <= c <= "~"):
+            if "\n" in x:
+                _add_lines(out, " " + x)
+            elif x[-1] in MARKS:
+                _add(out, " " + x)
+            else:
+                add(" " + x)
+        elif out:
             out[-1] += " " + x
         else:
-            out.append(" " + x if i else x)
-    if out and not out[0]:
-        del out[0]
+            add(" " + x)
     return out
