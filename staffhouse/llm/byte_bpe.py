@@ -33,12 +33,8 @@ with recursive s(w, p, t, live) as (
    b as (select w, arg_min(p, (rank::bigint << {BITS}) + p) bp, arg_min(np, (rank::bigint << {BITS}) + p) bq, min(rank) rank from r group by w)
    select s.w, s.p, case when s.p = b.bp then b.rank else s.t end, b.bp is not null
    from s left join b on s.w = b.w where s.live and (b.bq is null or s.p <> b.bq)))
-select w, list(t order by p) ids from s where not live group by w order by w
-"""
-DECODE = """
-select w, string_agg(v.hex, '' order by i) hex
-from (select w, unnest(ids) t, generate_subscripts(ids, 1) i from words) x join vocab v on v.rank = x.t
-group by w order by w
+select w, count(*) n, string_agg(t::varchar, ',' order by p) ids, string_agg(v.hex, '' order by p) hex
+from s join vocab v on v.rank = s.t where not live group by w order by w
 """
 
 
@@ -48,6 +44,7 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.token = {r: t for t, r in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
         pairs = [(a, b, r) for token, r in self.ranks.items() for i in range(1, len(token))
@@ -63,15 +60,16 @@ class Codec:
         self.con.execute(f"create or replace temp table {name} as select * from incoming")
         self.con.unregister("incoming")
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word."""
+    def encode_words(self, words: list[bytes]) -> list[tuple[str, int, bytes]]:
+        """Of each word the ids joined by commas, their number, and the bytes that they decode to."""
         out: list = [None] * len(words)
         rest = []
         for i, w in enumerate(words):
-            if (r := self.ranks.get(w)) is not None:
-                out[i] = [r]
-            elif len(w) > LONG_WORD:
-                out[i] = self._long(w)
+            if len(w) > LONG_WORD:
+                ids = self._long(w)
+                out[i] = (",".join(map(str, ids)), len(ids), b"".join(self.token[t] for t in ids))
+            elif (r := self.ranks.get(w)) is not None:
+                out[i] = (str(r), 1, self.token[r])
             else:
                 rest.append(i)
         for low in range(0, len(rest), 20_000):
@@ -82,8 +80,9 @@ class Codec:
                     "t": self.bytes[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]}
             self._table("seed", pa.table(seed))
             got = self.con.sql(ENCODE).to_arrow_table()
-            for w, ids in zip(got["w"].to_pylist(), got["ids"].to_pylist()):
-                out[part[w]] = ids
+            raw = map(bytes.fromhex, got["hex"].to_pylist())
+            for i, x in zip(part, zip(got["ids"].to_pylist(), got["n"].to_pylist(), raw)):      # ordered by w, every w is there
+                out[i] = x
         return out
 
     def _long(self, word: bytes) -> list[int]:
@@ -107,11 +106,6 @@ class Codec:
                     heapq.heappush(heap, (r, k, nxt[k]))
         return [self.ranks[t] for t in tokens if t]
 
-    def decode_words(self, ids: list[list[int]]) -> list[bytes]:
-        """The bytes that each list of ids stands for."""
-        self._table("words", pa.table({"w": np.arange(len(ids), dtype=np.int32), "ids": pa.array(ids, pa.list_(pa.int32()))}))
-        return [bytes.fromhex(x) for x in self.con.sql(DECODE).to_arrow_table()["hex"].to_pylist()]
-
     def learn(self, texts_units: list[list[str]]) -> None:
         """Encode and decode the units not met before."""
         new = sorted({u for x in texts_units for u in x if u not in self.known})
@@ -122,10 +116,13 @@ class Codec:
             return
         words = [self.pattern.findall(u) for u in new]
         distinct = sorted({w for x in words for w in x})
-        ids = dict(zip(distinct, self.encode_words([w.encode("utf-8") for w in distinct])))
-        merged = [[t for w in x for t in ids[w]] for x in words]
-        for u, x, raw in zip(new, merged, self.decode_words(merged)):
-            self.known[u] = (",".join(map(str, x)), len(x), raw)
+        coded = dict(zip(distinct, self.encode_words([w.encode("utf-8") for w in distinct])))
+        for u, x in zip(new, words):
+            if len(x) == 1:
+                self.known[u] = coded[x[0]]
+            else:
+                got = [coded[w] for w in x]
+                self.known[u] = (",".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}

@@ -233,7 +233,8 @@ def test_long_words_are_contracted_like_short_ones():
     rng = random.Random(4)
     words = ["".join(rng.choice("abeinrst-= ") for _ in range(rng.randrange(2, 200))).encode() for _ in range(100)]
     words = [w for w in words if w not in c.ranks]
-    assert c.encode_words(words) == [c._long(w) for w in words]
+    assert [[int(i) for i in x.split(",")] for x, _, _ in c.encode_words(words)] == [c._long(w) for w in words]
+    assert [raw for _, _, raw in c.encode_words(words)] == words
 
 
 def test_packing_round_trip():
