@@ -21,7 +21,8 @@ from staffhouse.llm.common import texts
 from staffhouse.llm.pieces import units
 
 LONG_WORD = 256         # longer words take the heap below: a round of the query costs their whole length
-REMEMBERED = 500_000    # units a task remembers before it forgets them all; only speed depends on it
+REMEMBERED = 200_000    # units a task remembers before it forgets them all; only speed depends on it
+WORDS = 10_000          # words of one query
 BITS = 20               # pair keys and positions are packed; ranks stay far below 2^20
 
 ENCODE = f"""
@@ -46,7 +47,7 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.token = {r: t for t, r in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "160MB"})
         pairs = [(a, b, r) for token, r in self.ranks.items() for i in range(1, len(token))
                  if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
         left, right, rank = (np.array(x, np.int64) for x in zip(*pairs))
@@ -72,8 +73,8 @@ class Codec:
                 out[i] = (str(r), 1, self.token[r])
             else:
                 rest.append(i)
-        for low in range(0, len(rest), 20_000):
-            part = rest[low:low + 20_000]
+        for low in range(0, len(rest), WORDS):
+            part = rest[low:low + WORDS]
             sizes = np.array([len(words[i]) for i in part])
             start = np.repeat(np.cumsum(sizes) - sizes, sizes)
             seed = {"w": np.repeat(np.arange(len(part), dtype=np.int32), sizes), "p": (np.arange(sizes.sum()) - start).astype(np.int32),
@@ -141,7 +142,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, whole:
         low = 0
         while low < b.num_rows:
             part, size = [], 0
-            while low + len(part) < b.num_rows and size < 4_000_000 and len(part) < 2000:
+            while low + len(part) < b.num_rows and size < 2_000_000 and len(part) < 2000:
                 part.append(units(b.column(1)[low + len(part)].as_py()))
                 size += sum(map(len, part[-1]))
             c.learn(part)
