@@ -1,9 +1,12 @@
 """Secrets in texts: fixed patterns, and strings that pass a randomness battery.
 
 Candidates are long runs of one encoding's alphabet. For each the battery gives a p-value of being
-ordinary text (how often a word-like string would look so even over its alphabet: chi-squared), and
-checks that it is not too regular (runs test, serial correlation). The p-values of all candidates of
-one length band are held to one false-discovery rate, as short strings need stricter evidence.
+ordinary text and checks that it is as even and irregular as random symbols (chi-squared, runs test,
+serial correlation). Ordinary text is a Markov chain counted over the whole table: changes between small
+letters, capitals, digits and marks, and pairs of letters. The p-value is the ratio of the string's
+likelihood under it to that under even symbols: by Markov's inequality text has a ratio of r or less with a
+probability of r at most, at any length and for any alphabet. The p-values of all candidates of one length
+band are held to one false-discovery rate.
 """
 from __future__ import annotations
 
@@ -30,8 +33,16 @@ ENCODINGS = (("digits", "0123456789"), ("hex", "0123456789abcdef"), ("HEX", "012
              ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
              ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"))
 _TABLES = [(name, len(a), dict(zip(a, range(len(a))))) for name, a in ENCODINGS]
-# how uneven text is over an alphabet: excess of the sum of squared shares, from a text's own letters
-UNEVEN = 0.065
+# the characters whose sequence is counted, in four classes: small letters, capitals, digits, marks
+SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/-_"
+CLASS = np.array([0] * 26 + [1] * 26 + [2] * 10 + [3] * 4)
+_CODES = np.zeros(256, np.int16)        # byte -> 1 + number of the symbol; 0 for all others
+_CODES[list(SYMBOLS.encode())] = np.arange(1, len(SYMBOLS) + 1)
+SIDE = len(SYMBOLS) + 1
+WORD = 20               # a longer run of letters and digits may be a secret and is not counted as text
+# shares of the class after each class that every table is mixed with, so that what never occurs in it is rare only
+USUAL = np.array([[0.97, 0.01, 0.01, 0.01], [0.45, 0.50, 0.02, 0.03], [0.05, 0.05, 0.85, 0.05], [0.50, 0.20, 0.20, 0.10]])
+MIXED = 0.1
 MAX_BAND = 32
 BINS, FLOOR = 400, 40.0         # p-values are counted in bins of their logarithm
 LEVEL, RATE = 0.001, 0.001      # of the regularity tests; false-discovery rate of each band
@@ -54,8 +65,43 @@ def infer(s: str) -> tuple[str, int, np.ndarray] | None:
     return None
 
 
-def battery(s: str) -> tuple[float, float] | None:
-    """(p of being text, p of being as regular as this by chance); None for strings without an encoding,
+def count_pairs(text: str) -> np.ndarray:
+    """How often each symbol follows each other one (0 stands for any other character), at first * SIDE + second."""
+    total = np.zeros(SIDE * SIDE, np.int64)
+    for low in range(0, len(text), 1 << 20):
+        x = _CODES[np.frombuffer(text[low:low + (1 << 20)].encode("latin-1", "replace"), np.uint8)]
+        inside = (x > 0) & (x <= 62)
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))).reshape(-1, 2)
+        for a, b in edge[edge[:, 1] - edge[:, 0] >= WORD]:
+            x[a:b] = 0
+        total += np.bincount(x[:-1] * np.int16(SIDE) + x[1:], minlength=SIDE * SIDE)
+    return total
+
+
+def text_model(pairs: np.ndarray) -> np.ndarray:
+    """Logarithm of the probability of each symbol after each other one in text; the last row is for the first symbol."""
+    n = pairs.reshape(SIDE, SIDE)[1:, 1:].astype(float)
+    each = n.sum(axis=0)
+    k = len(SYMBOLS)
+    change = np.array([[n[np.ix_(CLASS == a, CLASS == b)].sum() for b in range(4)] for a in range(4)])
+    change = (1 - MIXED) * (change + 100 * USUAL) / (change.sum(axis=1, keepdims=True) + 100) + MIXED * USUAL
+    fold = np.where(CLASS == 1, np.arange(k) - 26, np.arange(k))
+    letters = np.bincount(fold[:52], each[:52], 26) + 10
+    letters /= letters.sum()
+    # pairs of small letters, and of capitals, count together; a change of case inside a word says nothing of the next letter
+    same = n[:26, :26] + n[26:52, 26:52] + n[26:52, :26]
+    after = (1 - MIXED) * (same + 50 * letters) / (same.sum(axis=1, keepdims=True) + 50) + MIXED * letters
+    marks = (each[62:] + 10) / (each[62:] + 10).sum()
+    alone = np.concatenate([letters, letters, np.full(10, 0.1), marks])
+    p = np.tile(alone, (k, 1))
+    p[:26, :26] = p[26:52, :26] = p[26:52, 26:52] = after
+    share = np.array([each[CLASS == c].sum() for c in range(4)]) + 100 * USUAL.mean(axis=0)
+    share = (1 - MIXED) * share / share.sum() + MIXED / 4
+    return np.log(np.vstack([p * change[CLASS][:, CLASS], alone * share[CLASS]]))
+
+
+def battery(s: str, model: np.ndarray) -> tuple[float, float] | None:
+    """(-ln p of being text, p of being as regular as this by chance); None for strings without an encoding,
     of one kind of letters and for all-digit strings (numbers are not secrets by themselves)."""
     if s.isalpha() and (s.islower() or s.isupper() or s.istitle()):
         return None
@@ -66,9 +112,9 @@ def battery(s: str) -> tuple[float, float] | None:
     n = len(x)
     counts = np.bincount(x, minlength=k)
     chi = float(((counts - n / k) ** 2).sum() * k / n)
-    # over its alphabet text has a non-central chi-squared: moments of a normal approximation
-    shift = n * max(k * UNEVEN - 1, 1.0)
-    p_text = _normal_below((chi - (k - 1 + shift)) / math.sqrt(2 * (k - 1 + 2 * shift)))
+    # corrected for the choice of the alphabet
+    at = _CODES[np.frombuffer(s[:n].encode(), np.uint8)] - 1
+    less = -float(model[np.append(-1, at[:-1]), at].sum()) - n * math.log(k) - math.log(len(ENCODINGS))
     p_even = 1 - _normal_below(((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1))))
     above = x > (k - 1) / 2
     up, down = int(above.sum()), int((~above).sum())
@@ -83,7 +129,7 @@ def battery(s: str) -> tuple[float, float] | None:
     square = float((d * d).sum())
     p_serial = _two_sided(float((d[1:] * d[:-1]).sum()) / square * math.sqrt(n)) if square else 0.0
     # the smallest of three, corrected for having been chosen
-    return p_text, min(1.0, 3 * min(p_even, p_runs, p_serial))
+    return max(less, 0.0), min(1.0, 3 * min(p_even, p_runs, p_serial))
 
 
 def band(n: int) -> int:
@@ -98,17 +144,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidates(text: str) -> list[tuple[int, int, int, float]]:
+def candidates(text: str, model: np.ndarray) -> list[tuple[int, int, int, float]]:
     """(start, end, band, -ln p) of the runs that pass the regularity tests."""
     out = []
     for m in CANDIDATE.finditer(text):
-        got = battery(m[0])
+        got = battery(m[0], model)
         if got is not None and got[1] >= LEVEL:
-            out.append((m.start(), m.end(), band(m.end() - m.start()), min(FLOOR, -math.log(max(got[0], 1e-300)))))
+            out.append((m.start(), m.end(), band(m.end() - m.start()), min(FLOOR, got[0])))
     return out
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SIDE * SIDE, np.int64)
+    for b in batches:
+        for low in range(0, b.num_rows, 1000):
+            total += count_pairs("\n".join(b.column(0).slice(low, 1000).to_pylist()))
+    code = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(code, pa.int32()), pa.array(total[code])], names=["code", "n"])
+
+
+def corpus_model(docs: DataFrame) -> np.ndarray:
+    """The text model of all rows; at most 67 x 67 counts reach the driver."""
+    rows = texts(docs).select("text").mapInArrow(_count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    pairs = np.zeros(SIDE * SIDE, np.int64)
+    for r in rows:
+        pairs[r["code"]] = r["n"]
+    return text_model(pairs)
+
+
+def _scan(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
     base_type = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
     more_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("band", pa.int32()), ("bin", pa.int32())]))
     for b in batches:
@@ -119,7 +183,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spans = base_spans(t)
                 base.append([{"s": s, "k": k, "e": e} for s, k, e in spans])
                 sha.append(hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest())
-                more.append([{"s": s, "e": e, "band": w, "bin": int(p * BINS / FLOOR)} for s, e, w, p in candidates(t)])
+                more.append([{"s": s, "e": e, "band": w, "bin": int(p * BINS / FLOOR)} for s, e, w, p in candidates(t, model)])
             yield pa.record_batch([part.column(0), pa.array(base, base_type), pa.array(sha), pa.array(more, more_type)], names=["doc_id", "base", "base_sha256", "more"])
 
 
@@ -145,7 +209,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     that a base span overlaps is left out, base spans always stay. Rows are scanned on their own, whole; the
     rate is held over all rows together. Repeated rows count as often as they occur; extra columns are
     ignored; an empty table gives no rows."""
-    scanned = stage(texts(docs).mapInArrow(_scan, SCHEMA), "op2_scan")
+    model = corpus_model(docs)
+    scanned = stage(texts(docs).mapInArrow(lambda it: _scan(it, model), SCHEMA), "op2_scan")
     cuts = {r["band"]: r["cut"] for r in thresholds(scanned).collect()}      # 33 bands at most
     table = F.array(*(F.lit(cuts.get(i, BINS + 1)) for i in range(MAX_BAND + 1)))
     over = F.filter("more", lambda m: (m["bin"] >= F.get(table, m["band"])) & ~F.exists("base", lambda x: (x["s"] < m["e"]) & (m["s"] < x["e"])))

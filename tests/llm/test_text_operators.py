@@ -306,6 +306,24 @@ def test_secrets_match_brute_force_and_keep_prose_clean(spark, odd_rows):
     assert secret_scan.find_secrets(documents(spark, [])).count() == 0
 
 
+def test_few_random_strings_of_every_alphabet_are_found_among_many_ordinary_runs(spark):
+    rng = random.Random(21)
+    ordinary = [rng.choice("-_/").join(rng.choice([w, w, w.title(), w.upper(), str(rng.randrange(3000))]) for w in prose(rng, rng.randrange(5, 9)).split()) for _ in range(4000)]
+    ordinary += ["".join(w.title() for w in prose(rng, rng.randrange(5, 9)).split()) for _ in range(1000)]
+    rows = [(i, f"{prose(rng, 60)} {x} {prose(rng, 20)}") for i, x in enumerate(ordinary)]
+    planted = {}
+    for name, alphabet in secret_scan.ENCODINGS[1:]:
+        for n in (20, 24, 32, 40, 64):
+            for _ in range(6):
+                planted[10_000 + len(planted)] = (name, n, "".join(rng.choice(alphabet) for _ in range(n)))
+    rows += [(i, f"see {s} here") for i, (_, _, s) in planted.items()]
+    got = {r.doc_id: {(x.s, x.e) for x in r.found} for r in secret_scan.find_secrets(documents(spark, rows)).collect()}
+    for name, _ in secret_scan.ENCODINGS[1:]:
+        mine = [i for i, x in planted.items() if x[0] == name]
+        assert sum((4, 4 + planted[i][1]) in got[i] for i in mine) >= 0.9 * len(mine), name
+    assert sum(bool(got[i]) for i in range(5000)) <= 5
+
+
 # --- models ----------------------------------------------------------------------------------
 
 def labelled(spark, n, target, good, bad):
