@@ -27,7 +27,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")       # a run that holds 20 characters: shorter runs are dropped whole
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20              # characters of a candidate, with its padding; 16 of them are symbols at least
+# '=' belongs to a run as padding at its end only; inside it parts a name from a value
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:=+(?![A-Za-z0-9+/_=-]))?")
+# sub-runs of one alphabet (either base64, or letters and digits only)
+PARTS = tuple(re.compile(x + r"+(?:=+$)?") for x in ("[A-Za-z0-9+/]", "[A-Za-z0-9_-]", "[A-Za-z0-9]"))
 ENCODINGS = (("digits", "0123456789"), ("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
              ("alnum", "0123456789abcdefghijklmnopqrstuvwxyz"), ("ALNUM", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
              ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
@@ -145,12 +149,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, model: np.ndarray) -> list[tuple[int, int, int, float]]:
-    """(start, end, band, -ln p) of the runs that pass the regularity tests."""
+    """(start, end, band, -ln p) of the runs that pass the regularity tests.
+
+    Tested are a run as a whole and its maximal sub-runs of one alphabet and without marks, as a value may be
+    glued to a path or a name. Of those that overlap the one least like text counts, with its p-value corrected for
+    the choice; so ordinary text around a value does not hide it."""
     out = []
     for m in CANDIDATE.finditer(text):
-        got = battery(m[0], model)
-        if got is not None and got[1] >= LEVEL:
-            out.append((m.start(), m.end(), band(m.end() - m.start()), min(FLOOR, got[0])))
+        if m.end() - m.start() < LEAST:
+            continue
+        spans = {(0, len(m[0]))} | {x.span() for part in PARTS for x in part.finditer(m[0]) if x.end() - x.start() >= LEAST}
+        tested = [(got[0], a, b) for a, b in spans if (got := battery(m[0][a:b], model)) is not None and got[1] >= LEVEL]
+        taken: list[tuple[int, int]] = []
+        for less, a, b in sorted(tested, key=lambda x: (-x[0], x[1], -x[2])):
+            if all(b <= c or d <= a for c, d in taken):
+                taken.append((a, b))
+                out.append((m.start() + a, m.start() + b, band(b - a), min(FLOOR, max(0.0, less - math.log(len(spans))))))
     return out
 
 

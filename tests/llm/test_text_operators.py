@@ -324,6 +324,28 @@ def test_few_random_strings_of_every_alphabet_are_found_among_many_ordinary_runs
     assert sum(bool(got[i]) for i in range(5000)) <= 5
 
 
+def test_random_values_glued_to_names_and_paths_are_found(spark):
+    rng = random.Random(22)
+    draw = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    low, b64 = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    glued = {}
+    for k in range(10):
+        v = draw(b64, 18) + "/" + draw(b64, 20) + "+"
+        for before, value, after in (("AWS_SECRET_ACCESS_KEY=", v, ""), ("sessionid=", draw(low, 32), ""), ("sig=", draw(b64, 43) + "=", ""), ("a=b=", draw(b64, 30), "&x=1"),
+                                     ("aws_secret_key_", v, ""), ("/home/user/files/", draw(low, 32), "/index"), ("user_session_", draw(low, 32), "")):
+            glued[5000 + len(glued)] = (before, value, after)
+    rows = [(i, prose(rng, 60) + " " + "_".join(prose(rng, 6).split()) + "=" + "/".join(prose(rng, 7).split())) for i in range(300)]
+    rows += [(i, "see " + "".join(x) + " here") for i, x in glued.items()]
+    got = {r.doc_id: [(x.s, x.e) for x in r.found if x.k == 3] for r in secret_scan.find_secrets(documents(spark, rows)).collect()}
+    for name in {x[0] for x in glued.values()}:
+        mine = [(i, 4 + len(a), 4 + len(a) + len(v)) for i, (a, v, _) in glued.items() if a == name]
+        # the value is covered by one span, which takes in little of what it is glued to
+        assert sum(any(s <= low and e >= high and e - s <= high - low + 12 for s, e in got[i]) for i, low, high in mine) >= 9, (name, [got[i] for i, _, _ in mine], mine)
+    assert not any(got[i] for i in range(300))
+    a, b = "a" * 16, "b" * 17
+    assert [secret_scan.CANDIDATE.findall(x) for x in (f"{a}={b}==", f"{a}===={b}", f"{a}==.")] == [[a, f"{b}=="], [a, b], [f"{a}=="]]
+
+
 # --- models ----------------------------------------------------------------------------------
 
 def labelled(spark, n, target, good, bad):
