@@ -64,10 +64,14 @@ def _lines(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Rec
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     """One row for each non-blank line: doc_id, th, at (number among all lines), pos (number among the
     non-blank ones), line (128-bit hash without outer white space), need (how many lines from here on
-    reach ``min_words`` words; 0: the document ends before) and most (the longest run to test here)."""
+    reach ``min_words`` words; 0: the document ends before) and most (the longest run to test here).
+
+    Rows equal in doc_id and text are one document and give its lines once: the rounds join positions with
+    each other, so a position listed m times would be m^2, m^4, m^8, ... rows there."""
     rows = texts(docs).filter("doc_id is not null").select("doc_id", _key(F.col("text")).alias("th"), "text")
+    # the other columns follow from (doc_id, th, pos); without them in the key they would be sorted, not hashed
     return rows.mapInArrow(lambda it: _lines(it, min_words),
-                           "doc_id long, th long, pos int, at int, line binary, need int, most int")
+                           "doc_id long, th long, pos int, at int, line binary, need int, most int").distinct()
 
 
 def _rank(pairs: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -145,7 +149,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool
     rows without doc_id stay unchanged."""
     runs, lines = repeated_runs(docs, min_words)
     covered = runs.select("doc_id", "th", F.explode(F.sequence("pos", F.col("pos") + F.col("n") - 1)).alias("pos")).distinct()
-    cut = (covered.join(lines.select("doc_id", "th", "pos", "at").distinct(), ["doc_id", "th", "pos"])
+    cut = (covered.join(lines.select("doc_id", "th", "pos", "at"), ["doc_id", "th", "pos"])
            .groupBy(F.col("doc_id").alias("_cut_id"), F.col("th").alias("_cut_th")).agg(F.collect_list("at").alias("_cut_at")))
     cut = stage(cut, "op9_cut")
     at = (docs["doc_id"].cast("long") == F.col("_cut_id")) & (_key(docs["text"]) == F.col("_cut_th"))

@@ -147,6 +147,15 @@ def test_line_dedup_drops_only_emptied_documents(spark):
     assert line_dedup.dedup_lines(documents(spark, [])).count() == 0
 
 
+def test_line_dedup_of_a_row_repeated_ten_times_beside_its_copy(spark):
+    rng = random.Random(23)
+    text = "\n".join(prose(rng, 2) + f" {i}" for i in range(40))
+    rows = [(2, text)] * 10 + [(1, text + "\nown end"), (3, "own start\n" + text)]
+    assert line_dedup.line_table(documents(spark, rows), line_dedup.MIN_WORDS).count() == 40 + 41 + 41
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(documents(spark, rows)).collect())
+    assert got == [(1, text + "\nown end")] + [(2, "")] * 10 + [(3, "own start")]
+
+
 # --- benchmark decontamination ---------------------------------------------------------------
 
 def brute_contamination(rows, items):
