@@ -8,6 +8,7 @@ id it begins with, then the words. Blocks decode independently, all words of one
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -118,14 +119,25 @@ class Known(dict):
 
 
 class Encoder:
-    """The tokenizers library over distinct units; remembered units are not encoded again."""
+    """The tokenizers library over distinct units; remembered units are not encoded again.
 
-    def __init__(self, path: str):
+    With ``added_tokens`` the vocabulary's added tokens are found in texts, as the library does unless told
+    otherwise: the text before and after each is encoded alone, so white space beside one is split as at an
+    end of the text. They are taken to be plain, without stripping of white space. Otherwise they are text."""
+
+    def __init__(self, path: str, added_tokens: bool):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True) if added_tokens else []
+        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self._forget()
 
+    def units(self, text: str) -> list[str]:
+        if self.added is None or not self.added.search(text):
+            return units(text)
+        return [u for i, x in enumerate(self.added.split(text)) for u in ([x] if i % 2 else units(x))]
+
     def _forget(self) -> None:
         self.known = Known()
         self.ids, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
@@ -153,22 +165,22 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], path: str, added_tokens: bool) -> Iterator[pa.RecordBatch]:
     """Sorted documents -> segments of some hundred documents; ``part`` and ``seq`` number them in order."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    encoder = _encoders[path]
+    if (path, added_tokens) not in _encoders:
+        _encoders[path, added_tokens] = Encoder(path, added_tokens)
+    encoder = _encoders[path, added_tokens]
     seq = 0
     for b in batches:
         low = 0
         while low < b.num_rows:
             part, size = [], 0
             while low + len(part) < b.num_rows and size < 2_000_000 and len(part) < 1000:
-                part.append(units(b.column(1)[low + len(part)].as_py()))
+                part.append(encoder.units(b.column(1)[low + len(part)].as_py()))
                 size += sum(map(len, part[-1]))
             ids = [np.append(x, END) for x in encoder.encode(part)]
             counts = [len(x) for x in ids]
@@ -179,18 +191,20 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
             low += len(part)
 
 
-def write(docs: DataFrame, path: str, target: str, partitions: int | None = None) -> None:
+def write(docs: DataFrame, path: str, target: str, partitions: int | None = None, added_tokens: bool = False) -> None:
     """Write the ids of all documents, each followed by ``END``, in ascending doc_id order (rows of one id by
     text): a Parquet folder of segments, with part and seq giving their order.
 
     Documents are ranged over partitions by (doc_id, text hash), so no task orders all of them. Null and
-    empty texts are the end id alone; rows without doc_id are left out; extra columns are ignored."""
+    empty texts are the end id alone; rows without doc_id are left out; extra columns are ignored. Added tokens
+    of the vocabulary that occur in a text are encoded as text, or with ``added_tokens`` as the library's default
+    is, by their own id."""
     rows = texts(docs).filter("doc_id is not null").withColumn("th", F.xxhash64("text"))
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (rows.repartitionByRange(n, "doc_id", "th").sortWithinPartitions("doc_id", "th", "text")
             .select("doc_id", "text", F.spark_partition_id().alias("part")))
     schema = "part int, seq long, docs array<long>, counts array<long>, n_ids long, segment binary"
-    rows.mapInArrow(lambda it: _segments(it, path), schema).write.mode("overwrite").option("compression", "uncompressed").parquet(target)
+    rows.mapInArrow(lambda it: _segments(it, path, added_tokens), schema).write.mode("overwrite").option("compression", "uncompressed").parquet(target)
 
 
 def _documents(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:

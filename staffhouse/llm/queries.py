@@ -49,7 +49,7 @@ def op7_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = shared_path(spark, "staffhouse-ids", spark.sql("select uuid()").first()[0])
-    packed_ids.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), target)
+    packed_ids.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), target, added_tokens=True)
     return packed_ids.read(spark, target, whole=False)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from staffhouse.llm import byte_bpe, chat_repair, line_dedup, near_dedup, packed_ids, quality_gam, secret_scan, toxicity_cnn, winnowing
 from staffhouse.llm.pieces import units
-from staffhouse.llm.queries import op2_secret_scan
+from staffhouse.llm.queries import op2_secret_scan, op8_packed_ids
 
 SCHEMA = "doc_id long, text string, lang string, th long, found string, score double, n_chars long, _y int"
 ODD = [None, "", " ", "\n\n", "a", "one two three four", "İstanbul ÀÉ Kelvin K ſecret=abcdefgh", "x" * 3000, "tab\tand\x0bfeed\x1cnot a space",
@@ -281,6 +281,22 @@ def test_packed_files_hold_what_the_library_encodes(spark, odd_rows, tmp_path):
     assert packed_ids.read(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_query_of_packed_ids_equals_the_unmodified_library(spark, odd_rows, tmp_path):
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    rows = [(i, t) for i, t in odd_rows if i != 101] + [(5000 + k, t) for k, t in enumerate([
+        f"a {end} b", end, f"{end}{end}", f"x  {end}  \n{end}\n y.{end}!", f" {end}", f"{end} ", "<|endoftext |>", f"<|endoftext{end}|>", f"don't{end}'t 12{end}3 \n\n {end}\t\t"])]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in op8_packed_ids(spark, str(tmp_path)).collect()}
+    start = 0
+    for i, t in sorted(rows):
+        ids = own.encode(t or "", add_special_tokens=False).ids + [packed_ids.END]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), t
+        start += len(ids)
+    assert len(got) == len(rows) and own.encode(f"a {end} b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+
+
 # --- secrets ---------------------------------------------------------------------------------
 
 def brute_base(t):
