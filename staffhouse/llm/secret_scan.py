@@ -69,6 +69,15 @@ def infer(s: str) -> tuple[str, int, np.ndarray] | None:
     return None
 
 
+def covered(s: int, e: int, spans: list[tuple[int, int, int]]) -> bool:
+    """Whether spans, sorted by start, leave nothing of s to e."""
+    for a, _, b in spans:
+        if a > s:
+            break
+        s = max(s, b)
+    return s >= e
+
+
 def count_pairs(text: str) -> np.ndarray:
     """How often each symbol follows each other one (0 stands for any other character), at first * SIDE + second."""
     total = np.zeros(SIDE * SIDE, np.int64)
@@ -188,7 +197,7 @@ def corpus_model(docs: DataFrame) -> np.ndarray:
 
 def _scan(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
     base_type = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
-    more_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("band", pa.int32()), ("bin", pa.int32())]))
+    more_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("band", pa.int32()), ("bin", pa.int32()), ("own", pa.bool_())]))
     for b in batches:
         for low in range(0, b.num_rows, 1000):
             part = b.slice(low, 1000)
@@ -197,12 +206,12 @@ def _scan(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.R
                 spans = base_spans(t)
                 base.append([{"s": s, "k": k, "e": e} for s, k, e in spans])
                 sha.append(hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest())
-                more.append([{"s": s, "e": e, "band": w, "bin": int(p * BINS / FLOOR)} for s, e, w, p in candidates(t, model)])
+                more.append([{"s": s, "e": e, "band": w, "bin": int(p * BINS / FLOOR), "own": not covered(s, e, spans)} for s, e, w, p in candidates(t, model)])
             yield pa.record_batch([part.column(0), pa.array(base, base_type), pa.array(sha), pa.array(more, more_type)], names=["doc_id", "base", "base_sha256", "more"])
 
 
 SCHEMA = ("doc_id long, base array<struct<s:int,k:int,e:int>>, base_sha256 string, "
-          "more array<struct<s:int,e:int,band:int,bin:int>>")
+          "more array<struct<s:int,e:int,band:int,bin:int,own:boolean>>")
 
 
 def thresholds(scanned: DataFrame, rate: float = RATE) -> DataFrame:
@@ -220,13 +229,13 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, base_sha256, found (array of kind, start, end by start, kind, end) for every row.
 
     Positions are code points, the end is exclusive. Null and empty texts have no spans. A random span
-    that a base span overlaps is left out, base spans always stay. Rows are scanned on their own, whole; the
+    that base spans cover fully is left out, base spans always stay. Rows are scanned on their own, whole; the
     rate is held over all rows together. Repeated rows count as often as they occur; extra columns are
     ignored; an empty table gives no rows."""
     model = corpus_model(docs)
     scanned = stage(texts(docs).mapInArrow(lambda it: _scan(it, model), SCHEMA), "op2_scan")
     cuts = {r["band"]: r["cut"] for r in thresholds(scanned).collect()}      # 33 bands at most
     table = F.array(*(F.lit(cuts.get(i, BINS + 1)) for i in range(MAX_BAND + 1)))
-    over = F.filter("more", lambda m: (m["bin"] >= F.get(table, m["band"])) & ~F.exists("base", lambda x: (x["s"] < m["e"]) & (m["s"] < x["e"])))
+    over = F.filter("more", lambda m: (m["bin"] >= F.get(table, m["band"])) & m["own"])
     extra = F.transform(over, lambda m: F.struct(m["s"].alias("s"), F.lit(3).alias("k"), m["e"].alias("e")))
     return scanned.select("doc_id", "base_sha256", F.array_sort(F.concat("base", extra)).alias("found"))

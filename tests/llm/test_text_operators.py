@@ -371,6 +371,21 @@ def test_random_values_glued_to_names_and_paths_are_found(spark):
     assert [secret_scan.CANDIDATE.findall(x) for x in (f"{a}={b}==", f"{a}===={b}", f"{a}==.")] == [[a, f"{b}=="], [a, b], [f"{a}=="]]
 
 
+def test_random_runs_that_base_spans_cover_in_part_are_kept(spark):
+    rng = random.Random(24)
+    draw = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    rows = [(i, prose(rng, 60)) for i in range(100)]
+    hexed = draw("0123456789abcdef", 24)
+    long = draw("GHIJKLMNOPQRSTUVWXYZ", 1) + draw("ABCDEFGHJKMNPQRSTVWXYZghjkmnpqrstvwxyz23456789", 39) + "Q" + hexed + "Z"
+    value = draw("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 40)
+    rows += [(1000, f"see {long} here"), (1001, f"token={value} here")]
+    got = {r.doc_id: [(secret_scan.KINDS[x.k], x.s, x.e) for x in r.found] for r in secret_scan.find_secrets(documents(spark, rows)).collect()}
+    at = 4 + long.index(hexed)
+    assert got[1000] == [("random", 4, 4 + len(long)), ("hex", at, at + 24)]
+    assert got[1001] == [("assign", 0, 46)]
+    assert [secret_scan.covered(2, 9, x) for x in ([], [(0, 0, 5), (5, 1, 9)], [(0, 0, 5), (6, 1, 9)], [(3, 0, 9)], [(0, 0, 8)])] == [False, True, False, False, False]
+
+
 # --- models ----------------------------------------------------------------------------------
 
 def labelled(spark, n, target, good, bad):
