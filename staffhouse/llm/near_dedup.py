@@ -259,8 +259,9 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose document is the one kept of its component; rows of a null id stay.
+    """Rows whose document is the one kept of its component; rows of a null id stay, copies or not.
 
-    Only the ids to drop are joined, so the kept texts need no grouping."""
+    Rows are dropped by id: all rows that share a kept id stay, whether their texts are equal or not, so
+    of such a group more than one row is left. Only the ids to drop are joined, so the kept texts need no grouping."""
     gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
