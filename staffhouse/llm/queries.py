@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staffhouse.llm import byte_bpe, chat_repair, line_dedup, near_dedup, packed_ids, permutation_index, quality_gam, secret_scan, toxicity_cnn, winnowing
+from staffhouse.llm import (byte_bpe, chat_repair, conversation_audit, line_dedup, near_dedup, ngram_join, packed_ids, permutation_index, quality_gam, secret_scan,
+                            toxicity_cnn, whitening, winnowing)
 from staffhouse.llm.common import ship, table
-from staffhouse.llm.sql import CONTAMINATION, NEAR_DUPLICATES
+from staffhouse.llm.sql import CONTAMINATION, NEAR_DUPLICATES, NGRAM_JACCARD
 from staffhouse.session import shared_path
 
 
@@ -61,6 +62,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_audit.audit(table(spark, sf_dir, "conversations"))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def shipped(f: Callable) -> Callable:
     @wraps(f)
     def run(spark: SparkSession, *rest) -> DataFrame:
@@ -71,8 +84,8 @@ def shipped(f: Callable) -> Callable:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: shipped(f) for f in (
     op1_chat_repair, op2_secret_scan, op3_winnowing, op4_quality_gam, op5_byte_bpe, op6_permutation_index, op7_toxicity_cnn,
-    op8_packed_ids, op9_line_dedup, op10_near_dedup)}
-LLM_ORACLE: dict[str, str] = {"op3_winnowing": CONTAMINATION, "op10_near_dedup": NEAR_DUPLICATES}
+    op8_packed_ids, op9_line_dedup, op10_near_dedup, op11_conversation_audit, op12_ngram_join, op13_whitening)}
+LLM_ORACLE: dict[str, str] = {"op3_winnowing": CONTAMINATION, "op10_near_dedup": NEAR_DUPLICATES, "op12_ngram_join": NGRAM_JACCARD}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,3 +29,16 @@ reach(doc_id, r) as (select doc_id, doc_id from doc union select reach.doc_id, l
 select doc.doc_id, coalesce(size.n, 0)::bigint as n_shingles, c.component_id, doc.doc_id = c.component_id as kept
 from doc left join size using (doc_id) join (select doc_id, min(r) as component_id from reach group by doc_id) c using (doc_id)
 """
+
+NGRAM_JACCARD = r"""
+with recursive doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') as w from documents),
+sh as (select distinct doc_id, array_to_string(w[i:i + 2], ' ') as s
+       from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) as i from doc where len(w) > 0)),
+size as (select doc_id, count(*) as n from sh group by doc_id),
+common as (select a.doc_id as x, b.doc_id as y, count(*) as c from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+link as (select x, y from common join size p on p.doc_id = x join size q on q.doc_id = y where 100 * c >= 90 * (p.n + q.n - c)),
+reach(doc_id, r) as (select doc_id, doc_id from doc union select reach.doc_id, link.y from reach join link on link.x = reach.r)
+select doc.doc_id, coalesce(size.n, 0)::bigint as n_shingles, c.component_id
+from doc left join size using (doc_id) join (select doc_id, min(r) as component_id from reach group by doc_id) c using (doc_id)
+"""
