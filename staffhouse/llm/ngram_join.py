@@ -8,8 +8,8 @@ this holds for any order, the counts only keep common shingles out of it.
 The sets of a bucket are stored in a trie, commonest shingles first. The trie is walked once for all sets
 as queries: a node adds its shingles to the overlaps that its parent's have reached, shared by
 everything below it, and queries leave a subtree whose remaining length cannot bring them to the overlap
-they need, or whose sets are all in their component already. Each set first joins one bucket; of what
-is then still open, parity bitmaps (whose difference is never more than that of the sets) pick the
+they need, or whose sets are all in their component already. Buckets of the same members are one. Each set
+first joins one bucket; of what is then still open, parity bitmaps (whose difference is never more than that of the sets) pick the
 members that may still be linked, and these are joined in all their buckets.
 """
 from __future__ import annotations
@@ -42,8 +42,8 @@ def similar(common, a, b):
     return 19 * common >= 9 * (a + b)
 
 
-def shingles(text: str) -> np.ndarray:
-    """Distinct 64-bit hashes of the text's three-word shingles; fewer words form one. Words are runs of
+def hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the text's three-word shingles in order; fewer words form one. Words are runs of
     anything but ASCII white space, A-Z lower-cased."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
@@ -54,7 +54,12 @@ def shingles(text: str) -> np.ndarray:
     h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
     s = sum((h[j:n - SHINGLE + 1 + j] * _FACTORS[j] for j in range(1, SHINGLE)), h[:n - SHINGLE + 1] * _FACTORS[0])
     s = (s ^ (s >> _U(32))) * _U(0x9E3779B97F4A7C15)
-    return np.unique(s ^ (s >> _U(29)))
+    return s ^ (s >> _U(29))
+
+
+def shingles(text: str) -> np.ndarray:
+    """The text's set: its distinct shingles' hashes, sorted."""
+    return np.unique(hashes(text))
 
 
 def ordered(s: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -86,8 +91,9 @@ def folded(bits: np.ndarray) -> np.ndarray:
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(1 << SLOT_BITS, np.int64)
     for b in batches:
-        for t in b.column(0):
-            np.add.at(count, (shingles(t.as_py()) >> _LOW).astype(np.int64), 1)
+        for low in range(0, b.num_rows, 500):
+            found = [hashes(t.as_py()) for t in b.column(0).slice(low, 500)]
+            count += np.bincount((np.concatenate(found) >> _LOW).astype(np.int64), minlength=len(count))
     hit = np.flatnonzero(count)
     for low in range(0, len(hit), 1 << 16):
         part = hit[low:low + (1 << 16)]
@@ -95,7 +101,7 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def slot_ranks(docs: DataFrame) -> np.ndarray:
-    """The place of every slot by falling rarity: how many (document, shingle) pairs of the table hit it."""
+    """The place of every slot by falling rarity: how many shingles of the table's texts hit it."""
     counts = texts(docs).select("text").mapInArrow(_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(1 << SLOT_BITS, np.int64)
     total[counts["slot"].to_numpy()] = counts["n"].to_numpy()
@@ -321,19 +327,24 @@ def jaccard_components(docs: DataFrame, weight: int = WEIGHT, rounds: int = 2) -
     twice = member.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).dropna().distinct()
     posted = nodes.filter(F.col("n") >= LEAST).select("rep", "n", F.posexplode("prefix").alias("pos", "key")).select(
         "key", "rep", "n", (F.col("pos") < F.col("n") - F.floor((18 * F.col("n") + 18) / 19) + 1).alias("indexed"))
-    shared = posted.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.max("indexed").alias("any")).filter("lo < hi and any")
+    # keys that the same sets have are one bucket: near copies share many
+    shared = (posted.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("rep", "n")).alias("s"), F.bit_xor(F.xxhash64("n", "rep")).alias("t"),
+                                        F.max("indexed").alias("any")).filter("m > 1 and any")
+              .groupBy("m", "s", "t").agg(F.min("key").alias("key")))
     buckets = stage(posted.join(shared.select("key"), "key").select("key", "rep", "n"), "op12_buckets")
     # a rep may stand for several sets when rows share an id; they are linked anyway, and the row with the shared text is all that a join needs
     body = texts(docs).select(F.col("doc_id").alias("rep"), F.col("text").alias("body"))
     bodies = stage(body.join(buckets.select("rep").distinct(), "rep"), "op12_bodies", "zstd")
-    links = twice
-    for k in range(rounds):
-        chosen = buckets.groupBy("rep", "n").agg(F.min_by("key", F.xxhash64("key", F.lit(k))).alias("key"))
-        found = _joined(_with_components(chosen, links), bodies, rank, False, weight)
-        links = stage(links.unionByName(found), f"op12_links_{k}")
-    rows = stage(_with_components(buckets, links), "op12_state")
-    still = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    rows = rows.join(still, "key").join(nodes.select("rep", "n", "bits"), ["rep", "n"])
+    links, rows = twice, _with_components(buckets, None)
+    for k in range(rounds + 1):
+        if k:
+            rows = _with_components(buckets, links)
+            still = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+            rows = stage(rows.join(still, "key"), f"op12_still_{k}")
+        if k < rounds:
+            chosen = rows.groupBy("rep", "n", "c").agg(F.min_by("key", F.xxhash64("key", F.lit(k))).alias("key"))
+            links = stage(links.unionByName(_joined(chosen, bodies, rank, False, weight)), f"op12_links_{k}")
+    rows = rows.join(nodes.select("rep", "n", "bits"), ["rep", "n"])
     open_ = stage(_dealt(rows, _blocks(rows, weight), True, "n", "c", "bits").mapInArrow(_open_members, "key long, rep long").distinct(), "op12_open")
     last = open_.join(rows.select("key", "rep", "n", "c").distinct(), ["key", "rep"])
     links = stage(links.unionByName(_joined(last, bodies, rank, True, weight)), "op12_links")
