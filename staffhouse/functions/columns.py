@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, also where it holds dots or back quotes (headers of exports do)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -10,8 +10,10 @@ Scale notes
   along the ordering, filled inside each block, and the carry between blocks comes
   from windows over one summary row per block, inside groups of bounded size.
 * Series operators generate rows inside the task that owns the input row (``explode``);
-  month steps are a closed form (no array folds). ``spread`` redistributes a small
-  input by its key before such a row-multiplying generator.
+  month steps are a closed form (no array folds). A small input is cut into pieces and
+  rebalanced before such a row-multiplying generator.
+* ``distinct_series`` finds out which input rows can give equal rows at all before any
+  series is generated; the series of the others are never shuffled.
 """
 from __future__ import annotations
 
@@ -21,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import ColumnOrName, _c
+from ..functions.columns import ColumnOrName, _c, named
+from ..session import materialise
 
 
 # ---------------------------------------------------------------- unions
@@ -89,10 +92,19 @@ def column_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(F.col(col).isNotNull()).distinct()
 
 
-def pivot_no_agg(df: DataFrame, keys: Sequence[str], col: str, val: str, values: Sequence) -> DataFrame:
+MAX_PIVOT = 10_000      # columns that a pivot may find by itself
+
+
+def pivot_no_agg(df: DataFrame, keys: Sequence[str], col: str, val: str, values: Sequence | None = None) -> DataFrame:
     """Attribute-value rows -> one column per attribute of ``values``, taking the (single)
-    value with ``max`` so text stays text. For an open domain keep the rows as they are or
-    use ``attributes_map``."""
+    value with ``max`` so text stays text. Without ``values`` (*action*) the attributes are those of ``column_values``
+    in order; more than ``MAX_PIVOT`` of them are an error, such a domain is kept as rows or
+    by ``attributes_map``."""
+    if values is None:
+        found = column_values(df, col).limit(MAX_PIVOT + 1).collect()
+        if len(found) > MAX_PIVOT:
+            raise ValueError(f"{col} has more than {MAX_PIVOT} values")
+        values = sorted(r[0] for r in found)
     return df.groupBy(*keys).pivot(col, list(values)).agg(F.max(val))
 
 
@@ -177,13 +189,11 @@ def _month_step_from_parts(k: Column) -> tuple[Column, Column]:
     return F.add_months(F.col("_ms_first"), k.cast("int")), day
 
 
-def spread(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Hash-repartition a (small) input by a unique key before a row-multiplying
-    generator. Without it the generator runs in however few partitions the input has
-    after AQE coalesced it by *its* size, so a handful of tasks produce all output rows.
-    A downstream aggregate keyed by a superset of ``keys`` needs no further exchange."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+PIECE = 256         # months of a series that one task is given at a time, at most
+
+
+def _months_between(s: Column, e: Column) -> Column:
+    return (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
 
 
 def month_series(df: DataFrame, start: str, end: str, as_: str = "date",
@@ -191,21 +201,68 @@ def month_series(df: DataFrame, start: str, end: str, as_: str = "date",
     """One row per month from ``start`` to ``end`` for every input row, each step added
     to the previous value (the warehouse's generate_series). ``end < start`` gives no
     rows. Rows are generated in the task that owns the input row and every date is a
-    scalar expression (whole-stage codegen, no array folds). ``spread_by`` spreads the
-    input rows over the shuffle partitions first (see ``spread``)."""
-    if spread_by:
-        df = spread(df, spread_by)
+    scalar expression (whole-stage codegen, no array folds).
+
+    ``spread_by``: the input of a series is small beside what it makes, so it would sit in few partitions. Its spans
+    are cut into pieces of ``PIECE`` months first and rebalanced by these columns and the piece; how many
+    partitions that gives is left to AQE, and a long span is not one task's."""
     s, e = F.col(start), F.col(end)
-    n = (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
+    spans = df.withColumn("_n", F.when(e >= s, _months_between(s, e))).where(F.col("_n").isNotNull())
+    if spread_by:
+        spans = spans.withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_n"), F.lit(PIECE))))
+        spans = spans.hint("rebalance", *spread_by, "_from")
+        steps = F.sequence("_from", F.least(F.col("_n"), F.col("_from") + PIECE - 1))
+    else:
+        steps = F.sequence(F.lit(0), "_n")
     parts = _month_step_parts(start)
     # per input row: the series constants; per generated row: comparisons + make_date
-    base = df.select("*", *[v.alias(k) for k, v in parts.items()],
-                     F.explode(F.when(s.isNotNull() & e.isNotNull() & (e >= s),
-                                      F.sequence(F.lit(0), n))).alias("_k"))
+    base = spans.select("*", *[v.alias(k) for k, v in parts.items()]).withColumn("_k", F.explode(steps))
     first, day = _month_step_from_parts(F.col("_k"))
     stepped = base.select("*", first.alias("_ms_month"), day.alias("_ms_day"))
     out = stepped.withColumn(as_, F.make_date(F.year("_ms_month"), F.month("_ms_month"), F.col("_ms_day")))
-    return out.where(F.col(as_) <= F.col(end)).drop("_k", "_ms_month", "_ms_day", *parts.keys())
+    return out.where(F.col(as_) <= F.col(end)).select(*df.columns, as_)
+
+
+def month_span(df: DataFrame, start: str, end: str, first: str = "first_month", last: str = "last_month") -> DataFrame:
+    """The first and last month in which ``month_series`` gives a row, in closed form (nulls where it gives
+    none). The months between have one row each."""
+    s, e = F.col(start), F.col(end)
+    parts = _month_step_parts(start)
+    wide = df.withColumn("_n", F.when(e >= s, _months_between(s, e))).select("*", *[v.alias(k) for k, v in parts.items()])
+    month, day = _month_step_from_parts(F.col("_n"))
+    wide = wide.select("*", month.alias("_ms_month"), day.alias("_ms_day"))
+    # the step into the end's month counts if its day is not after the end
+    whole = F.col("_ms_day") <= F.dayofmonth(end)
+    return wide.select(*df.columns, F.when(F.col("_n").isNotNull(), F.trunc(start, "month")).alias(first),
+                       F.when(whole, F.col("_ms_month")).otherwise(F.add_months("_ms_month", -1)).alias(last))
+
+
+def distinct_series(df: DataFrame, start: str, end: str, keys: Sequence[str], order: Sequence[str], as_: str = "date") -> tuple[DataFrame, DataFrame]:
+    """The month series of ``df`` with one row per (``keys``, date): of several, the one whose input row is
+    smallest by ``order`` (nulls first; its first column an integer). In two parts: the input rows that share
+    their keys with no other, whose series needs no de-duplication, and the de-duplicated rows of the others.
+
+    Only rows with the same keys can meet in a date, so what is grouped before any series is generated are the input
+    rows; series rows are grouped for the others alone, by (keys, date), which spreads a hot key over its
+    months. Winners are the least of one fixed-width number (a hash aggregate) and their other columns are
+    joined back from the input rows."""
+    marked = [f"_key{i}" for i in range(len(keys))]
+    peers = df.groupBy(*[F.col(k).alias(m) for k, m in zip(keys, marked)]).agg(F.count(F.lit(1)).alias("_peers")).where("_peers > 1")
+    same = F.lit(True)
+    for k, m in zip(keys, marked):
+        same = same & F.col(k).eqNullSafe(F.col(m))
+    tagged = df.join(peers, same, "left")
+    single = tagged.where(F.col("_peers").isNull()).select(*df.columns)
+    several = tagged.where(F.col("_peers").isNotNull()).select(*df.columns).distinct()
+    rest = [c for c in order[1:]] or [start, end]
+    place = F.row_number().over(Window.partitionBy(*keys, order[0]).orderBy(*rest))
+    number = F.coalesce(F.col(order[0]).cast("decimal(20,0)"), F.lit(-1 << 63).cast("decimal(20,0)")) * F.lit(10 ** 15).cast("decimal(16,0)") + place
+    several = several.withColumn("_ord", number.cast("decimal(38,0)"))
+    # a winner is told by its keys as well: the number is one within them
+    rows = month_series(several.select("_ord", start, end, *keys), start, end, "_date", spread_by=["_ord", *keys])
+    least = rows.groupBy(*[F.col(k).alias(m) for k, m in zip(keys, marked)], F.col("_date").alias(as_)).agg(F.min("_ord").alias("_least"))
+    won = least.join(several, same & (F.col("_least") == F.col("_ord"))).select(*df.columns, as_)
+    return single, won
 
 
 def date_spine(df: DataFrame, start: str, end: str, as_: str = "date") -> DataFrame:
@@ -230,23 +287,49 @@ def map_names(df: DataFrame, mapping: DataFrame, key: str, value: str, map_key:
     return out.unionByName(none)
 
 
-FILL_FANOUT, FILL_LEVELS = 1 << 16, 4       # 2^64 blocks: every bigint block number
+def row_numbers(df: DataFrame, order: Sequence[str], as_: str = "_rn") -> tuple[DataFrame, int]:
+    """*Action*: (``df`` with ``as_``, the number of its rows): 0, 1, 2, ... in ``order``.
+
+    The rows are dealt to ranges of the whole order, sorted there and written; a row's number is its place in
+    its range plus the rows of the ranges before, a prefix sum over one count a range. No task sees more
+    than a range, also where all rows share the leading column. ``order`` has to tell rows apart: rows equal in it are
+    numbered in any order."""
+    at = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    at = materialise(at, "row_numbers").withColumn("_range", F.shiftright("_at", 33))
+    before, total = [], 0
+    for r in sorted(at.groupBy("_range").count().collect()):        # a row a range
+        before.append((r["_range"], total))
+        total += r["count"]
+    starts = df.sparkSession.createDataFrame(before, "_range bigint, _before bigint")
+    numbered = at.join(F.broadcast(starts), "_range")
+    return numbered.select(*map(named, df.columns), (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias(as_)), total
 
 
-def fill_down(df: DataFrame, col: str, order: Sequence[str], block: Column, partition: Sequence[str] = (),
-              as_: str | None = None) -> DataFrame:
+FILL_BLOCK, FILL_FANOUT, FILL_LEVELS = 1 << 16, 1 << 16, 4       # 2^64 blocks: every bigint block number
+
+
+def fill_down(df: DataFrame, col: str, order: Sequence[str], block: Column | None = None, partition: Sequence[str] = (),
+              as_: str | None = None, block_rows: int = FILL_BLOCK) -> DataFrame:
     """Forward fill: every null of ``col`` takes the last non-null value before it in
     ``order`` within ``partition``. Only nulls are filled ('' stops the fill).
 
-    ``block`` must be a non-negative integer column that is non-decreasing along
-    ``order`` (a bucket of the leading order column, or of a row number). Rows are filled
-    inside each (partition, block). The carry from earlier blocks comes from one summary
+    Rows are filled inside each (partition, block). The carry from earlier blocks comes from one summary
     row per block: blocks are grouped by ``FILL_FANOUT`` numbers, groups again, and a
     window only ever runs over the members of one group, so no task holds more than a
     block's rows or ``FILL_FANOUT`` summary rows, whatever the length of the table.
+
+    Without ``block`` the rows are numbered first (``row_numbers``, an action) and a block is ``block_rows`` of them, so that
+    blocks are of one size whatever the keys are, and there are no more levels than these need. A ``block`` that is
+    given must be a non-negative integer column that is non-decreasing along ``order``.
     """
     out_col = as_ or col
     part = list(partition)
+    columns, levels = df.columns, FILL_LEVELS
+    if block is None:
+        df, total = row_numbers(df, [*part, *order])
+        order, block, levels = ["_rn"], F.floor(F.col("_rn") / block_rows), 1
+        while total // block_rows >= FILL_FANOUT ** levels:
+            levels += 1
     b = df.withColumn("_blk0", block.cast("bigint"))
     w_in = Window.partitionBy(*part, "_blk0").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = b.withColumn("_local", F.last(col, ignorenulls=True).over(w_in))
@@ -255,7 +338,7 @@ def fill_down(df: DataFrame, col: str, order: Sequence[str], block: Column, part
     level = (b.groupBy(*part, "_blk0")
              .agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order_struct)).alias("_last")))
     starts = None
-    for k in range(FILL_LEVELS):
+    for k in range(levels):
         own, up = f"_blk{k}", f"_blk{k + 1}"
         level = level.withColumn(up, F.floor(F.col(own) / FILL_FANOUT).cast("bigint"))
         before = Window.partitionBy(*part, up).orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
@@ -263,7 +346,7 @@ def fill_down(df: DataFrame, col: str, order: Sequence[str], block: Column, part
         starts = carried if starts is None else starts.join(carried, [*part, own], "left")
         level = level.groupBy(*part, up).agg(
             F.max_by(F.col("_last"), F.when(F.col("_last").isNotNull(), F.col(own))).alias("_last"))
-    carry = F.coalesce(*[F.col(f"_c{k}") for k in range(FILL_LEVELS)])
+    carry = F.coalesce(*[F.col(f"_c{k}") for k in range(levels)])
     out = filled.join(starts.select(*part, "_blk0", carry.alias("_carry")), [*part, "_blk0"], "left")
     res = out.withColumn(out_col, F.coalesce(F.col("_local"), F.col("_carry")))
-    return res.select(*(df.columns if out_col in df.columns else [*df.columns, out_col]))
+    return res.select(*map(named, columns if out_col in columns else [*columns, out_col]))

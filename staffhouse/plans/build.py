@@ -1,8 +1,8 @@
 """Production build of the report tables from source DataFrames.
 
 base models -> shared intermediates written to shared storage (lineage cut, reused by
-several marts, survives executor loss) -> dimensions and facts -> declared data tests
-as a gate -> publish (full overwrite per table).
+several marts, survives executor loss) -> dimensions and facts, written as a new version of the report
+-> declared data tests on these very tables as a gate -> one pointer moved to the version.
 
 Inputs are keyed by source name: ``employees, contracts, compensation, teams,
 custom_tables, custom_tables_col, custom_tables_val, mood_survey_answers,
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import measures as MS
 from ..operators import quality as Q
 from ..session import drop_stage, materialise
+from ..sources import published as P
 from ..sources import sinks
 from . import checks as K
 from . import marts as M
@@ -25,8 +26,7 @@ from . import marts as M
 
 # models written before others read them: several readers, or shared with the checks
 STAGED = ["dim_employees", "fill_contract_dates", "factorial_map_custom_tables", "industrial_working_hours", "industrial_break_time",
-          "cleaned_absences", "processed_lunchit", "salary_payment", "benefit_payment", "inflation_payment", "lunchit_payment",
-          "payments_union"]
+          "cleaned_absences", "processed_lunchit", "salary_payment", "benefit_payment", "inflation_payment", "lunchit_payment"]
 
 
 def build_models(src: Mapping[str, DataFrame], as_of=None, stage=lambda df, name: df) -> dict[str, DataFrame]:
@@ -73,7 +73,8 @@ def build_models(src: Mapping[str, DataFrame], as_of=None, stage=lambda df, name
     add("dim_date_table_previous", MS.previous_period(m["dim_date_table"].select("date")))
     add("dim_name_mapping", M.dim_name_mapping(m["name_mapping_pto"]))
     add("dim_teams", M.dim_teams(m["factorial_teams"]))
-    add("fct_payments", M.fct_payments(m["payments_union"]))
+    add("payment_averages", M.payment_averages(m["fill_contract_dates"], m["factorial_compensation"], m["lunchit_payment"], m["inflation_payment"]))
+    add("fct_payments", M.fct_payments(m["payments_union"], m["payment_averages"]))
     add("fct_absences", M.fct_absences(m["cleaned_absences"]))
     add("fct_absence_length", M.fct_absence_length(m["cleaned_absences"]))
     add("fct_working_hours", M.fct_working_hours(m["cleaned_absences"], m["industrial_break_time"]))
@@ -117,25 +118,38 @@ def held_back(failed: set[str]) -> set[str]:
 
 
 def build_and_publish(spark: SparkSession, src: Mapping[str, DataFrame], target: str, as_of=None, gate: bool = True) -> DataFrame:
-    """*Action*: build, run the declared tests and references on the staged tables, and copy
-    these very tables to ``target/<table>``.
+    """*Action*: build, run the declared tests and references on the written tables, and publish
+    these very files under ``target`` (``sources/published.py``) by moving its pointer once.
 
-    With ``gate`` a failing check holds back its table and the tables made from it, the
-    others are published, and an error says which checks failed; the results of all checks
-    are under ``target/_checks/<run>``. Staged files are removed at the end."""
+    With ``gate`` a failing check holds back its table and the tables made from it: readers keep the version
+    they had, the other tables change together, and an error says which checks failed. The results of all
+    checks are under ``target/checks/<run>``. Shared intermediates are removed at the end, and if
+    the run fails before the pointer is moved, what it wrote as well."""
     run = uuid.uuid4().hex
-    models = build_models(src, as_of, lambda df, name: materialise(df, name, run))
-    suite = {**K.declared_suite(models)}
-    results = Q.run_checks(suite).unionByName(Q.run_checks(K.reference_suite(models)))
-    path = f"{target.rstrip('/')}/_checks/{run}"
-    results.write.parquet(path)
-    results = spark.read.parquet(path)
-    bad = [r for r in results.where("violations > 0").collect()]       # one row a declared check
-    back = held_back({r["table"] for r in bad}) if gate else set()
-    for name in REPORT_TABLES:
-        if name not in back:
-            sinks.publish_path(models[name], f"{target.rstrip('/')}/{name}")
-    drop_stage(spark, run)
+    moved = False
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        if name not in REPORT_TABLES:
+            return materialise(df, name, run)
+        path = P.version_path(target, run, name)
+        sinks.publish_path(df, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        models = build_models(src, as_of, stage)
+        results = Q.run_checks(K.whole_suite(models))
+        path = f"{target.rstrip('/')}/checks/{run}"
+        results.write.parquet(path)
+        results = spark.read.parquet(path)
+        bad = [r for r in results.where("violations > 0").collect()]       # one row a declared check
+        back = held_back({r["table"] for r in bad}) if gate else set()
+        P.move_pointer(spark, target, {name: run for name in REPORT_TABLES if name not in back})
+        moved = True
+        P.drop_old_versions(spark, target)
+    finally:
+        drop_stage(spark, run)
+        if not moved:
+            P.drop_version(spark, target, run)
     if gate:
         Q.assert_clean(results)
     return results

@@ -73,7 +73,8 @@ class Lineage:
     def inflation(self): return M.inflation_payment(self.mapped_custom)
     @cached_property
     def payments(self):
-        return M.fct_payments(M.payments_union(self.salary, self.lunchit_pay, self.inflation, self.benefit))
+        averages = M.payment_averages(self.filled, self.comp_base, self.lunchit_pay, self.inflation)
+        return M.fct_payments(M.payments_union(self.salary, self.lunchit_pay, self.inflation, self.benefit), averages)
     @cached_property
     def troi(self): return M.processed_troi(A.troi_export(self.t("events")))
     @cached_property
@@ -172,7 +173,7 @@ def q_custom_values_labelled(spark, d): return _l(spark, d).mapped_custom
 
 def q_custom_pivot(spark, d):
     lin = _l(spark, d)
-    return R.pivot_no_agg(lin.mapped_custom, ["factorial_id", "id"], "col_name", "val", A.PIVOT_LABELS)
+    return R.pivot_no_agg(lin.mapped_custom, ["factorial_id", "id"], "col_name", "val")
 
 
 def q_trainings(spark, d):
@@ -260,7 +261,7 @@ def q_export_anonymise(spark, d):
     merged = E.map_ids(_raw_export(lin), mapping, "Monat", "troi_name")
     masked = E.mask_values(merged, "Monat", "troi_name")
     ided = E.default_id(masked, "Monat").withColumn("fan", F.coalesce("id", F.lit("")))
-    filled = R.fill_down(ided, "id", ["k", "line", "fan"], F.floor(F.col("k") / 4096))
+    filled = R.fill_down(ided, "id", ["k", "line", "fan"])
     return E.drop_identifiers(filled, ["fan"])
 
 
@@ -270,7 +271,7 @@ def q_fill_down(spark, d):
                                F.col("o_custkey").alias("v"))
     li = lin.t("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"),
                                   F.lit(None).cast("bigint").alias("v"))
-    return R.fill_down(o.unionByName(li), "v", ["k", "line"], F.floor(F.col("k") / 4096))
+    return R.fill_down(o.unionByName(li), "v", ["k", "line"])
 
 
 def q_watermark_slice(spark, d):

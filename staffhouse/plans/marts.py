@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -229,46 +229,42 @@ def fill_contract_dates(contracts_base: DataFrame, dim_emp: DataFrame, as_of=Non
     return I.fill_end_dates(contracts_base, dim_emp.select("factorial_id", "termination_date"), _as_of(as_of))
 
 
+def salary_series(filled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contracts whose months need no de-duplication, and the salary months of those listed several times
+    (a contract of a person with two entries): one row per (contract, month)."""
+    base = filled.select("contract_id", "employee_id", "salary_amount", "date", "end_date").withColumnRenamed("date", "_start")
+    return R.distinct_series(base, "_start", "end_date", ["contract_id"], ["employee_id", "salary_amount", "_start", "end_date"])
+
+
 def salary_payment(filled: DataFrame) -> DataFrame:
     """One salary row per contract and month (drifting month steps), one row per
-    (contract, month). Contracts are spread by contract id before the explosion, so
-    the de-duplication on (contract, month) finds its input already clustered and
-    needs no further exchange."""
-    months = R.month_series(filled.select("contract_id", "employee_id", "salary_amount", "date", "end_date")
-                            .withColumnRenamed("date", "_start"), "_start", "end_date", "date",
-                            spread_by=["contract_id"])
-    rows = months.select(F.col("employee_id").alias("factorial_id"), "contract_id",
-                         F.col("salary_amount").alias("amount"), "date")
-    return R.first_per_key(rows, ["contract_id", "date"]).select(
-        "factorial_id", "contract_id", "amount", "date", F.lit("Salary").alias("type"), F.lit("Salary").alias("name"))
+    (contract, month); see ``salary_series``."""
+    single, several = salary_series(filled)
+    rows = R.month_series(single, "_start", "end_date", "date", spread_by=["contract_id"]).unionByName(several)
+    return rows.select(F.col("employee_id").alias("factorial_id"), "contract_id", F.col("salary_amount").alias("amount"), "date",
+                       F.lit("Salary").alias("type"), F.lit("Salary").alias("name"))
 
 
-def benefit_payment(comp_base: DataFrame, filled: DataFrame) -> DataFrame:
-    """Compensations of a contract, monthly from their start (or the contract's)
-    to the contract end; zero or missing amounts are dropped; one row per
-    (date, taxonomy, person, amount), lowest compensation id kept. The de-duplication
-    key contains the month, so even a person with a third of all compensations spreads
-    over many reducers; the map-side partial step runs first."""
+def benefit_series(comp_base: DataFrame, filled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Compensations of a contract from their start (or the contract's) to the contract end, without zero or missing
+    amounts: those whose months need no de-duplication, and the de-duplicated months of the
+    others: one row per (date, taxonomy, person, amount), lowest compensation id kept."""
     f = filled.select(F.col("contract_id").alias("_cid"), "end_date", "employee_id",
                       F.col("date").alias("contract_start"))
     j = (comp_base.where(F.col("amount").isNotNull() & (F.col("amount") != 0))
          .join(f, F.col("contract_version_id") == F.col("_cid"), "inner"))
     base = j.select("id", "amount", "description", "contract_version_id", "contracts_taxonomy_id", "end_date",
-                    "employee_id", F.coalesce(F.col("starts_on"), F.col("contract_start")).alias("_from"))
-    # tie-break order: compensation id, then end date, name, contract version. Rows of one id
-    # are numbered in that order, so the winner is the least of one fixed-width number (a hash
-    # aggregate) and its attributes are joined back from the rows before the explosion
-    in_order = Window.partitionBy("id").orderBy("end_date", "description", "contract_version_id", "_from")
-    base = base.withColumn("_ord", F.col("id").cast("decimal(38,0)") * 10 ** 9 + F.row_number().over(in_order))
-    base = base.withColumn("_ord", F.col("_ord").cast("decimal(38,0)"))
-    months = R.month_series(base.select("_ord", "amount", "employee_id", "contracts_taxonomy_id", "_from", "end_date"),
-                            "_from", "end_date", "date", spread_by=["_ord"])
-    first = (months.groupBy("date", "contracts_taxonomy_id", F.col("employee_id").alias("factorial_id"), "amount")
-             .agg(F.min("_ord").alias("_ord")))
-    names = base.select("_ord", F.col("id").alias("compensation_id"), F.col("description").alias("name"), "end_date", "contract_version_id")
-    return first.join(names, "_ord").select(
-        "factorial_id", "amount", "date", "end_date", F.lit("Benefit").alias("type"), "name", "contract_version_id",
-        "contracts_taxonomy_id", "compensation_id")
+                    "employee_id", F.coalesce(F.col("starts_on"), F.col("contract_start")).alias("_start"))
+    return R.distinct_series(base, "_start", "end_date", ["contracts_taxonomy_id", "employee_id", "amount"],
+                             ["id", "end_date", "description", "contract_version_id", "_start"])
+
+
+def benefit_payment(comp_base: DataFrame, filled: DataFrame) -> DataFrame:
+    """The months of ``benefit_series``."""
+    single, several = benefit_series(comp_base, filled)
+    rows = R.month_series(single, "_start", "end_date", "date", spread_by=["id"]).unionByName(several)
+    return rows.select(F.col("employee_id").alias("factorial_id"), "amount", "date", "end_date", F.lit("Benefit").alias("type"),
+                       F.col("description").alias("name"), "contract_version_id", "contracts_taxonomy_id", F.col("id").alias("compensation_id"))
 
 
 def map_lunchit(lunchit: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -289,26 +285,38 @@ def lunchit_payment(mapped: DataFrame, active: DataFrame) -> DataFrame:
                     F.lit("Lunchit").alias("name"), "factorial_id"))
 
 
-AMOUNT_UNITS = 10_000           # amounts are summed exactly in units of a hundredth of a cent
-
-
 def payments_union(salary: DataFrame, lunchit: DataFrame, inflation: DataFrame, benefit: DataFrame) -> DataFrame:
-    """The four kinds of payment by column name, fact columns only; amounts with four decimals."""
-    rels = {name: df.withColumn("amount", F.col("amount").cast("decimal(20,4)"))
+    """The four kinds of payment by column name, fact columns only; amounts as doubles, as the source holds them."""
+    rels = {name: df.withColumn("amount", F.col("amount").cast("double"))
             for name, df in (("salary_payment", salary), ("lunchit_payment", lunchit),
                              ("inflation_payment", inflation), ("benefit_payment", benefit))}
     return R.union_relations(rels, source_col="_source_relation").select("factorial_id", "amount", "date", "type", "name")
 
 
-def fct_payments(union: DataFrame) -> DataFrame:
-    """All payments (``payments_union``) with the month's average per-person total of
-    their type; only the average is rounded. The averages table has one row per
-    (month, type) -- bounded by the calendar -- and is broadcast. The build hands in the
-    staged union, as it is read twice here.
-    """
-    u = union.select("*", C.month_start("date").alias("month"), (F.col("amount") * AMOUNT_UNITS).cast("bigint").alias("_units"))
-    avg = I.group_average(u, ["month", "type"], "factorial_id", "_units", AMOUNT_UNITS, "average_amount")
-    j = u.join(F.broadcast(avg), ["month", "type"], "left")
+def payment_averages(filled: DataFrame, comp_base: DataFrame, lunchit: DataFrame, inflation: DataFrame) -> DataFrame:
+    """month, type, average_amount: the month's average per-person total of each type of payment, from the
+    spans of contracts and compensations before any month of theirs is generated
+    (``intervals.span_averages``). One row per (month, type) -- bounded by the calendar."""
+    cols = ["type", "factorial_id", "amount", "first_month", "last_month"]
+    spans = None
+    for type_, amount, (single, several) in (("Salary", "salary_amount", salary_series(filled)), ("Benefit", "amount", benefit_series(comp_base, filled))):
+        named = [F.lit(type_).alias("type"), F.col("employee_id").alias("factorial_id"), F.col(amount).cast("double").alias("amount")]
+        ranges = R.month_span(single, "_start", "end_date").select(*named, "first_month", "last_month")
+        month = C.month_start("date")
+        part = ranges.unionByName(several.select(*named, month.alias("first_month"), month.alias("last_month")))
+        spans = part if spans is None else spans.unionByName(part)
+    for rows in (lunchit, inflation):
+        month = C.month_start("date")
+        spans = spans.unionByName(rows.select("type", "factorial_id", F.col("amount").cast("double").alias("amount"),
+                                              month.alias("first_month"), month.alias("last_month")).select(*cols))
+    return I.span_averages(spans, "type", "factorial_id", "amount")
+
+
+def fct_payments(union: DataFrame, averages: DataFrame) -> DataFrame:
+    """All payments (``payments_union``) with the month's average per-person total of their type
+    (``payment_averages``, broadcast: bounded by the calendar). The union is read once."""
+    u = union.withColumn("month", C.month_start("date"))
+    j = u.join(F.broadcast(averages), ["month", "type"], "left")
     return j.select("factorial_id", "amount", "date", "type", "name", "average_amount")
 
 

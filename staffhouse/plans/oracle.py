@@ -242,20 +242,20 @@ select factorial_id, "Titel" as title, cast("Datum" as date) as date, "Typ" as t
 from pivot_training""", "pivot_training")
 
 cte("payments_union", """
-select factorial_id, cast(amount as decimal(20,4)) as amount, date, type, name from salary
-union all select factorial_id, cast(amount as decimal(20,4)), date, type, name from lunchit_pay
-union all select factorial_id, cast(amount as decimal(20,4)), date, type, name from inflation
-union all select factorial_id, cast(amount as decimal(20,4)), date, type, name from benefit""",
+select factorial_id, cast(amount as double) as amount, date, type, name from salary
+union all select factorial_id, cast(amount as double), date, type, name from lunchit_pay
+union all select factorial_id, cast(amount as double), date, type, name from inflation
+union all select factorial_id, cast(amount as double), date, type, name from benefit""",
     "salary", "lunchit_pay", "inflation", "benefit")
 
 cte("payments", """
 select a.factorial_id, a.amount, a.date, a.type, a.name, g.average_amount
 from (select *, cast(date_trunc('month', date) as date) as month from payments_union) a
 left join (select month, type,
-                  cast(sign(t) * ((2 * abs(t) + 100 * n) // (200 * n)) / 100.0 as decimal(20,2)) as average_amount
-           from (select month, type, cast(sum(s) as bigint) as t, count(*) as n
+                  cast(sign(t) * ((200 * abs(t) + 100000000 * n) // (200000000 * n)) / 100.0 as decimal(20,2)) as average_amount
+           from (select month, type, cast(sum(s) as hugeint) as t, count(*) as n
                  from (select cast(date_trunc('month', date) as date) as month, type, factorial_id,
-                              cast(sum(cast(amount * 10000 as bigint)) as bigint) as s
+                              sum(cast(cast(amount as decimal(20,8)) * 100000000 as hugeint)) as s
                        from payments_union group by all) p
                  group by month, type) q) g
   on a.month = g.month and a.type = g.type""", "payments_union")

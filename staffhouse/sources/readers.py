@@ -2,12 +2,14 @@
 that turn parent records into child request keys."""
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import named
 from .schemas import LOADER_COLUMNS, SHEETS, STREAMS
 
 
@@ -50,6 +52,26 @@ def read_sheet(spark: SparkSession, name: str, path: str) -> DataFrame:
     return drop_loader_columns(df if not wanted else df.select(*wanted))
 
 
+def loader_name(header: str) -> str:
+    """A header as the warehouse loader names its column: other characters than ASCII letters and
+    digits become underscores."""
+    return re.sub(r"[^0-9A-Za-z]", "_", header)
+
+
+def read_processed(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The processed table that ``streaming.ingest`` adds to, as the models read it: the column sets of all its files
+    merged (a file without a column has nulls there), headers named as by the loader, every
+    declared column as text. A declared column that no file has is an error."""
+    df = spark.read.option("mergeSchema", "true").parquet(path)
+    found: dict[str, list[str]] = {}
+    for c in df.columns:
+        found.setdefault(loader_name(c).lower(), []).append(c)
+    missing = [c for c in SHEETS[name] if c.lower() not in found]
+    if missing:
+        raise ValueError(f"no file of {path} has the columns {', '.join(missing)}")
+    return df.select(*[F.coalesce(*[named(x).cast("string") for x in found[c.lower()]]).alias(c) for c in SHEETS[name]])
+
+
 def read_export(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A manual export by file ending: ``.csv`` -> ``;``-separated UTF-8 with header and
     multi-line cells (break cells hold line breaks). Other endings raise."""

@@ -2,7 +2,7 @@
 archive, clean-zone overwrite and publishing of checked marts."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_delimited(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
@@ -42,17 +42,30 @@ def append_processed(df: DataFrame, path: str, partition_col: str | None = "inge
 def write_state(df: DataFrame, path: str) -> None:
     """The last file of a batch; a replayed batch rewrites its own row."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch").parquet(path))
+       .partitionBy("seq").parquet(path))
 
 
-def remove_files(files: DataFrame, col: str) -> None:
-    """Remove landed files whose anonymised content is written: one delete for each file of a
-    batch, names only on the driver."""
-    spark = files.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for r in files.select(col).toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(r[0])
-        path.getFileSystem(conf).delete(path, False)
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of a name in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark that something is done."""
+    fs, p = file_system(spark, path)
+    fs.create(p, True).close()
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    """Remove one landed file; one that is gone already is no error."""
+    fs, p = file_system(spark, path)
+    fs.delete(p, False)
 
 
 def publish_path(df: DataFrame, path: str) -> None:

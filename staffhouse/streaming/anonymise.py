@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import named
+
 # fixed value: the date in a file name
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
@@ -19,7 +21,7 @@ DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 def map_ids(df: DataFrame, mapping: DataFrame, left_col: str, right_col: str) -> DataFrame:
     """Left join on ``left_col = right_col``; duplicate mapping names fan out (as a
     pandas merge does). The mapping side is measured by AQE and broadcast when small."""
-    return df.join(mapping, df[left_col] == mapping[right_col], "left")
+    return df.join(mapping.withColumn("_match", named(right_col)), named(left_col) == F.col("_match"), "left").drop("_match")
 
 
 def _words(c: Column) -> Column:
@@ -28,8 +30,8 @@ def _words(c: Column) -> Column:
 
 def matched_names(merged: DataFrame, ref_col: str, file_cols: Sequence[str] = ()) -> DataFrame:
     """The distinct reference values that a file's rows were matched with."""
-    return (merged.where(F.col(ref_col).isNotNull() & (F.col(ref_col) != ""))
-            .select(*file_cols, F.col(ref_col).alias("_name")).distinct())
+    return (merged.where(named(ref_col).isNotNull() & (named(ref_col) != ""))
+            .select(*file_cols, named(ref_col).alias("_name")).distinct())
 
 
 def mask_values(df: DataFrame, col: str, ref_col: str, file_cols: Sequence[str] = ()) -> DataFrame:
@@ -42,7 +44,7 @@ def mask_values(df: DataFrame, col: str, ref_col: str, file_cols: Sequence[str]
     and a name is compared with those cells only that hold its rarest word.
     A cell text is masked once for each file (``file_cols``).
     """
-    text = F.coalesce(F.col(col).cast("string"), F.lit(""))
+    text = F.coalesce(named(col).cast("string"), F.lit(""))
     df = df.withColumn(col, text)
     names = matched_names(df, ref_col, file_cols)
     # a name is looked up by that of its words which the fewest names have
@@ -50,20 +52,20 @@ def mask_values(df: DataFrame, col: str, ref_col: str, file_cols: Sequence[str]
     often = by_word.groupBy(*file_cols, "_word").agg(F.count("*").alias("_n"))
     names = (by_word.join(often, [*file_cols, "_word"]).groupBy(*file_cols, "_name")
              .agg(F.min(F.struct("_n", "_word")).alias("_w")).select(*file_cols, "_name", F.col("_w._word").alias("_word")))
-    cells = df.select(*file_cols, F.col(col).alias("_text")).distinct()
+    cells = df.select(*file_cols, named(col).alias("_text")).distinct()
     met = (cells.withColumn("_word", F.explode(F.array_distinct(_words(F.col("_text")))))
            .join(names, [*file_cols, "_word"]).where(F.col("_text").contains(F.col("_name")))
            .groupBy(*file_cols, "_text")
            .agg(F.collect_set("_name").alias("_names")))      # bounded by the words of one cell
     by_length = F.transform(F.array_sort(F.transform("_names", lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda x: x["n"])
-    quoted = F.array_join(F.transform(by_length, lambda n: F.concat(F.lit(r"\Q"), n, F.lit(r"\E"))), "|")
+    quoted = F.array_join(F.transform(by_length, lambda n: F.concat(F.lit(r"\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))), "|")
     masked = met.select(*[F.col(c).alias(f"_in_{c}") for c in file_cols], "_text",
                         F.regexp_replace("_text", F.concat(F.lit(r"(?<![\p{L}\p{N}_])("), quoted, F.lit(r")(?![\p{L}\p{N}_])")), F.lit("")).alias("_masked"))
-    cond = F.col(col) == F.col("_text")
+    cond = named(col) == F.col("_text")
     for c in file_cols:
         cond = cond & (F.col(c) == F.col(f"_in_{c}"))
     out = df.join(masked, cond, "left")
-    return out.select(*[F.coalesce("_masked", col).alias(c) if c == col else c for c in df.columns])
+    return out.select(*[F.coalesce(F.col("_masked"), named(c)).alias(c) if c == col else named(c) for c in df.columns])
 
 
 def default_id(df: DataFrame, col: str, id_col: str = "id", default: str = "0") -> DataFrame:
@@ -71,7 +73,7 @@ def default_id(df: DataFrame, col: str, id_col: str = "id", default: str = "0")
     default id so the fill-down does not hand it the previous person's id."""
     i = F.col(id_col)
     missing = i.isNull() | (i.cast("string") == "")
-    return df.withColumn(id_col, F.when(missing & F.col(col).contains(","), F.lit(default)).otherwise(i))
+    return df.withColumn(id_col, F.when(missing & named(col).contains(","), F.lit(default)).otherwise(i))
 
 
 def drop_identifiers(df: DataFrame, cols: Sequence[str], mapping_cols: Sequence[str] = ("troi_name", "email")) -> DataFrame:
@@ -90,6 +92,6 @@ def slice_between(df: DataFrame, col: str, lo: Column, hi: Column, inclusive_hi:
     ``inclusive_hi=True`` gives the half-open ``(lo, hi]`` form that loses no row at a
     file boundary; the default keeps the source behaviour.
     """
-    c = F.col(col)
+    c = named(col)
     upper = (c <= hi) if inclusive_hi else (c < hi)
     return df.where((c > lo) & upper)

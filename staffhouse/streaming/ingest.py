@@ -4,32 +4,40 @@
 (the checkpoint is the high-watermark state), and runs ``process_export`` once per
 micro-batch via ``foreachBatch``:
 
-  read by header -> map ids -> mask names -> default id -> fill down -> drop identifiers
-  -> clean zone and processed table (dynamic partition overwrite per file)
+  journal -> read by header -> map ids -> mask names -> default id -> fill down -> drop identifiers
+  -> archive, clean zone and processed table (dynamic partition overwrite per file) -> state
   -> the raw file is replaced by the anonymised one.
 
-Files arrive as bytes (``binaryFile``), so a file of any ending is seen: an ending that
-cannot be read is an error, not a file that is passed over. Columns are taken by header
-name. The processed table keeps rows strictly between the previous file's date and the
-file's own; the previous file of the first one is the last file of the run before, which is
-kept in ``<root>/state/<name>``.
+The stream carries file names only, so a file of any ending is seen: an ending that cannot be
+read is an error, not a file that is passed over. Headers come from the files' first lines; files of one
+header are read together by Spark's CSV reader, columns are taken by name. The processed table keeps
+rows strictly between the previous file's date and the file's own; the previous file of the first one
+is the last file of the run before, which is kept in ``<root>/state/<name>``.
 
 ``trigger(availableNow=True)`` processes what is there and stops, which is the weekday
 batch of the source; a second run with no new file processes nothing. Files already
-carrying an ``id`` column are skipped. Every sink is partitioned by source file and written
-with dynamic partition overwrite, and the state is written last, so a micro-batch replayed
-after a failure rewrites its own files' partitions with the same bounds.
+carrying an ``id`` column are skipped.
+
+A batch that failed is replayed with the same result, wherever it stopped. Before anything else its files and
+their bounds are written to a journal beside the checkpoint, and a replay takes them from there, not from what is
+left in the folder. Raw files are removed last, after a mark that all sinks are written: without
+the mark all files are still there and every sink rewrites its own files' partitions, with it
+only the removal is taken up again.
 """
 from __future__ import annotations
 
+import csv
+import re
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.relational import fill_down
-from ..session import materialise
+from ..session import drop_stage, materialise
 from ..sources import sinks
 from ..sources.readers import file_ending
 from . import anonymise as E
@@ -50,64 +58,55 @@ class ExportConf:
     block_rows: int = 1 << 16       # fill-down block size along the row order
 
 
-def _rows(content: Column) -> Column:
-    """``;``-separated text -> array of rows, each an array of cells. Line ends outside quotes
-    end a row: quoted parts are hidden while the text is split."""
-    text = F.regexp_replace(F.decode(content, "UTF-8"), "^﻿", "")
-    # odd pieces of a split at quotes lie inside quotes; doubled quotes give an empty piece between
-    pieces = F.split(text, '"')
-    hidden = F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.translate(p, ";\n\r", "\u0001\u0002\u0003")).otherwise(p))
-    plain = F.array_join(hidden, '"')
-    lines = F.filter(F.split(plain, r"\r\n|\n|\r"), lambda x: x != "")
-    return F.transform(lines, lambda x: F.transform(F.split(x, ";"), _cell))
-
-
-def _cell(c: Column) -> Column:
-    inner = F.when(c.startswith('"') & c.endswith('"') & (F.length(c) >= 2), F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
-    shown = F.translate(F.replace(inner, F.lit('""'), F.lit('"')), "\u0001\u0002\u0003", ";\n\r")
-    return F.when(shown != "", shown)
-
-
-def read_files(files: DataFrame, conf: ExportConf) -> tuple[DataFrame, DataFrame]:
-    """(headers, rows) of binary files. One row per file: ingest_file, header, ending; and one per
-    data row: the export's columns by name, ingest_file and _row (its number in the file).
-
-    A file is one message of a person's export tool and is split by the task that read it;
-    its rows are spread only after that."""
-    parsed = files.select(F.col("path").alias("ingest_file"), F.lower(file_ending(F.col("path"))).alias("ending"), _rows(F.col("content")).alias("rows"))
-    heads = parsed.select("ingest_file", "ending", F.transform(F.get("rows", F.lit(0)), lambda h: F.trim(F.coalesce(h, F.lit("")))).alias("header"))
-    data = parsed.select("ingest_file", F.get("rows", F.lit(0)).alias("header"), F.posexplode(F.slice("rows", 2, F.greatest(F.size("rows"), F.lit(1)))).alias("_row", "cells"))
-    trimmed = F.transform("header", lambda h: F.trim(F.coalesce(h, F.lit(""))))
-    cols = [F.get("cells", F.array_position(trimmed, F.lit(c)).cast("int") - 1).alias(c) for c in conf.columns]
-    return heads, data.select("ingest_file", F.col("_row").cast("bigint").alias("_row"), *cols)
-
-
-def check_headers(heads: DataFrame, conf: ExportConf) -> DataFrame:
-    """Raise on an ending that is not read or on a header that lacks a column or has an unknown one.
-    Returns the files to process: those without an ``id`` column yet."""
-    wanted = F.array(*[F.lit(c) for c in conf.columns])
-    done = F.array_contains("header", "id")
-    unknown = F.array_except("header", F.array_union(wanted, F.array(F.lit(""))))
-    state = heads.select("ingest_file", done.alias("done"),
-                         F.when(F.col("ending") != "csv", F.concat(F.lit("unsupported file ending "), F.col("ending")))
-                          .when(done, F.lit(None))
-                          .when(F.size(F.array_except(wanted, "header")) > 0, F.concat(F.lit("missing columns "), F.array_join(F.array_except(wanted, "header"), ", ")))
-                          .when(F.size(unknown) > 0, F.concat(F.lit("unknown columns "), F.array_join(unknown, ", "))).alias("problem"))
-    wrong = state.where(F.col("problem").isNotNull()).agg(F.count("*").alias("n"), F.min(F.struct("ingest_file", "problem")).alias("first")).first()
-    if wrong["n"]:
-        raise ValueError(f"{wrong['n']} export files cannot be read, first {wrong['first']['ingest_file']}: {wrong['first']['problem']}")
-    return state.where(~F.col("done")).select("ingest_file")
-
-
-def last_file(spark: SparkSession, conf: ExportConf, batch_id: int) -> str | None:
-    """The last file processed by an earlier batch. A replayed batch does not see its own state."""
-    path = f"{conf.root}/state/{conf.name}"
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+def _escaped(path: str) -> str:
+    """A file name as a path pattern that matches it alone."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def headers(spark: SparkSession, files: list[Row]) -> dict[str, list[str]]:
+    """The header of every file (path, uri) by uri: the cells of its first line that is not blank. Lines are read in
+    splits; only the first of each file reach the driver."""
+    lines = spark.read.text([_escaped(f.path) for f in files]).select(
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("n"), "value")
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("uri").agg(F.min_by("value", "n").alias("line"))
+    return {r.uri: [c.strip() for c in next(csv.reader([r.line.removeprefix("\ufeff")], delimiter=";"))] for r in first.collect()}
+
+
+def _problem(ending: str, header: list[str], conf: ExportConf) -> str | None:
+    if ending != "csv":
+        return f"unsupported file ending {ending}"
+    if "id" in header:
         return None
-    return (spark.read.schema("last_file string, batch long").parquet(path).where(F.col("batch") < batch_id)
-            .agg(F.max_by("last_file", "batch")).first()[0])
+    missing, unknown = [c for c in conf.columns if c not in header], [c for c in header if c and c not in conf.columns]
+    if missing or unknown:
+        return f"missing columns {', '.join(missing)}" if missing else f"unknown columns {', '.join(unknown)}"
+    return None
+
+
+def read_rows(spark: SparkSession, files: list[Row], conf: ExportConf) -> DataFrame:
+    """The export's columns by name, ingest_file and _row (growing with the rows of a file). Files of one header are
+    one read; a file is one task, as its cells may hold line breaks."""
+    out = None
+    for header in sorted({tuple(f.header) for f in files}):
+        own = [f for f in files if tuple(f.header) == header]
+        names = spark.createDataFrame([(f.uri, f.ingest_file) for f in own], "_uri string, ingest_file string")
+        cells = (spark.read.schema(", ".join(f"_c{i} string" for i in range(len(header)))).option("sep", ";").option("header", "true")
+                 .option("multiLine", "true").option("escape", '"').option("encoding", "UTF-8").csv([_escaped(f.ingest_file) for f in own]))
+        cells = cells.select("*", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_row"))
+        rows = cells.join(names, F.col("_path") == F.col("_uri")).select(
+            "ingest_file", "_row", *[F.nullif(F.col(f"_c{header.index(c)}"), F.lit("")).alias(c) for c in conf.columns])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def last_state(spark: SparkSession, conf: ExportConf) -> tuple[str | None, int]:
+    """The last file processed so far, and the number of the batch that it came with."""
+    path = f"{conf.root}/state/{conf.name}"
+    if not sinks.exists(spark, path):
+        return None, 0
+    last = spark.read.schema("last_file string, seq long").parquet(path).agg(F.max_by("last_file", "seq"), F.max("seq")).first()
+    return last[0], last[1] or 0
 
 
 def file_bounds(files: DataFrame, before: str | None) -> DataFrame:
@@ -117,42 +116,87 @@ def file_bounds(files: DataFrame, before: str | None) -> DataFrame:
     return files.withColumn("_prev", F.coalesce(F.lag("ingest_file").over(w), F.lit(before).cast("string")))
 
 
-def process_export(batch: DataFrame, batch_id: int, conf: ExportConf) -> None:
-    """One micro-batch of new export files (path, content)."""
+JOURNAL = "ingest_file string, uri string, header array<string>, done boolean, prev string, seq long"
+
+
+def journal(batch: DataFrame, batch_id: int, conf: ExportConf) -> tuple[str, list[Row]]:
+    """*Action*: where this batch's journal is, and its files in order. It is written when the batch is first seen;
+    a wrong file stops the batch before that. A replay reads it."""
+    spark = batch.sparkSession
+    path = f"{conf.checkpoint.rstrip('/')}/journal/{batch_id}"
+    if not sinks.exists(spark, f"{path}/_complete"):
+        to_uri = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        names = batch.select("path", F.lower(file_ending(F.col("path"))).alias("ending")).distinct().collect()
+        files = [Row(path=r.path, ending=r.ending, uri=to_uri(r.path).toUri().toString()) for r in names]
+        head = headers(spark, files) if files else {}
+        wrong = sorted((f.path, p) for f in files if (p := _problem(f.ending, head.get(f.uri, []), conf)))
+        if wrong:
+            raise ValueError(f"{len(wrong)} export files cannot be read, first {wrong[0][0]}: {wrong[0][1]}")
+        before, seq = last_state(spark, conf)
+        known = spark.createDataFrame([(f.path, f.uri, head[f.uri], "id" in head[f.uri]) for f in files], "ingest_file string, uri string, header array<string>, done boolean")
+        bounds = file_bounds(known.where("not done"), before).select("ingest_file", F.col("_prev").alias("prev"))
+        sinks.publish_path(known.join(bounds, "ingest_file", "left").withColumn("seq", F.lit(seq + 1).cast("long")).coalesce(1), path)
+        sinks.touch(spark, f"{path}/_complete")
+    return path, sorted(spark.read.schema(JOURNAL).parquet(path).collect())
+
+
+def process_export(batch: DataFrame, batch_id: int, conf: ExportConf, on_step: Callable[[str], None] = lambda step: None) -> None:
+    """One micro-batch of new export files (path). ``on_step`` is told each step that is done."""
     spark = batch.sparkSession
-    heads, rows = read_files(batch, conf)
-    files = check_headers(materialise(heads, "ingest_heads"), conf)
-    rows = rows.join(files, "ingest_file")
+    path, entries = journal(batch, batch_id, conf)
+    on_step("journal")
+    files = [f for f in entries if not f.done]
+    if not files:
+        return
+    if not sinks.exists(spark, f"{path}/_written"):
+        _write(spark, files, conf, on_step)
+        sinks.touch(spark, f"{path}/_written")
+        on_step("mark")
+    for f in files:
+        sinks.remove_file(spark, f.ingest_file)
+        on_step("remove")
+
+
+def _write(spark: SparkSession, files: list[Row], conf: ExportConf, on_step: Callable[[str], None]) -> None:
     mapping = spark.read.parquet(conf.mapping_path)
     mapping = mapping.select(F.col("id").cast("string").alias("id"), *[c for c in mapping.columns if c != "id"])
-    merged = E.map_ids(rows, mapping, conf.left_col, conf.right_col)
-    out = E.mask_values(merged, conf.left_col, conf.right_col, ["ingest_file"])
-    if conf.fill_down_col:
-        out = E.default_id(out, conf.left_col)
-        # rows fanned out by a repeated mapping name follow each other by id, as a merge lists them
-        out = out.withColumn("_fan", F.coalesce(F.col("id"), F.lit("")))
-        out = fill_down(out, conf.fill_down_col, ["_row", "_fan"], F.floor(F.col("_row") / conf.block_rows), ["ingest_file"]).drop("_fan")
-    out = E.drop_identifiers(out, conf.del_cols, [c for c in mapping.columns if c != "id"])
-    out = materialise(out, "ingest_clean")
-    sinks.archive_raw(batch.select(F.col("path").alias("ingest_file"), "content").join(files, "ingest_file"), f"{conf.root}/archive/{conf.name}")
-    sinks.write_clean(out.drop("_row"), f"{conf.root}/clean/{conf.name}")
-    proc = out
-    if conf.filter_col:
-        bounds = file_bounds(files, last_file(spark, conf, batch_id))
-        proc = out.join(bounds, "ingest_file")
-        lo = F.coalesce(E.date_from_name(F.col("_prev")), F.lit(""))
-        proc = E.slice_between(proc, conf.filter_col, lo, E.date_from_name(F.col("ingest_file"))).drop("_prev")
-    sinks.append_processed(proc.drop("_row"), f"{conf.root}/processed/{conf.name}")
-    state = files.agg(F.max("ingest_file").alias("last_file")).where(F.col("last_file").isNotNull())
-    sinks.write_state(state.withColumn("batch", F.lit(batch_id).cast("long")), f"{conf.root}/state/{conf.name}")
-    sinks.remove_files(files, "ingest_file")
-
-
-def start_ingest(spark: SparkSession, conf: ExportConf) -> StreamingQuery:
+    run = uuid.uuid4().hex
+    try:
+        rows = materialise(read_rows(spark, files, conf), "ingest_rows", run)
+        merged = E.map_ids(rows, mapping, conf.left_col, conf.right_col)
+        out = E.mask_values(merged, conf.left_col, conf.right_col, ["ingest_file"])
+        if conf.fill_down_col:
+            out = E.default_id(out, conf.left_col)
+            # rows fanned out by a repeated mapping name follow each other by id, as a merge lists them
+            out = out.withColumn("_fan", F.coalesce(F.col("id"), F.lit("")))
+            out = fill_down(out, conf.fill_down_col, ["_row", "_fan"], F.floor(F.col("_row") / conf.block_rows), ["ingest_file"]).drop("_fan")
+        out = E.drop_identifiers(out, conf.del_cols, [c for c in mapping.columns if c != "id"])
+        out = materialise(out.drop("_row"), "ingest_clean", run)
+        content = spark.read.format("binaryFile").load([_escaped(f.ingest_file) for f in files])
+        sinks.archive_raw(content.select(F.col("path").alias("ingest_file"), "content"), f"{conf.root}/archive/{conf.name}")
+        on_step("archive")
+        sinks.write_clean(out, f"{conf.root}/clean/{conf.name}")
+        on_step("clean")
+        proc = out
+        if conf.filter_col:
+            bounds = spark.createDataFrame([(f.ingest_file, f.prev) for f in files], "ingest_file string, _prev string")
+            proc = out.join(bounds, "ingest_file")
+            lo = F.coalesce(E.date_from_name(F.col("_prev")), F.lit(""))
+            proc = E.slice_between(proc, conf.filter_col, lo, E.date_from_name(F.col("ingest_file"))).drop("_prev")
+        sinks.append_processed(proc, f"{conf.root}/processed/{conf.name}")
+        on_step("processed")
+        state = spark.createDataFrame([(files[-1].ingest_file, files[-1].seq)], "last_file string, seq long")
+        sinks.write_state(state, f"{conf.root}/state/{conf.name}")
+        on_step("state")
+    finally:
+        drop_stage(spark, run)
+
+
+def start_ingest(spark: SparkSession, conf: ExportConf, on_step: Callable[[str], None] = lambda step: None) -> StreamingQuery:
     """*Action*: process every new export file once and stop."""
-    # a batch replayed after its files were removed has nothing left to write
+    # a replayed batch may name files that are removed already; only names are taken from the stream
     stream = (spark.readStream.format("binaryFile").option("ignoreMissingFiles", "true").schema("path string, modificationTime timestamp, length long, content binary")
-              .load(f"{conf.root}/raw/{conf.name}/"))
-    return (stream.writeStream.foreachBatch(lambda df, bid: process_export(df, bid, conf))
+              .load(f"{conf.root}/raw/{conf.name}/").select("path"))
+    return (stream.writeStream.foreachBatch(lambda df, bid: process_export(df, bid, conf, on_step))
             .option("checkpointLocation", conf.checkpoint)
             .trigger(availableNow=True).start())

@@ -3,6 +3,7 @@ with many ties and one hot key."""
 import calendar
 import datetime as dt
 import random
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -82,3 +83,71 @@ def test_month_step_matches_iterated_addition(spark):
             exp.append(d)
             d = add_month(d)
         assert sorted(got[s]) == exp, s
+
+
+def _span_rows(seed, n=300):
+    rnd = random.Random(seed)
+    day = lambda: dt.date(2021, 1, 1) + dt.timedelta(days=rnd.randint(0, 900))
+    return [(i, rnd.choice([None, 1, 1, 1, 2, 3, 4]), rnd.choice(["a", "b"]), rnd.choice([None, 0.1, 2.675, 100.0, -3.5, round(rnd.random() * 99, 3), round(rnd.random() * 99, 3)]), day(), rnd.choice([None, day(), day()])) for i in range(n)]
+
+
+def test_distinct_series_equals_generating_all_rows(spark):
+    for seed in (1, 2):
+        rows = _span_rows(seed)
+        rows += [(*r[:3], r[3], r[4], r[5]) for r in rows[:40]]         # whole repeats
+        df = spark.createDataFrame(rows, "id bigint, person bigint, kind string, amount double, s date, e date")
+        single, several = R.distinct_series(df, "s", "e", ["person", "kind", "amount"], ["id", "s", "e"], "date")
+        got = R.month_series(single, "s", "e", "date", spread_by=["id"]).unionByName(several)
+        w = Window.partitionBy("person", "kind", "amount", "date").orderBy("id", "s", "e")
+        plain = R.month_series(df, "s", "e", "date").withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+        as_text = lambda d: sorted(str(tuple(r)) for r in d.select("id", "person", "kind", "amount", "s", "e", "date").collect())
+        assert as_text(got) == as_text(plain)
+        assert several.count() > 50 and single.count() > 5
+
+
+def test_span_averages_equal_averages_of_generated_rows(spark):
+    df = spark.createDataFrame(_span_rows(5), "id bigint, person bigint, kind string, amount double, s date, e date")
+    spans = R.month_span(df, "s", "e")
+    got = {(r.kind, r.month): r.average_amount for r in I.span_averages(spans, "kind", "person", "amount").collect()}
+    paid = {}
+    for r in R.month_series(df, "s", "e", "date").collect():
+        paid.setdefault((r.kind, r.date.replace(day=1)), {}).setdefault(r.person, []).append(r.amount)
+    want = {}
+    for key, people in paid.items():
+        amounts = [Decimal(str(a)) for own in people.values() for a in own if a is not None]
+        want[key] = (sum(amounts) / len(people)).quantize(Decimal("0.01"), ROUND_HALF_UP) if amounts else None
+    assert got == want and len(want) > 40
+
+
+def test_long_spans_are_cut_into_pieces(spark):
+    df = spark.createDataFrame([(1, dt.date(1, 1, 31), dt.date(9999, 12, 31)), (2, dt.date(2000, 1, 1), dt.date(1999, 1, 1)), (3, None, dt.date(1999, 1, 1))], "id int, s date, e date")
+    whole, cut = R.month_series(df, "s", "e", "m"), R.month_series(df, "s", "e", "m", spread_by=["id"])
+    assert cut.count() == 9999 * 12 and whole.exceptAll(cut).count() == 0
+    # AQE is free to deal the pieces to tasks: the span is no longer one task's
+    with_conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in with_conf.items():
+        spark.conf.set(k, v)
+    try:
+        shares = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k in with_conf:
+            spark.conf.unset(k)
+    assert len(shares) > 1 and max(shares) < 0.6 * sum(shares)
+
+
+def test_row_numbers_and_fill_down_with_one_hot_key(spark):
+    rnd = random.Random(9)
+    rows = [(7, i, rnd.choice([None, None, None, "", "x", "y"]) if i > 50 else None) for i in range(20_000)]
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "k int, line int, v string").repartition(8)
+    numbered, total = R.row_numbers(df, ["k", "line"])
+    assert total == len(rows)
+    assert numbered.where("line <> _rn").count() == 0
+    # ranges of the whole order: the one key is over all tasks
+    shares = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) > 1 or spark.conf.get("spark.sql.shuffle.partitions") == "1" or numbered.rdd.getNumPartitions() == 1
+    got = {r.line: r.v for r in R.fill_down(df, "v", ["k", "line"], block_rows=512).collect()}
+    last, want = None, {}
+    for _, i, v in rows:
+        last = v if v is not None else last
+        want[i] = last
+    assert got == want

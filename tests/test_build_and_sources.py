@@ -5,13 +5,18 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from staffhouse.operators import quality as Q
 from staffhouse.plans import adapters as A
+from staffhouse.plans import build as BU
 from staffhouse.plans import checks as K
 from staffhouse.plans import marts as M
 from staffhouse.plans.build import REPORT_TABLES, build_and_publish, build_models
 from staffhouse.session import ensure_checkpoint_dir
+from staffhouse.sources import published as P
 from staffhouse.sources import readers as S
+from staffhouse.sources import sinks
 from staffhouse.sources.schemas import CONTRACT, TEAM
+from staffhouse.streaming.ingest import ExportConf, start_ingest
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,9 +25,9 @@ def test_declared_suite_has_all_tests():
     assert K.count_declared() == 141
 
 
-def test_build_and_publish(spark):
+def _sources(spark):
     t = lambda n: A.table(spark, SF, n)
-    src = {
+    return {
         "employees": A.employees(t("customer")), "contracts": A.contracts(t("orders")),
         "compensation": A.compensation(t("lineitem")), "teams": A.teams(t("customer")),
         "custom_tables": A.custom_tables(spark), "custom_tables_col": A.custom_columns(spark),
@@ -30,25 +35,110 @@ def test_build_and_publish(spark):
         "name_mapping": A.name_mapping(t("customer")), "processed_lunchit": A.lunchit_export(t("lineitem")),
         "processed_troi": A.troi_export(t("events")),
     }
+
+
+AS_OF = "2001-06-01"         # marts take a text too
+
+
+def test_build_and_publish(spark):
+    src = _sources(spark)
     target = tempfile.mkdtemp(prefix="publish-")
-    res = build_and_publish(spark, src, target, as_of=F.lit("2001-06-01").cast("date"), gate=False)
+    res = build_and_publish(spark, src, target, as_of=AS_OF, gate=False)
     got = {(r.table, r.check, r.column): r.violations for r in res.collect()}
     assert len(got) == 141 + len(K.REFERENCES) and len(K.REFERENCES) == 17
     assert got[("fct_payments", "not_null", "amount")] == 0
     assert got[("factorial_compensation", "not_null", "first_payment_on")] > 0   # adapter leaves it empty
-    for name in REPORT_TABLES:
-        assert spark.read.parquet(f"{target}/{name}").count() >= 0
+    assert set(P.current(spark, target)) == set(REPORT_TABLES)
     # published is what was staged and tested, not a second computation
-    models = build_models(src, F.lit("2001-06-01").cast("date"))
+    models = build_models(src, AS_OF)
     for name in ("fct_payments", "dim_contracts"):
-        a, b = spark.read.parquet(f"{target}/{name}"), models[name]
+        a, b = P.read_published(spark, target, name), models[name]
         assert a.exceptAll(b).count() == 0 and a.count() == b.count()
-    # a failing check holds back its table's dependants and only those
-    gated = tempfile.mkdtemp(prefix="publish-")
+    # a failing check holds back its table's dependants and only those: readers keep the version before
+    before = P.current(spark, target)
     with pytest.raises(AssertionError):
-        build_and_publish(spark, src, gated, as_of=F.lit("2001-06-01").cast("date"), gate=True)
-    assert not os.path.exists(f"{gated}/fct_payments") and os.path.exists(f"{gated}/dim_employees")
-    assert spark.read.parquet(f"{gated}/_checks/*").count() == len(got)
+        build_and_publish(spark, src, target, as_of=AS_OF, gate=True)
+    after = P.current(spark, target)
+    assert after["fct_payments"] == before["fct_payments"] and after["dim_employees"] != before["dim_employees"]
+    assert P.read_published(spark, target, "fct_payments").count() == models["fct_payments"].count()
+    assert spark.read.parquet(f"{target}/checks/*").count() == 2 * len(got)
+
+
+def test_a_crash_between_two_tables_leaves_the_old_report_whole(spark, monkeypatch):
+    src = _sources(spark)
+    small = {"dim_teams": M.dim_teams(M.base_teams(src["teams"])), "dim_name_mapping": M.dim_name_mapping(M.name_mapping_pto(src["name_mapping"]))}
+    monkeypatch.setattr(BU, "REPORT_TABLES", list(small))
+    monkeypatch.setattr(BU, "build_models", lambda s, as_of, stage: {n: stage(df.limit(s["rows"]) if s["rows"] else df, n) for n, df in small.items()})
+    monkeypatch.setattr(K, "whole_suite", lambda models: {n: (df, Q.TableChecks(not_null=[df.columns[0]])) for n, df in models.items()})
+    target = tempfile.mkdtemp(prefix="publish-")
+    staged = os.path.join(ensure_checkpoint_dir(spark), "staffhouse-stage")
+    build_and_publish(spark, {"rows": 0}, target)
+    whole = {n: P.read_published(spark, target, n).count() for n in small}
+    left = set(os.listdir(staged)) if os.path.exists(staged) else set()
+    written = []
+
+    def fails(df, path, own=sinks.publish_path):
+        if len(written) == 1:
+            raise RuntimeError("the driver is lost")
+        written.append(path)
+        own(df, path)
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "publish_path", fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            build_and_publish(spark, {"rows": 3}, target)
+    assert written and not os.path.exists(written[0])
+    assert {n: P.read_published(spark, target, n).count() for n in small} == whole
+    assert (set(os.listdir(staged)) if os.path.exists(staged) else set()) == left
+    # a driver that is killed removes nothing: the pointer alone says what is read
+    sinks.publish_path(small["dim_teams"].limit(1), P.version_path(target, "killed", "dim_teams"))
+    assert {n: P.read_published(spark, target, n).count() for n in small} == whole
+    # the next run changes all tables at once, and versions that no pointer of the last two names go
+    runs = [P.current(spark, target)["dim_teams"]]
+    for n in (3, 4, 5):
+        build_and_publish(spark, {"rows": n}, target)
+        runs.append(P.current(spark, target)["dim_teams"])
+        assert {P.read_published(spark, target, t).count() for t in small} == {n}
+    assert sorted(set(os.listdir(f"{target}/versions")) - {"killed"}) == sorted(runs[-2:])
+    with pytest.raises(ValueError, match="not published"):
+        P.read_published(spark, target, "fct_payments")
+
+
+TROI = ["Monat", "Checked In", "Checked Out", "Pausenzeiten", "Arbeitszeit", "erfasste Stunden", "Urlaub (PT / Std.)", "krank (PT / Std.)",
+        "Kurzarbeit (PT / Std.)", "Abwesenheiten (PT / Std.)", "Gesamt", "WB", "NWB", "wb/nwb", "an/ab", "Soll", "Saldo"]
+LUNCHIT = ["Abrechnungsmonat", "Datum", "Eingereichter Betrag", "Erstattungsbetrag", "Zuzahlung", "Lunchit 1/2", "Lunchit 2/2", "Lunchit Beleg-ID", "E-Mail-Adresse"]
+
+
+def test_ingested_exports_feed_the_report(spark):
+    """Landed files to a published report: nothing in between is written by hand."""
+    root = tempfile.mkdtemp(prefix="report-")
+    src = _sources(spark)
+    src["name_mapping"].select(F.col("id").cast("long").alias("id"), "troi_name", "email").where("troi_name is not null").write.parquet(f"{root}/mapping")
+    person = src["name_mapping"].where("troi_name is not null and email like 'c%'").orderBy(F.col("id").cast("int")).first()
+    other = src["employees"].where("terminated_on is null").orderBy("id").first()
+
+    def land(name, file, header, rows):
+        os.makedirs(f"{root}/raw/{name}", exist_ok=True)
+        with open(f"{root}/raw/{name}/{file}", "w", encoding="utf-8") as f:
+            f.write("\n".join(";".join(r) for r in [header, *rows]) + "\n")
+    day = lambda d, worked, away: [f"2024-01-{d:02d} 08:00:00", "08:00", "17:00", '"12:00 - 12:30\n15:00 - 15:10"', worked, "8,50", away, "", "", "2,00 / 10,50", "", "1,25", "0,5", "", "", "8,00", ""]
+    # the first file lacks a column that came later
+    land("troi", "export_2024-01-08.csv", TROI[:-1], [[person.troi_name] + [""] * 15, day(8, "08:30", "1,50 / 4,00")[:-1]])
+    land("lunchit", "export_2024-02-05.csv", LUNCHIT, [["01.02.2024", "15.01.2024", "10,00", "6,57", "3,10", "3,10", "2,05", "B-1", other.email]])
+    common = dict(root=root, mapping_path=f"{root}/mapping")
+    start_ingest(spark, ExportConf(name="troi", checkpoint=f"{root}/_t", columns=TROI[:-1], left_col="Monat", right_col="troi_name", fill_down_col="id", filter_col="Monat", **common)).awaitTermination()
+    land("troi", "export_2024-01-10.csv", TROI, [[person.troi_name] + [""] * 16, day(8, "08:30", ""), day(9, "07:15", "")])
+    start_ingest(spark, ExportConf(name="troi", checkpoint=f"{root}/_t", columns=TROI, left_col="Monat", right_col="troi_name", fill_down_col="id", filter_col="Monat", **common)).awaitTermination()
+    start_ingest(spark, ExportConf(name="lunchit", checkpoint=f"{root}/_l", columns=LUNCHIT, left_col="E-Mail-Adresse", right_col="email", del_cols=["E-Mail-Adresse"], **common)).awaitTermination()
+    for name in ("troi", "lunchit"):
+        src[f"processed_{name}"] = S.read_processed(spark, f"processed_{name}", f"{root}/processed/{name}")
+    assert sorted((r.Monat, r.id, r.Saldo, r.Checked_In) for r in src["processed_troi"].collect()) == [(f"2024-01-{d:02d} 08:00:00", person.id, None, "08:00") for d in (8, 9)]
+    with pytest.raises(ValueError, match="no file .* Erstattungsbetrag"):
+        S.read_processed(spark, "processed_lunchit", f"{root}/processed/troi")
+    build_and_publish(spark, src, f"{root}/report", as_of=AS_OF, gate=False)
+    hours = P.read_published(spark, f"{root}/report", "fct_working_hours").where(F.col("full_name") == person.troi_name).collect()
+    assert {r.date.day for r in hours} == {8, 9}
+    meals = P.read_published(spark, f"{root}/report", "fct_payments").where("name = 'Lunchit'").collect()
+    assert [(r.factorial_id, r.amount, r.date.isoformat()) for r in meals] == [(other.id, 3.1 + 2.05, "2024-01-01")]
 
 
 def test_staging_needs_a_shared_folder_on_a_cluster():

@@ -1,4 +1,5 @@
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import functions as F
@@ -51,6 +52,61 @@ def test_cumulative_files_in_two_runs_give_each_row_once(spark):
     assert got == ["2024-01-09 08:00:00", "2024-01-10 08:00:00", "2024-01-12 08:00:00"]
 
 
+class Killed(Exception):
+    pass
+
+
+def _conf(root):
+    return ExportConf(name="troi", root=root, checkpoint=f"{root}/_ckpt", columns=HEADER, left_col="Monat",
+                      right_col="troi_name", mapping_path=f"{root}/mapping", fill_down_col="id", filter_col="Monat")
+
+
+def _outputs(spark, root):
+    """What the sinks hold, by file name."""
+    out = []
+    for zone in ("archive", "clean", "processed"):
+        df = spark.read.parquet(f"{root}/{zone}/troi")
+        cols = sorted(c for c in df.columns if c != "ingest_file")
+        out.append(sorted(tuple(str(r[c]) for c in cols) + (r.ingest_file.rsplit("/", 1)[-1],) for r in df.collect()))
+    return out, os.listdir(f"{root}/raw/troi")
+
+
+def _landing(spark):
+    root = tempfile.mkdtemp(prefix="ingest-")
+    os.makedirs(f"{root}/raw/troi")
+    spark.createDataFrame([(7, "Doe, Jane", "j@x"), (8, r"Roe\E, Rick", "r@x")], "id long, troi_name string, email string").write.parquet(f"{root}/mapping")
+    days = lambda *n: [("Doe, Jane", "", "")] + [(f"2024-01-{d:02d} 08:00:00", "08:00", r"mit Roe\E, Rick") for d in n] + [(r"Roe\E, Rick", "", "")]
+    _write(f"{root}/raw/troi/export_2024-01-08.csv", days(7, 8))
+    _ingest(spark, root)
+    _write(f"{root}/raw/troi/export 2024-01-10 [a].csv", days(7, 8, 9, 10))
+    _write(f"{root}/raw/troi/export_2024-01-12.csv", days(9, 10, 11, 12))
+    return root
+
+
+def test_a_run_killed_after_any_step_is_replayed_with_the_same_result(spark):
+    import pytest
+    landed, seen = _landing(spark), []
+    root = shutil.copytree(landed, f"{landed}-whole")
+    start_ingest(spark, _conf(root), seen.append).awaitTermination()
+    want = _outputs(spark, root)
+    assert seen == ["journal", "archive", "clean", "processed", "state", "mark", "remove", "remove"]
+    # rows strictly between the files' dates, each file bounded by the one before it
+    assert sorted((r[-1], next(x for x in r if x.startswith("2024"))) for r in want[0][2]) == sorted(
+        (name, f"2024-01-{d:02d} 08:00:00") for name, days in (("export_2024-01-08.csv", (7, 8)), ("export 2024-01-10 [a].csv", (9, 10)), ("export_2024-01-12.csv", (11, 12))) for d in days)
+    assert want[1] == []
+    for stop in range(len(seen)):
+        root, steps = shutil.copytree(landed, f"{landed}-{stop}"), []
+
+        def kill(step):
+            steps.append(step)
+            if len(steps) == stop + 1:
+                raise Killed(step)
+        with pytest.raises(Exception, match="Killed"):
+            start_ingest(spark, _conf(root), kill).awaitTermination()
+        _ingest(spark, root)
+        assert _outputs(spark, root) == want, seen[stop]
+
+
 def test_columns_are_read_by_name_and_others_refused(spark):
     import pytest
     root = tempfile.mkdtemp(prefix="ingest-")
