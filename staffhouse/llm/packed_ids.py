@@ -15,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,20 +107,30 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
 
 
 class Known(dict):
-    """Unit -> its number; a unit not met before gets the next one and is noted as new."""
+    """Piece of text -> its number; a piece not met before gets the next one and is noted as new."""
 
     def __init__(self):
         super().__init__()
         self.new: list[str] = []
 
-    def __missing__(self, unit: str) -> int:
-        self[unit] = n = len(self)
-        self.new.append(unit)
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        self.new.append(piece)
         return n
 
 
+MARK = "\x00"       # stands for a line feed while texts are split at spaces
+#: A piece after a space or a line feed is certainly cut there as well when it is split as a whole text is, if it
+#: begins with a letter or a printable ASCII character and ends without white space.
+PLAIN = r"^\x00?[!-~\pL]"
+
+
 class Encoder:
-    """The tokenizers library over distinct units; remembered units are not encoded again.
+    """The tokenizers library over distinct pieces of texts; remembered pieces are not encoded again.
+
+    Texts are split at spaces and line feeds and their pieces numbered in Arrow, so Python meets the distinct pieces of
+    a batch only. Where a piece might not be independent of its neighbours (``_plain``) the text is cut by
+    ``pieces.units`` instead.
 
     With ``added_tokens`` the vocabulary's added tokens are found in texts, as the library does unless told
     otherwise: the text before and after each is encoded alone, so white space beside one is split as at an
@@ -130,7 +141,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
         added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True) if added_tokens else []
-        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+        self.pattern = "|".join(map(re.escape, added))
+        self.added = re.compile(f"({self.pattern})") if added else None
         self._forget()
 
     def units(self, text: str) -> list[str]:
@@ -140,7 +152,20 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known = Known()
-        self.ids, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.ids, self.start, self.uses = np.empty(0, np.int32), np.zeros(1, np.int64), np.empty(0, np.int64)
+
+    def _make_room(self) -> None:
+        """Keep the pieces met most often, half of the room at most; half of a text's words or more are met once only."""
+        least = max(2, int(np.sort(self.uses)[-(REMEMBERED // 2)]) + 1)
+        kept = np.flatnonzero(self.uses >= least)
+        pieces, ids, start = list(self.known), self.ids, self.start
+        size = start[kept + 1] - start[kept]
+        self._forget()
+        for i in kept.tolist():
+            self.known[pieces[i]] = len(self.known)
+        self.start = np.append(0, np.cumsum(size))
+        self.ids = ids[np.repeat(start[kept] - self.start[:-1], size) + np.arange(size.sum())]
+        self.uses = np.ones(len(kept), np.int64)
 
     def _learn(self) -> None:
         new, self.known.new = self.known.new, []
@@ -151,44 +176,71 @@ class Encoder:
         self.ids = np.concatenate([self.ids, flat])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
 
-    def encode(self, parts: list[list[str]]) -> list[np.ndarray]:
+    def _numbers(self, texts: pa.Array) -> list[np.ndarray]:
+        """The numbers of each text's pieces in order."""
+        apart = pc.match_substring(texts, MARK)
+        if self.added is not None:
+            apart = pc.or_(apart, pc.match_substring_regex(texts, self.pattern))
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " " + MARK), " ")
+        offsets = lists.offsets.to_numpy()
+        coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets = offsets - offsets[0]
+        at, pieces = coded.indices.to_numpy(), coded.dictionary
+        plain = pc.and_(pc.match_substring_regex(pieces, PLAIN), pc.equal(pc.utf8_rtrim_whitespace(pieces), pieces))
+        # a piece as it stands in the text, with the space or line feed before it
+        whole = pc.if_else(pc.starts_with(pieces, MARK), pc.replace_substring(pieces, MARK, "\n", max_replacements=1),
+                           pc.binary_join_element_wise(pa.scalar(""), pieces, pa.scalar(" ")))
+        number = np.zeros(len(pieces), np.int64)
+        plain_at = plain.to_numpy(zero_copy_only=False)
+        number[plain_at] = list(map(self.known.__getitem__, whole.filter(plain).to_pylist()))
+        bad, number = ~plain_at[at], number[at]
+        first = offsets[:-1]
+        heads = pieces.take(pa.array(at[first])).to_pylist()
+        bad[first] = [p[-1:].isspace() for p in heads]
+        slow = apart.to_numpy(zero_copy_only=False) | (np.add.reduceat(bad, first, dtype=np.int64) > 0)
+        number[first] = [self.known[p] for p in heads]
+        return [np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)) if is_slow and (own := self.units(texts[i].as_py())) is not None
+                else number[low:high] for i, (is_slow, low, high) in enumerate(zip(slow.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()))]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by ``END``, and how many each has."""
         if len(self.known) > REMEMBERED:
-            self._forget()
-        ats = [np.fromiter(map(self.known.__getitem__, x), np.int64, len(x)) for x in parts]
+            self._make_room()
+        parts = self._numbers(texts)
         if self.known.new:
             self._learn()
-        out = []
-        for at in ats:
-            low, size = self.start[at], self.start[at + 1] - self.start[at]
-            first = np.repeat(low - (np.cumsum(size) - size), size)
-            out.append(self.ids[first + np.arange(len(first))])
-        return out
+        at, pieces = np.concatenate(parts), np.array([len(x) for x in parts])
+        self.uses = np.bincount(at, minlength=len(self.known)) + np.pad(self.uses, (0, len(self.known) - len(self.uses)))
+        size = self.start[at + 1] - self.start[at]
+        ends = np.append(0, np.cumsum(size))[np.cumsum(pieces)]         # where each text's ids end, among all
+        first = np.repeat(self.start[at] - (np.cumsum(size) - size), size)
+        ids = self.ids[first + np.arange(len(first))]
+        return np.insert(ids, ends, END), np.diff(ends, prepend=0) + 1
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
+SEGMENT_DOCUMENTS, SEGMENT_BYTES = 4000, 8 << 20
 
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str, added_tokens: bool) -> Iterator[pa.RecordBatch]:
-    """Sorted documents -> segments of some hundred documents; ``part`` and ``seq`` number them in order."""
+    """Sorted documents -> segments of some thousand documents; ``part`` and ``seq`` number them in order."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if (path, added_tokens) not in _encoders:
         _encoders[path, added_tokens] = Encoder(path, added_tokens)
     encoder = _encoders[path, added_tokens]
     seq = 0
     for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))
         low = 0
         while low < b.num_rows:
-            part, size = [], 0
-            while low + len(part) < b.num_rows and size < 2_000_000 and len(part) < 1000:
-                part.append(encoder.units(b.column(1)[low + len(part)].as_py()))
-                size += sum(map(len, part[-1]))
-            ids = [np.append(x, END) for x in encoder.encode(part)]
-            counts = [len(x) for x in ids]
-            yield pa.record_batch([b.column(2).slice(low, 1), pa.array([seq]), pa.array([b.column(0).slice(low, len(part)).to_pylist()], pa.list_(pa.int64())),
-                                   pa.array([counts], pa.list_(pa.int64())), pa.array([sum(counts)], pa.int64()), pa.array([pack(np.concatenate(ids))], pa.binary())],
+            before = size[low - 1] if low else 0
+            high = min(low + SEGMENT_DOCUMENTS, max(low + 1, int(np.searchsorted(size, before + SEGMENT_BYTES, "right"))))
+            ids, counts = encoder.encode(b.column(1).slice(low, high - low))
+            yield pa.record_batch([b.column(2).slice(low, 1), pa.array([seq]), pa.array([b.column(0).slice(low, high - low).to_pylist()], pa.list_(pa.int64())),
+                                   pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([int(counts.sum())], pa.int64()), pa.array([pack(ids)], pa.binary())],
                                   names=["part", "seq", "docs", "counts", "n_ids", "segment"])
             seq += 1
-            low += len(part)
+            low = high
 
 
 def write(docs: DataFrame, path: str, target: str, partitions: int | None = None, added_tokens: bool = False) -> None:
