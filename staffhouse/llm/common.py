@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 from staffhouse.session import materialise
 
 
+BATCH_BYTES = 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as ``--py-files`` would, once a session."""
+    """Give the executors this package, as ``--py-files`` would, once a session, and let Arrow batches be smaller than
+    Spark's 64 MB: whole texts go through them, and each is held several times on its way."""
+    batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(batch, "67108864b").rstrip("b")) == 64 << 20:         # Spark's default; another value is the user's
+        spark.conf.set(batch, str(BATCH_BYTES))
     sc = spark.sparkContext
     if not any(f.endswith("/staffhouse.zip") for f in sc.listFiles):
         root, target = Path(__file__).resolve().parents[2], f"{tempfile.mkdtemp(prefix='staffhouse-code-')}/staffhouse.zip"
@@ -32,6 +39,23 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that ``df`` has no column of, for what a join adds to it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own(df: DataFrame, name: str) -> Column:
+    """The column of exactly this name."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
 def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: later steps restart from
     files all executors see, and rows with generated ids stay as they were written."""
@@ -44,9 +68,10 @@ def remainder(id_col: str, mod: int) -> Column:
 
 
 def label_sample(features: DataFrame, labels: DataFrame, target: str, held_out: Column, bound: int) -> DataFrame:
-    """At most about ``bound`` labelled rows outside the held-out part, chosen by a hash of the id.
+    """At most about ``bound`` labelled documents outside the held-out part, chosen by a hash of the id.
 
-    Several labels of one id count as their rounded mean; null labels and ids are dropped.
+    Several labels of one id count as their rounded mean; null labels and ids are dropped. A document is one row
+    however often it is listed; of several texts of one id that with the least hash counts.
     The share to keep follows from a count, so no task sorts or gathers all labelled rows."""
     lab = (labels.select(F.col("doc_id").alias("doc_id"), F.col(target).cast("double").alias("_y"))
            .dropna().groupBy("doc_id").agg(F.round(F.avg("_y")).cast("int").alias("_y")))
@@ -55,4 +80,6 @@ def label_sample(features: DataFrame, labels: DataFrame, target: str, held_out:
     if n > bound:
         share = int(bound / n * (1 << 32))
         lab = lab.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < share)
-    return features.join(F.broadcast(lab), "doc_id")      # bounded above
+    rows = features.join(F.broadcast(lab), "doc_id")      # bounded above
+    rest = [c for c in rows.columns if c not in ("doc_id", "_y")]
+    return rows.groupBy("doc_id", "_y").agg(F.min(F.struct(F.xxhash64(*rest).alias("_order"), *rest)).alias("_row")).select("doc_id", *[f"_row.{c}" for c in rest], "_y")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from staffhouse.llm.common import stage, texts
+from staffhouse.llm.common import fresh, own, stage, texts
 
 MIN_WORDS = 50
 
@@ -104,8 +104,8 @@ def suffix_ranks(lines: DataFrame, depth: int) -> list[DataFrame]:
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """(runs, line table). A run (doc_id, th, pos, n): from line ``pos`` on, ``n`` lines of ``min_words``
-    words or more together repeat an earlier place (smaller doc_id, then text hash, then line), as
-    far as the repeat goes.
+    words or more together repeat the first place of these lines (smallest doc_id, then text hash, then line)
+    without overlapping it, as far as the repeat goes.
 
     A run of L lines is compared over its interval. From a position the least run (``need`` lines)
     and the longer ones up to where the next position's least run takes over are tested, which adds up to
@@ -127,7 +127,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFram
     named = stage(head.join(tail, ["doc_id", "th", "p2", "k"]).select(*at, "n", "r1", "r2"), "op9_named")
     place = F.struct(*at)
     first = named.groupBy("n", "r1", "r2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").drop("last")
-    later = named.join(first, ["n", "r1", "r2"]).filter(place > F.col("first"))
+    # a copy that overlaps the place that stays would take lines from it
+    apart = (F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.th") != F.col("th")) | (F.col("pos") >= F.col("first.pos") + F.col("n"))
+    later = named.join(first, ["n", "r1", "r2"]).filter((place > F.col("first")) & apart)
     return later.groupBy(*at).agg(F.max("n").alias("n")), lines
 
 
@@ -144,22 +146,24 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool
     ``text`` holds what is left, ``n_chars`` (if there) is counted anew where the text changed, other columns
     stay. ``drop_emptied`` leaves out documents that lost all their lines.
 
-    The earliest copy (smallest doc_id) stays. Null and empty texts stay as they are, blank lines are
+    The earliest copy (smallest doc_id) stays whole, also where a later one overlaps it: of a line repeated in a row as many stay as
+    make one run. Null and empty texts stay as they are, blank lines are
     never part of a run and are kept, rows equal in doc_id and text are one document and stay together,
-    rows without doc_id stay unchanged."""
+    rows without doc_id stay unchanged, other columns may have any names."""
     runs, lines = repeated_runs(docs, min_words)
+    cut_id, cut_th, cut_at, new = fresh(docs, "_cut_id", "_cut_th", "_cut_at", "_new")
     covered = runs.select("doc_id", "th", F.explode(F.sequence("pos", F.col("pos") + F.col("n") - 1)).alias("pos")).distinct()
     cut = (covered.join(lines.select("doc_id", "th", "pos", "at"), ["doc_id", "th", "pos"])
-           .groupBy(F.col("doc_id").alias("_cut_id"), F.col("th").alias("_cut_th")).agg(F.collect_list("at").alias("_cut_at")))
+           .groupBy(F.col("doc_id").alias(cut_id), F.col("th").alias(cut_th)).agg(F.collect_list("at").alias(cut_at)))
     cut = stage(cut, "op9_cut")
-    at = (docs["doc_id"].cast("long") == F.col("_cut_id")) & (_key(docs["text"]) == F.col("_cut_th"))
+    at = (docs["doc_id"].cast("long") == F.col(cut_id)) & (_key(docs["text"]) == F.col(cut_th))
     # a merge join at every size: whether the table of cuts is small must not decide how texts move
     out = docs.join(cut.hint("merge"), at, "left")
-    changed = F.col("_cut_at").isNotNull()
+    changed = F.col(cut_at).isNotNull()
     # only changed texts are sent to Python
-    out = out.withColumn("_new", F.coalesce(_without(F.when(changed, F.col("text")), "_cut_at"), F.col("text")))
+    out = out.withColumn(new, F.coalesce(_without(F.when(changed, docs["text"]), cut_at), docs["text"]))
     if drop_emptied:
-        out = out.filter(~changed | (F.trim(F.regexp_replace("_new", r"[\t\r\n]", " ")) != ""))
-    cols = [F.when(changed, F.length("_new")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-            else F.col("_new").alias("text") if c == "text" else docs[c] for c in docs.columns]
+        out = out.filter(~changed | (F.trim(F.regexp_replace(new, r"[\t\r\n]", " ")) != ""))
+    cols = [F.when(changed, F.length(new)).otherwise(own(docs, c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+            else F.col(new).alias("text") if c == "text" else own(docs, c) for c in docs.columns]
     return out.select(*cols)

@@ -14,10 +14,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffhouse.llm.common import stage, texts
+from staffhouse.llm.common import fresh, own, stage, texts
 from staffhouse.llm.components import components
 
 SHINGLE, SYMBOLS, CHUNKS = 5, 64, 16
@@ -240,7 +240,8 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
     bodies = stage(texts(docs).select(F.col("doc_id").alias("rep"), F.col("text").alias("body")).join(needed, "rep"), "op10_bodies", "zstd")
     same_id = sets.join(reps.select("n_shingles", "fp", "rep"), ["n_shingles", "fp"]).select("doc_id", "rep", "n_shingles")
     member = stage(same_id, "op10_member")
-    twice = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).filter("a > b").select("a", "b")
+    several = member.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("doc_id")
+    twice = member.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     links = stage(_linked(pairs, reps, bodies).unionByName(twice), "op10_links")
     comp = components(links)
     buckets = buckets.select("key", "rep")
@@ -258,10 +259,24 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose document is the one kept of its component; rows of a null id stay, copies or not.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group: the document kept of its component, and of the rows that share a kept id the one with the
+    least text hash. Rows without an id are in no component; of those with equal texts one stays.
 
-    Rows are dropped by id: all rows that share a kept id stay, whether their texts are equal or not, so
-    of such a group more than one row is left. Only the ids to drop are joined, so the kept texts need no grouping."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    Null and empty texts of their own ids stay, other columns may have any names and types, an empty table gives no
+    rows. Only the ids to drop, and those that several rows share, are joined, so the other texts need no grouping."""
+    gone_id, many_id, key = fresh(docs, "_gone", "_many", "_key")
+    id_ = lambda df: own(df, id_col).cast("long")
+    gone = near_duplicates(docs.select(id_(docs).alias("doc_id"), own(docs, text_col).alias("text"))).filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct()
+    kept = docs.join(gone, id_(docs) == F.col(gone_id), "left_anti")
+    many = docs.groupBy(id_(docs).alias(many_id)).count().filter(F.col("count") > 1).select(many_id).filter(F.col(many_id).isNotNull())
+    alone = kept.join(many, id_(kept) == F.col(many_id), "left_anti")
+    text_hash = F.sha2(F.coalesce(own(docs, text_col), F.lit("")), 256)
+
+    def one_each(rows: DataFrame, by: Column) -> DataFrame:
+        first = rows.groupBy(by.alias(key)).agg(F.min_by(F.struct(*[own(docs, c) for c in docs.columns]), text_hash).alias("row"))
+        return first.select("row.*")
+
+    known = id_(docs).isNotNull()
+    return (alone.filter(known).unionByName(one_each(kept.join(many, id_(kept) == F.col(many_id), "left_semi"), id_(docs)))
+            .unionByName(one_each(kept.filter(~known), text_hash)))

@@ -88,21 +88,26 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__:
 LLM_ORACLE: dict[str, str] = {"op3_winnowing": CONTAMINATION, "op10_near_dedup": NEAR_DUPLICATES, "op12_ngram_join": NGRAM_JACCARD}
 
 
+@shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity_cnn.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@shipped
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, drop_emptied=True)
 
 
+@shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.drop_near_duplicates(docs)
 
 
+@shipped
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return winnowing.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).drop("decoded")

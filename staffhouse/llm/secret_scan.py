@@ -81,13 +81,14 @@ def covered(s: int, e: int, spans: list[tuple[int, int, int]]) -> bool:
 def count_pairs(text: str) -> np.ndarray:
     """How often each symbol follows each other one (0 stands for any other character), at first * SIDE + second."""
     total = np.zeros(SIDE * SIDE, np.int64)
-    for low in range(0, len(text), 1 << 20):
-        x = _CODES[np.frombuffer(text[low:low + (1 << 20)].encode("latin-1", "replace"), np.uint8)]
-        inside = (x > 0) & (x <= 62)
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))).reshape(-1, 2)
-        for a, b in edge[edge[:, 1] - edge[:, 0] >= WORD]:
-            x[a:b] = 0
-        total += np.bincount(x[:-1] * np.int16(SIDE) + x[1:], minlength=SIDE * SIDE)
+    x = _CODES[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
+    inside = (x > 0) & (x <= 62)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))).reshape(-1, 2)
+    for a, b in edge[edge[:, 1] - edge[:, 0] >= WORD]:
+        x[a:b] = 0
+    for low in range(0, len(x) - 1, 1 << 20):       # each pair once
+        part = x[low:low + (1 << 20) + 1]
+        total += np.bincount(part[:-1] * np.int16(SIDE) + part[1:], minlength=SIDE * SIDE)
     return total
 
 
@@ -178,10 +179,20 @@ def candidates(text: str, model: np.ndarray) -> list[tuple[int, int, int, float]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of whole texts, the same however rows are dealt to batches: short ones are joined by line feeds, which
+    count like the ends of a text."""
     total = np.zeros(SIDE * SIDE, np.int64)
+    held, size = [], 0
     for b in batches:
-        for low in range(0, b.num_rows, 1000):
-            total += count_pairs("\n".join(b.column(0).slice(low, 1000).to_pylist()))
+        for t in b.column(0):
+            text = t.as_py()
+            held.append(text)
+            size += len(text)
+            if size >= 1 << 20:
+                total += count_pairs("\n" + "\n".join(held) + "\n")
+                held, size = [], 0
+    total += count_pairs("\n" + "\n".join(held) + "\n")
+    total[:SIDE] = total[::SIDE] = 0        # pairs with another character, line feeds among them, are not counted
     code = np.flatnonzero(total)
     yield pa.record_batch([pa.array(code, pa.int32()), pa.array(total[code])], names=["code", "n"])
 

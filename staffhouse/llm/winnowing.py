@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffhouse.llm.common import stage, texts
+from staffhouse.llm.common import fresh, stage, texts
 
 SPAN, GRAM = 10, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"      # fixed value: words are digits, letters a-z and all beyond ASCII
@@ -71,12 +71,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = stage(item_spans(benchmark), "op3_items")
     short = [r[0] for r in items.filter(F.col("n") < SPAN).select("n").distinct().collect()]      # nine lengths at most
     families = _families(sorted(short))
-    rows = texts(docs).withColumn("th", F.xxhash64("text")).withColumn("doc_id", F.coalesce("doc_id", F.lit(-1 << 63)))
-    base = _hashed(rows.select("doc_id", "th", words(F.col("text")).alias("w")))
+    # rows of one (doc_id, th) are one; without an id the hash is another one, so no id is taken for it
+    own_hash = F.when(F.col("id").isNull(), F.xxhash64("text", F.lit(0))).otherwise(F.xxhash64("text"))
+    rows = (texts(docs).withColumnRenamed("doc_id", "id")
+            .select(F.coalesce("id", F.lit(0).cast("long")).alias("doc_id"), own_hash.alias("th"), "id", F.xxhash64("text").alias("text_hash"), "text"))
+    base = _hashed(rows.select("doc_id", "th", "id", "text_hash", words(F.col("text")).alias("w")))
     for span, k, w in families:
         base = base.withColumn(f"g{span}", gram_hashes(F.col("h"), F.col("n"), k)).withColumn(f"f{span}", fingerprints(F.col(f"g{span}"), w))
     prints = F.flatten(F.array(*(F.col(f"f{s}") for s, _, _ in families)))
-    base = stage(base.select("doc_id", "th", F.col("n").cast("long").alias("n_words"), prints.alias("prints")), "op3_prints")
+    base = stage(base.select("doc_id", "th", "id", "text_hash", F.col("n").cast("long").alias("n_words"), prints.alias("prints")), "op3_prints")
 
     own = None
     for span, k, w in families:
@@ -113,12 +116,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
              .groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("item_id")).alias("ids")))
     out = base.drop("prints").join(n_hit, ["doc_id", "th"], "left").join(found, ["doc_id", "th"], "left")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
-    return out.select(F.when(F.col("doc_id") != F.lit(-1 << 63), F.col("doc_id")).alias("doc_id"), "th", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+    return out.select(F.col("id").alias("doc_id"), F.col("text_hash").alias("th"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                       F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
                       (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold an item's span."""
-    bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("th").alias("_bad_th")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_bad_th")), "left_anti")
+    """``docs`` without the rows that hold an item's span. Other columns may have any names; null texts hold none, rows with a
+    null doc_id are judged by their text, repeated rows alike, an empty table gives no rows."""
+    bad_id, bad_th = fresh(docs, "_bad_id", "_bad_th")
+    bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias(bad_id), F.col("th").alias(bad_th)).distinct()
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(bad_th)), "left_anti")

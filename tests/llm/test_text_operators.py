@@ -95,23 +95,29 @@ def test_every_pair_within_the_limit_shares_a_key():
 # --- repeated lines --------------------------------------------------------------------------
 
 def brute_line_dedup(rows, least):
-    """Longest earlier repeat from every line, by comparing all pairs of places."""
+    """Every run of lines with its first place: copies that do not overlap it go."""
     docs = sorted({(i, t) for i, t in rows if i is not None}, key=lambda x: (x[0],))
     seqs = []
     for i, t in docs:
         lines = (t or "").split("\n")
         at = [k for k, x in enumerate(lines) if x.strip()]
         seqs.append((i, t, lines, at, [lines[k].strip() for k in at]))
-    out, places = {}, [(d, p) for d, s in enumerate(seqs) for p in range(len(s[4]))]
-    for d, p in places:
-        for e, q in places:
-            if (e, q) >= (d, p):
-                break
-            a, b, n = seqs[d][4], seqs[e][4], 0
-            while p + n < len(a) and q + n < len(b) and a[p + n] == b[q + n]:
-                n += 1
-            if sum(len(x.split()) for x in a[p:p + n]) >= least:
-                out.setdefault(d, set()).update(range(p, p + n))
+    out, first, runs = {}, {}, []
+    for d, s in enumerate(seqs):
+        a = s[4]
+        for p in range(len(a)):
+            words = 0
+            for n in range(1, len(a) - p + 1):
+                words += len(a[p + n - 1].split())
+                if words >= least:
+                    run = tuple(a[p:p + n])
+                    first.setdefault(run, (d, p))
+                    runs.append((d, p, run))
+    for d, p, run in runs:
+        e, q = first[run]
+        # a later copy, whole and apart from the first one
+        if (e, q) < (d, p) and (e != d or p >= q + len(run)):
+            out.setdefault(d, set()).update(range(p, p + len(run)))
     res = {}
     for d, (i, t, lines, at, _) in enumerate(seqs):
         gone = {at[p] for p in out.get(d, ())}
@@ -139,6 +145,52 @@ def test_line_dedup_matches_brute_force(spark, odd_rows):
     assert all(n == len(t or "") for _, t, n in seen)
 
 
+def test_line_dedup_keeps_the_first_copy_whole(spark):
+    rows = [(1, "ten words are in this line all of them here\n" * 20), (2, "ten words are in this line all of them here\n" * 4)]
+    got = {r.doc_id: r.text.count("ten") for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {1: 5, 2: 4}
+
+
+def test_columns_with_any_names_stay_in_every_stage(spark):
+    rng = random.Random(31)
+    names = ["_new", "_cut_id", "_cut_at", "_cut_th", "_gone", "_many", "_key", "_bad_id", "_bad_th", "a.b", "row", "count", "score"]
+    texts = [prose(rng, 70) for _ in range(6)]
+    rows = [(i, t, *names) for i, t in enumerate([*texts, texts[0], None, "", "kill " + texts[1]])]
+    rows += [(3, texts[3], *names), (3, texts[4] + " x", *names), (None, texts[5], *names), (None, texts[5], *names), (-1 << 63, texts[2], *names)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(i, 0, int(i == 9)) for i in range(10)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([("q", texts[1])], "item_id string, text string")
+    out = toxicity_cnn.drop_toxic(docs, labels)
+    assert out.dtypes == docs.dtypes and out.count() == 13
+    for step in (lambda d: line_dedup.dedup_lines(d, drop_emptied=True), near_dedup.drop_near_duplicates, lambda d: winnowing.decontaminate(d, bench)):
+        got = step(docs)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes
+        assert all([r[n] for n in names] == names for r in got.collect())
+    ids = sorted((r.doc_id if r.doc_id is not None else "none", (r.text or "")[:20]) for r in near_dedup.drop_near_duplicates(docs).collect() if r.doc_id is not None)
+    assert len([i for i, _ in ids]) == len({i for i, _ in ids}), "one row a kept id"
+    assert near_dedup.drop_near_duplicates(docs).filter("doc_id is null").count() == 1
+    found = {r.doc_id for r in winnowing.contamination(docs, bench).filter("contaminated").collect()}
+    assert found == {1, 9}
+    assert -1 << 63 in {r.doc_id for r in winnowing.contamination(docs, bench).collect()}
+
+
+def test_pairs_are_counted_the_same_in_any_batches():
+    import pyarrow as pa
+    rng = random.Random(2)
+    texts = [prose(rng, rng.randrange(0, 60)) + "".join(rng.choice("abcXYZ019") for _ in range(rng.randrange(0, 40))) for _ in range(300)] + ["ab" * 700_000, "", "é" * 5]
+
+    def counts(sizes):
+        at, batches = 0, []
+        while at < len(texts):
+            n = next(sizes)
+            batches.append(pa.record_batch([pa.array(texts[at:at + n])], names=["text"]))
+            at += n
+        return [(x["code"], x["n"]) for b in secret_scan._count(iter(batches)) for x in b.to_pylist()]
+    one = counts(iter([len(texts)]))
+    assert one and counts(iter(lambda: 1, 0)) == one and counts(iter(lambda: rng.randrange(1, 40), 0)) == one
+
+
 def test_line_dedup_drops_only_emptied_documents(spark):
     p = " ".join(["word"] * 55)
     rows = [(3, f"{p}\n"), (1, p), (2, f"own start\n{p}\nown end"), (4, ""), (5, None), (None, p)]
