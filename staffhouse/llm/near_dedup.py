@@ -4,7 +4,7 @@ A document's set of five-word shingles gives a signature of ``SYMBOLS`` b-bit sy
 are cut into ``CHUNKS`` chunks; if two differ in at most ``LIMIT`` = 2 * CHUNKS - 1 symbols, some
 chunk differs in at most one (pigeonhole). Posting every chunk once for each symbol left out
 enumerates that one allowed error, so every pair within the limit shares a posted key. Links are
-then confirmed on the full sets.
+then confirmed on the full sets, of those pairs only whose parity bitmaps do not rule a link out.
 """
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from staffhouse.llm.common import fresh, own, stage, texts
 from staffhouse.llm.components import components
+from staffhouse.llm.ngram_join import bitmap, folded
 
 SHINGLE, SYMBOLS, CHUNKS = 5, 64, 16
 PER = SYMBOLS // CHUNKS
@@ -74,14 +75,15 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, fp, sig = [], [], []
+        n, fp, sig, bits = [], [], [], []
         for t in b.column(1):
             s = shingles(t.as_py())
             n.append(len(s))
             fp.append(xxhash.xxh128_digest(s.tobytes()))
             sig.append(signature(s).tobytes() if len(s) else b"")
-        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.binary())],
-                              names=["doc_id", "n_shingles", "fp", "sig"])
+            bits.append(bitmap(s) if len(s) else b"")
+        yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.binary()), pa.array(bits, pa.binary())],
+                              names=["doc_id", "n_shingles", "fp", "sig", "bits"])
 
 
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,11 +93,29 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(chunk_keys(sig).ravel()), pa.array(np.repeat(b.column(0).to_numpy(), SYMBOLS))], names=["key", "rep"])
 
 
+def may_link(n: np.ndarray, m: np.ndarray, x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Whether sets of these sizes and parity bitmaps may be similar enough: two bitmaps never differ in more places
+    than the sets in shingles, so a pair that differs in more than a link may is certainly none."""
+    most = n + m - 2 * -(-SHARE[0] * (n + m) // sum(SHARE))
+    size = np.array([(len(a), len(b)) for a, b in zip(x, y)]).reshape(-1, 2)
+    out = np.zeros(len(x), bool)
+    for k, l in np.unique(size, axis=0):
+        own = np.flatnonzero((size[:, 0] == k) & (size[:, 1] == l))
+        a, b = (np.frombuffer(b"".join([z[i] for i in own]), np.uint64).reshape(len(own), -1) for z in (x, y))
+        while a.shape[1] != b.shape[1]:
+            a, b = (folded(a), b) if a.shape[1] > b.shape[1] else (a, folded(b))
+        out[own] = np.bitwise_count(a ^ b).sum(axis=1) <= most[own]
+    return out
+
+
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
             x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for i in (2, 3))
-            yield b.filter(pa.array((x != y).sum(axis=1) <= LIMIT)).select([0, 1])
+            near = np.flatnonzero((x != y).sum(axis=1) <= LIMIT)
+            n, m, p, q = (b.column(i).take(pa.array(near)) for i in (4, 5, 6, 7))
+            near = near[may_link(n.to_numpy(), m.to_numpy(), p.to_pylist(), q.to_pylist())]
+            yield b.select([0, 1]).take(pa.array(near))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,17 +133,17 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, fp (128-bit hash of the whole set), sig."""
-    return texts(docs).filter("doc_id is not null").mapInArrow(_sets, "doc_id long, n_shingles long, fp binary, sig binary")
+    """doc_id, n_shingles, fp (128-bit hash of the whole set), sig, bits (parity bitmap of the set)."""
+    return texts(docs).filter("doc_id is not null").mapInArrow(_sets, "doc_id long, n_shingles long, fp binary, sig binary, bits binary")
 
 
 def _linked(pairs: DataFrame, reps: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose signatures are within the limit and whose full sets are similar enough."""
-    sig, body = reps.select("rep", "sig", "n_shingles"), bodies.select("rep", "body")
-    both = pairs.join(sig.toDF("a", "sa", "na"), "a").join(sig.toDF("b", "sb", "nb"), "b")
+    """Pairs (a, b) whose signatures are within the limit, whose bitmaps leave it open and whose full sets are similar enough."""
+    sig, body = reps.select("rep", "sig", "n_shingles", "bits"), bodies.select("rep", "body")
+    both = pairs.join(sig.toDF("a", "sa", "na", "pa"), "a").join(sig.toDF("b", "sb", "nb", "pb"), "b")
     # sets whose sizes are further apart than the similarity allows cannot be linked
     both = both.filter(F.least("na", "nb") * SHARE[1] >= F.greatest("na", "nb") * SHARE[0])
-    near = both.select("a", "b", "sa", "sb").mapInArrow(_within, "a long, b long")
+    near = both.select("a", "b", "sa", "sb", "na", "nb", "pa", "pb").mapInArrow(_within, "a long, b long")
     return (near.join(body.toDF("a", "ta"), "a").join(body.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
             .mapInArrow(_confirm, "a long, b long"))
 
@@ -229,7 +249,7 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
     linked, rows without one are left out. Extra columns are ignored; an empty table gives no rows."""
     sets = stage(document_sets(docs), "op10_sets")
     reps = stage(sets.filter("n_shingles > 0").groupBy("n_shingles", "fp")
-                 .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "op10_reps")
+                 .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bits").alias("bits")), "op10_reps")
     posted = reps.select("rep", "sig").mapInArrow(_post, "key long, rep long")
     shared = posted.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
     buckets = stage(posted.join(shared, "key"), "op10_buckets")

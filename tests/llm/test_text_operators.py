@@ -83,6 +83,20 @@ def test_near_duplicates_of_nothing(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4]
 
 
+def test_bitmaps_never_rule_a_link_out():
+    rng = np.random.default_rng(8)
+    kept = 0
+    for _ in range(2000):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 300), dtype=np.uint64))
+        b = np.union1d(rng.permutation(a)[:int(len(a) * rng.uniform(0.5, 1))], rng.integers(0, 1 << 63, rng.integers(0, 40), dtype=np.uint64))
+        common = len(np.intersect1d(a, b))
+        linked = common * 100 >= 75 * (len(a) + len(b) - common)
+        may = near_dedup.may_link(np.array([len(a)]), np.array([len(b)]), [near_dedup.bitmap(a)], [near_dedup.bitmap(b)])[0]
+        assert may or not linked
+        kept += may and not linked
+    assert kept < 300
+
+
 def test_every_pair_within_the_limit_shares_a_key():
     rng = np.random.default_rng(1)
     for _ in range(200):
