@@ -1,10 +1,12 @@
 """Shared helpers of the training-data operators."""
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,20 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+_held: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What an operator's tasks remember in this Python worker. Workers live on from stage to stage, so what another
+    operator has remembered is dropped first: memory is one operator's at a time."""
+    if owner not in _held:
+        _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _held[owner] = {}
+    return _held[owner]
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like these that ``df`` has no column of, for what a join adds to it."""
     taken = {c.lower() for c in df.columns}

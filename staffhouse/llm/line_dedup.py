@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from staffhouse.llm.common import fresh, own, stage, texts
+from staffhouse.llm.common import fresh, held, own, stage, texts
 
 MIN_WORDS = 50
 
@@ -31,6 +31,7 @@ def _key(text: Column) -> Column:
 
 
 def _lines(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    held("line_dedup")
     for b in batches:
         for low in range(0, b.num_rows, 500):
             part = b.slice(low, 500)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffhouse.llm.common import fresh, own, stage, texts
+from staffhouse.llm.common import fresh, held, own, stage, texts
 from staffhouse.llm.components import components
 from staffhouse.llm.ngram_join import bitmap, folded
 
@@ -74,6 +74,7 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held("near_dedup")
     for b in batches:
         n, fp, sig, bits = [], [], [], []
         for t in b.column(1):

@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staffhouse.llm.common import texts
-from staffhouse.llm.pieces import units
+from staffhouse.llm.common import held, texts
+from staffhouse.llm.pieces import split, units
 
 MAGIC = 0x53384253
 # selector: (ids a word, bits an id); 0 and 1 are runs of zeros; fixed values of the coding
@@ -119,12 +119,6 @@ class Known(dict):
         return n
 
 
-MARK = "\x00"       # stands for a line feed while texts are split at spaces
-#: A piece after a space or a line feed is certainly cut there as well when it is split as a whole text is, if it
-#: begins with a letter or a printable ASCII character and ends without white space.
-PLAIN = r"^\x00?[!-~\pL]"
-
-
 class Encoder:
     """The tokenizers library over distinct pieces of texts; remembered pieces are not encoded again.
 
@@ -178,29 +172,19 @@ class Encoder:
 
     def _numbers(self, texts: pa.Array) -> list[np.ndarray]:
         """The numbers of each text's pieces in order."""
-        apart = pc.match_substring(texts, MARK)
-        if self.added is not None:
-            apart = pc.or_(apart, pc.match_substring_regex(texts, self.pattern))
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " " + MARK), " ")
-        offsets = lists.offsets.to_numpy()
-        coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        offsets = offsets - offsets[0]
-        at, pieces = coded.indices.to_numpy(), coded.dictionary
-        plain = pc.and_(pc.match_substring_regex(pieces, PLAIN), pc.equal(pc.utf8_rtrim_whitespace(pieces), pieces))
-        # a piece as it stands in the text, with the space or line feed before it
-        whole = pc.if_else(pc.starts_with(pieces, MARK), pc.replace_substring(pieces, MARK, "\n", max_replacements=1),
-                           pc.binary_join_element_wise(pa.scalar(""), pieces, pa.scalar(" ")))
-        number = np.zeros(len(pieces), np.int64)
-        plain_at = plain.to_numpy(zero_copy_only=False)
-        number[plain_at] = list(map(self.known.__getitem__, whole.filter(plain).to_pylist()))
-        bad, number = ~plain_at[at], number[at]
-        first = offsets[:-1]
-        heads = pieces.take(pa.array(at[first])).to_pylist()
-        bad[first] = [p[-1:].isspace() for p in heads]
-        slow = apart.to_numpy(zero_copy_only=False) | (np.add.reduceat(bad, first, dtype=np.int64) > 0)
-        number[first] = [self.known[p] for p in heads]
-        return [np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)) if is_slow and (own := self.units(texts[i].as_py())) is not None
-                else number[low:high] for i, (is_slow, low, high) in enumerate(zip(slow.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()))]
+        p = split(texts, None if self.added is None else pc.match_substring_regex(texts, self.pattern))
+        number = np.zeros(len(p.plain), np.int64)
+        number[p.plain] = list(map(self.known.__getitem__, p.text))
+        number = number[p.at]
+        number[p.offsets[:-1]] = [self.known[h] for h in p.heads]
+        out = []
+        for i, (slow, low, high) in enumerate(zip(p.slow.tolist(), p.offsets[:-1].tolist(), p.offsets[1:].tolist())):
+            if slow:
+                own = self.units(texts[i].as_py())
+                out.append(np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)))
+            else:
+                out.append(number[low:high])
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``END``, and how many each has."""
@@ -218,16 +202,16 @@ class Encoder:
         return np.insert(ids, ends, END), np.diff(ends, prepend=0) + 1
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
 SEGMENT_DOCUMENTS, SEGMENT_BYTES = 4000, 8 << 20
 
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str, added_tokens: bool) -> Iterator[pa.RecordBatch]:
     """Sorted documents -> segments of some thousand documents; ``part`` and ``seq`` number them in order."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if (path, added_tokens) not in _encoders:
-        _encoders[path, added_tokens] = Encoder(path, added_tokens)
-    encoder = _encoders[path, added_tokens]
+    encoders = held("packed_ids")
+    if (path, added_tokens) not in encoders:
+        encoders[path, added_tokens] = Encoder(path, added_tokens)
+    encoder = encoders[path, added_tokens]
     seq = 0
     for b in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))

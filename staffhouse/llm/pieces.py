@@ -1,6 +1,12 @@
 """Cutting texts into units that a byte-level BPE pre-tokenizer treats independently."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 MARKS = ".,;:!?"
 
 
@@ -57,3 +63,42 @@ def units(text: str) -> list[str]:
         else:
             add(" " + x)
     return out
+
+
+LINE_FEED = "\x00"       # stands for it while texts are split at spaces
+#: A piece after a space or a line feed is certainly cut there as well when it is split as a whole text is, if it
+#: begins with a letter or a printable ASCII character and ends without white space.
+PLAIN = r"^\x00?[!-~\pL]"
+
+
+@dataclass
+class Pieces:
+    """Texts split at spaces and line feeds, their distinct pieces numbered."""
+    offsets: np.ndarray         # text i has the pieces offsets[i] to offsets[i + 1], its head first
+    at: np.ndarray              # number of each piece; that of a head means nothing
+    text: list[str]             # of each number with ``plain``, with the space or line feed before it
+    plain: np.ndarray           # which numbers may be taken alone
+    heads: list[str]            # what each text has before its first space or line feed
+    slow: np.ndarray            # texts with a piece that might not be independent: cut these by ``units``
+
+
+def split(texts: pa.Array, apart: pa.Array | None = None) -> Pieces:
+    """Pieces of all texts, split and numbered in Arrow, so that Python only meets the distinct ones. Texts of ``apart`` are
+    among the slow ones."""
+    own = pc.match_substring(texts, LINE_FEED)
+    own = own if apart is None else pc.or_(own, apart)
+    lists = pc.split_pattern(pc.replace_substring(texts, "\n", " " + LINE_FEED), " ")
+    offsets = lists.offsets.to_numpy()
+    coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    offsets = offsets - offsets[0]
+    at, distinct = coded.indices.to_numpy(), coded.dictionary
+    plain = pc.and_(pc.match_substring_regex(distinct, PLAIN), pc.equal(pc.utf8_rtrim_whitespace(distinct), distinct))
+    whole = pc.if_else(pc.starts_with(distinct, LINE_FEED), pc.replace_substring(distinct, LINE_FEED, "\n", max_replacements=1),
+                       pc.binary_join_element_wise(pa.scalar(""), distinct, pa.scalar(" ")))
+    is_plain = plain.to_numpy(zero_copy_only=False)
+    first = offsets[:-1]
+    heads = distinct.take(pa.array(at[first])).to_pylist()
+    bad = ~is_plain[at]
+    bad[first] = [h[-1:].isspace() for h in heads]
+    slow = own.to_numpy(zero_copy_only=False) | (np.add.reduceat(bad, first, dtype=np.int64) > 0)
+    return Pieces(offsets, at, whole.filter(plain).to_pylist(), is_plain, heads, slow)
