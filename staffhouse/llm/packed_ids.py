@@ -32,52 +32,73 @@ END = 2
 REMEMBERED = 800_000
 
 
-def _counts(ids: np.ndarray) -> np.ndarray:
-    """Selector that would be used if a word began at each position: the one that holds most ids."""
-    bits = np.searchsorted(POWERS, ids, "right")
-    best = np.full(len(ids), 15, np.int8)
-    wide = np.zeros(len(ids) + 1, np.int32)
+_BITS = np.concatenate([[0], np.repeat(np.arange(1, 17), 1 << np.arange(16))]).astype(np.uint8)      # of each number below 2^16
+_STEP = np.array([WIDTHS[s][0] for s in range(16)])
+
+
+def _widths(ids: np.ndarray) -> np.ndarray:
+    """Bits that each id needs."""
+    if len(ids) and ids.max() >= len(_BITS):
+        return np.searchsorted(POWERS, ids, "right").astype(np.uint8)
+    return _BITS[ids]
+
+
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """For rows of widths the selector that would be used if a word began at each place: the one that holds most ids of
+    the row."""
+    best = np.full(bits.shape, 15, np.uint8)
+    widest, held = bits, 1          # the largest width of the ``held`` ids from each place on
     for sel in range(14, -1, -1):
         n, width = WIDTHS[sel]
-        if n > len(ids):
+        if n > bits.shape[1]:
             break
-        np.cumsum(bits > width, out=wide[1:])
-        fits = wide[n:] == wide[:-n]
+        for k in range(held, n):
+            widest = np.maximum(widest[:, :-1], bits[:, k:])
+        held = n
+        fits = widest <= width
         if not fits.any():
             break           # what does not fit here fits no longer and narrower word either
-        best[:len(fits)][fits] = sel
+        best[:, :fits.shape[1]][fits] = sel
     return best
 
 
+def _blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all blocks, and how many each block has. Blocks are walked side by side."""
+    blocks = -(-len(ids) // BLOCK)
+    bits = np.full(blocks * BLOCK, 255, np.uint8)           # beyond the last id nothing fits
+    bits[:len(ids)] = _widths(ids)
+    best = _selectors(bits.reshape(blocks, BLOCK)).ravel()
+    at = np.arange(blocks) * BLOCK
+    end = np.minimum(at + BLOCK, len(ids))
+    starts, sels = [], []
+    while len(at):
+        sel = best[at]
+        starts.append(at)
+        sels.append(sel)
+        at = at + _STEP[sel]
+        going = at < end
+        at, end = at[going], end[going]
+    starts, sels = np.concatenate(starts), np.concatenate(sels)
+    order = np.argsort(starts)
+    starts, sels = starts[order], sels[order]
+    out = sels.astype(np.uint64) << np.uint64(60)
+    for s in np.unique(sels):
+        n, width = WIDTHS[int(s)]
+        if width:
+            rows = np.flatnonzero(sels == s)
+            word = out[rows]
+            for k in range(n):
+                word |= ids[starts[rows] + k].astype(np.uint64) << np.uint64(k * width)
+            out[rows] = word
+    return out, np.bincount(starts // BLOCK, minlength=blocks)
+
+
 def pack(ids: np.ndarray) -> bytes:
     """One segment. Ids from 0 to 2^60 - 1."""
     ids = np.asarray(ids, np.int64)
-    words, word_at, id_at = [], [], []
-    done = 0
-    for low in range(0, len(ids), BLOCK):
-        part = ids[low:low + BLOCK]
-        take = _counts(part)
-        at, sel, starts = 0, [], []
-        step = [WIDTHS[s][0] for s in range(16)]
-        for_take = take.tolist()
-        while at < len(part):
-            starts.append(at)
-            sel.append(for_take[at])
-            at += step[for_take[at]]
-        sel, starts = np.array(sel), np.array(starts)
-        out = sel.astype(np.uint64) << np.uint64(60)
-        for s in np.unique(sel):
-            n, width = WIDTHS[int(s)]
-            if width:
-                rows = np.flatnonzero(sel == s)
-                body = part[starts[rows, None] + np.arange(n)].astype(np.uint64)
-                out[rows] |= np.bitwise_or.reduce(body << (np.arange(n, dtype=np.uint64) * np.uint64(width)), axis=1)
-        word_at.append(done)
-        id_at.append(low)
-        done += len(out)
-        words.append(out)
-    head = np.array([MAGIC, len(ids), len(word_at)], "<u8")
-    return b"".join([head.tobytes(), np.array(word_at, "<u8").tobytes(), np.array(id_at, "<u8").tobytes(), *(w.astype("<u8").tobytes() for w in words)])
+    words, count = _blocks(ids) if len(ids) else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    head = np.array([MAGIC, len(ids), len(count)], "<u8")
+    return b"".join([head.tobytes(), (np.cumsum(count) - count).astype("<u8").tobytes(), (np.arange(len(count)) * BLOCK).astype("<u8").tobytes(), words.astype("<u8").tobytes()])
 
 
 def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
@@ -202,7 +223,7 @@ class Encoder:
         return np.insert(ids, ends, END), np.diff(ends, prepend=0) + 1
 
 
-SEGMENT_DOCUMENTS, SEGMENT_BYTES = 4000, 8 << 20
+SEGMENT_DOCUMENTS, SEGMENT_BYTES = 4000, 16 << 20
 
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str, added_tokens: bool) -> Iterator[pa.RecordBatch]:
