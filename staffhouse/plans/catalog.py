@@ -107,6 +107,15 @@ def _l(spark, sf_dir) -> Lineage:
 
 def q_contract_end_dates(spark, d): return _l(spark, d).filled
 def q_salary_months(spark, d): return _l(spark, d).salary
+def q_salary_months_repeated(spark, d):
+    """Salary months where every seventh contract is listed again with another amount and a later end, every
+    fourteenth a third time for another person: one row per (contract, month) of rows that really repeat."""
+    once = _l(spark, d).filled
+    again = once.where("contract_id % 7 = 0").withColumns({"salary_amount": F.col("salary_amount") + 100, "end_date": F.add_months("end_date", 3)})
+    other = once.where("contract_id % 14 = 0").withColumn("employee_id", F.col("employee_id") - 1)
+    return M.salary_payment(once.unionByName(again).unionByName(other))
+
+
 def q_benefit_months(spark, d): return _l(spark, d).benefit
 def q_payments_fact(spark, d): return _l(spark, d).payments
 def q_employees_dim(spark, d): return _l(spark, d).dim_employees
@@ -390,6 +399,7 @@ def q_dq_declared_suite(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_end_dates": q_contract_end_dates,
     "salary_months": q_salary_months,
+    "salary_months_repeated": q_salary_months_repeated,
     "benefit_months": q_benefit_months,
     "payments_fact": q_payments_fact,
     "union_relations": q_union_relations,
@@ -568,6 +578,15 @@ where k not in ('id', 'employee_id')"""
 ORACLE: dict[str, str] = {
     "contract_end_dates": O.sql("select * from filled", "filled"),
     "salary_months": O.sql("select * from salary", "salary"),
+    "salary_months_repeated": O.sql("""
+select employee_id as factorial_id, contract_id, salary_amount as amount, d as date, 'Salary' as type, 'Salary' as name
+from (select *, row_number() over (partition by contract_id, d order by employee_id, salary_amount, date, end_date) as rn
+      from (select contract_id, employee_id, salary_amount, date, end_date,
+                   cast(unnest(generate_series(cast(date as timestamp), cast(end_date as timestamp), interval 1 month)) as date) as d
+            from (select contract_id, employee_id, salary_amount, date, end_date from filled
+                  union all select contract_id, employee_id, salary_amount + 100, date, cast(end_date + interval 3 month as date) from filled where contract_id % 7 = 0
+                  union all select contract_id, employee_id - 1, salary_amount, date, end_date from filled where contract_id % 14 = 0) a) b) c
+where rn = 1""", "filled"),
     "benefit_months": O.sql("select * from benefit", "benefit"),
     "payments_fact": O.sql("select * from payments", "payments"),
     "union_relations": """

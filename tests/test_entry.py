@@ -1,3 +1,6 @@
+import sys
+from importlib.util import find_spec
+
 import duckdb
 import pytest
 
@@ -18,7 +21,17 @@ def test_every_query_has_an_oracle():
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("key", ["contract_end_dates", "salary_months", "absence_islands", "working_hours",
+def test_core_queries_do_without_what_the_others_need(monkeypatch):
+    if find_spec("staffhouse.llm") is None:
+        pytest.skip("the subpackage is not there")
+    monkeypatch.setitem(sys.modules, "staffhouse.llm.queries", None)        # its import fails
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(queries()) == set(QUERIES)
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(oracle_sql()) == set(ORACLE)
+
+
+@pytest.mark.parametrize("key", ["salary_months_repeated", "contract_end_dates", "salary_months", "absence_islands", "working_hours",
                                  "custom_pivot", "export_anonymise", "dq_contracts_dim"])
 def test_query_matches_oracle(spark, key):
     con = duckdb.connect()
