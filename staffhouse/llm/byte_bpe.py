@@ -22,7 +22,7 @@ from staffhouse.llm.common import held, texts
 from staffhouse.llm.pieces import split, units
 
 LONG_WORD = 256         # longer words take the heap below: a round of the query costs their whole length
-REMEMBERED = 200_000    # units of each of the two generations that a task remembers; only speed depends on it
+REMEMBERED = 200_000    # pieces of each of the two generations that a worker remembers; only speed depends on it
 WORDS, BYTES = 20_000, 300_000      # of one query, which bounds its memory
 DOCUMENTS, PART = 3000, 4 << 20     # documents and bytes of text that are taken at a time
 BITS = 20               # pair keys and positions are packed; ranks stay far below 2^20
@@ -47,7 +47,8 @@ from s join vocab v on v.rank = s.t where not live group by w order by w
 class Codec:
     """Ranks of a vocabulary file, the merge table made from them, and what was encoded so far."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.token = {r: t for t, r in self.ranks.items()}
@@ -125,7 +126,7 @@ class Codec:
     def learn(self, pieces: set[str]) -> None:
         """Remember the pieces and their words, encoded and decoded. The older generation is forgotten when the younger one is full:
         what is common stays, what occurred once goes."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.before, self.known = self.known, {}
         new = self._missing(pieces)
         words = [self.pattern.findall(u) for u in new]
@@ -158,16 +159,18 @@ class Codec:
             yield joined, int(n[at].sum()) + (head[1] if head else 0), back
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, remembered: int = REMEMBERED) -> Codec:
     """One for each Python worker: the merge table is built once, pieces stay known across tasks."""
     codecs = held("byte_bpe")
-    if (path, pattern) not in codecs:
-        codecs[path, pattern] = Codec(path, pattern)
-    return codecs[path, pattern]
+    key = path, pattern, remembered
+    if key not in codecs:
+        codecs.clear()
+        codecs[key] = Codec(*key)
+    return codecs[key]
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, whole: bool) -> Iterator[pa.RecordBatch]:
-    c = codec(path, pattern)
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, whole: bool, remembered: int) -> Iterator[pa.RecordBatch]:
+    c = codec(path, pattern, remembered)
     for b in batches:
         size = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False))
         low = 0
@@ -189,12 +192,13 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, whole:
             low = high
 
 
-def encode(docs: DataFrame, path: str, pattern: str, whole: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, whole: bool = True, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with ``whole``, ids and decoded (bytes), for every row.
 
     ``path`` is a rank file that every executor has; special tokens are ordinary text. Null and empty
     texts have no ids. Rows are independent: repeated rows and ids give repeated results, extra columns
-    are ignored, an empty table gives no rows. Words over ``LONG_WORD`` bytes are contracted in the same
+    are ignored, an empty table gives no rows. A worker remembers up to about three times ``remembered`` pieces (some
+    350 bytes each), which only its speed depends on. Words over ``LONG_WORD`` bytes are contracted in the same
     order by a heap, as one round of the query for each merge would cost their length squared."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if whole else "")
-    return texts(docs).mapInArrow(lambda it: _encoded(it, path, pattern, whole), schema)
+    return texts(docs).mapInArrow(lambda it: _encoded(it, path, pattern, whole, remembered), schema)
