@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from staffhouse.session import materialise
 
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES, SPARK_BATCH = 16 << 20, "67108864b"
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, as ``--py-files`` would, once a session, and let Arrow batches be smaller than
     Spark's 64 MB: whole texts go through them, and each is held several times on its way."""
     batch = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(batch, "67108864b").rstrip("b")) == 64 << 20:         # Spark's default; another value is the user's
+    if spark.conf.get(batch, SPARK_BATCH) == SPARK_BATCH:           # another value is the user's
         spark.conf.set(batch, str(BATCH_BYTES))
     sc = spark.sparkContext
     if not any(f.endswith("/staffhouse.zip") for f in sc.listFiles):
