@@ -24,7 +24,7 @@ from staffhouse.llm.pieces import split, units
 LONG_WORD = 256         # longer words take the heap below: a round of the query costs their whole length
 REMEMBERED = 200_000    # pieces of each of the two generations that a worker remembers; only speed depends on it
 WORDS, BYTES = 20_000, 300_000      # of one query, which bounds its memory
-DOCUMENTS, PART = 3000, 4 << 20     # documents and bytes of text that are taken at a time
+DOCUMENTS, PART = 3000, 8           # documents that are taken at a time, and bytes of text for each piece to remember
 BITS = 20               # pair keys and positions are packed; ranks stay far below 2^20
 
 # s: word, position, token, next position, next token; a word's rows of a round are dead once it was contracted again.
@@ -175,7 +175,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, whole:
         size = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False))
         low = 0
         while low < b.num_rows:
-            high = min(low + DOCUMENTS, max(low + 1, int(np.searchsorted(size, (size[low - 1] if low else 0) + PART, "right"))))
+            high = min(low + DOCUMENTS, max(low + 1, int(np.searchsorted(size, (size[low - 1] if low else 0) + max(1 << 20, remembered * PART), "right"))))
             n, sha, back, ids, raws = [], [], [], [], []
             for joined, count, raw in c.encode(b.column(1).slice(low, high - low)):
                 n.append(count)
