@@ -86,7 +86,7 @@ def test_components_of_paths_stars_and_loops(spark):
 
 def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "byte_bpe"]
-    assert sorted(int(k[2:].split("_")[0]) for k in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_ORACLE) <= set(LLM_QUERIES)
 
 
