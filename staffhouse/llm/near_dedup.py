@@ -23,6 +23,7 @@ from staffhouse.llm.ngram_join import bitmap, folded
 
 SHINGLE, SYMBOLS, CHUNKS = 5, 64, 16
 PER = SYMBOLS // CHUNKS
+ROOM = 4096                     # shingles a row that a block is meant for: of longer texts fewer rows share one
 LIMIT = 2 * CHUNKS - 1          # a pair at similarity 0.75 exceeds it about once in 100,000
 SHARE = (75, 100)               # linked when 100 * common >= 75 * union
 _U = np.uint64
@@ -162,6 +163,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]
         new = (col["key"][1:] != col["key"][:-1]) | (col["i"][1:] != col["i"][:-1]) | (col["j"][1:] != col["j"][:-1])
         cuts = [0, *(np.flatnonzero(new) + 1).tolist(), *([rows.num_rows] if b is None else [])]
         col["sig"] = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        col["bits"] = np.array([*rows["bits"].to_pylist(), None], object)[:-1]
         for low, high in zip(cuts, cuts[1:]):
             yield {k: v[low:high] for k, v in col.items()}
         # the last group may go on in the next batch; it has two blocks at most
@@ -174,6 +176,11 @@ def _candidates(g: dict[str, np.ndarray], x: int, among: np.ndarray) -> np.ndarr
     return y[(g["sig"][y] != g["sig"][x]).sum(axis=1) <= LIMIT] if len(y) else y
 
 
+def _left_open(g: dict[str, np.ndarray], x: int, among: np.ndarray) -> np.ndarray:
+    """Of the rows ``among`` those that the parity bitmaps do not rule out as links of row x."""
+    return among[may_link(np.full(len(among), g["n"][x]), g["n"][among], [g["bits"][x]] * len(among), g["bits"][among].tolist())] if len(among) else among
+
+
 def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     x = np.concatenate([np.empty(0, np.int64), *(f[0] for f in found)])
     y = np.concatenate([np.empty(0, np.int64), *(f[1] for f in found)])
@@ -191,14 +198,15 @@ def _central(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             run[k] = np.where(s[k] == s[k - 1], run[k - 1] + 1, 1)
         common = s[run.argmax(axis=0), np.arange(SYMBOLS)]
         p = int((g["sig"] != common).sum(axis=1).argmin())
-        y = _candidates(g, p, np.arange(m))
+        y = _left_open(g, p, _candidates(g, p, np.arange(m)))
         found.append((np.full(len(y), g["rep"][p]), g["rep"][y]))
     yield _pairs(found)
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of two blocks (or within one) that may be linked and are in different components. A pair
-    that shares several keys is given back under the first of them only."""
+    """All pairs of two blocks (or within one) that may be linked, by signature and by bitmap, and are in different
+    components. A pair that shares several keys is given back under the first of them only. A large group of texts
+    that are alike but not similar enough is ruled out here, in the block: its pairs never become rows."""
     found = []
     for g in _groups(batches):
         i, j = g["i"][0], g["j"][0]
@@ -210,7 +218,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 same = (g["sig"][y] == g["sig"][x]).reshape(len(y), CHUNKS, PER)
                 # key c * PER + s is shared if all symbols of chunk c but s agree
                 shared = (same.sum(axis=2, keepdims=True) - same == PER - 1).reshape(len(y), SYMBOLS)
-                y = y[shared.argmax(axis=1) == here]
+                y = _left_open(g, x, y[shared.argmax(axis=1) == here])
             if len(y):
                 found.append((np.full(len(y), g["rep"][x]), g["rep"][y]))
         if len(found) > 1000:
@@ -220,22 +228,25 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _open(buckets: DataFrame, comp: DataFrame, reps: DataFrame, block: int, name: str) -> DataFrame:
-    """Members of the buckets that still hold several components, dealt to blocks of about ``block``.
-    A bucket of three is done: its smallest and its largest member were compared with all."""
+    """Members of the buckets that still hold several components, dealt to blocks of about ``block``, of long texts to
+    smaller ones. A bucket of three is done: its smallest and its largest member were compared with all."""
     member = buckets.join(comp.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-    still = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m"))
-             .filter("lo < hi and m > 3").select("key", F.ceil(F.col("m") / block).cast("int").alias("nb")))
-    member = member.join(still, "key").join(reps.select("rep", "sig", F.col("n_shingles").alias("n")), "rep")
+    still = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("all"))
+             .filter("lo < hi and m > 3").select("key", F.ceil(F.greatest(F.col("m"), F.col("all") / ROOM) / block).cast("int").alias("nb")))
+    member = member.join(still, "key").join(reps.select("rep", "sig", "bits"), "rep")
     return stage(member.withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("nb")).cast("int")), name)
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
     key = ["key", "i", "j"]
-    return rows.select(*key, "own", "rep", "c", "n", "sig").repartition(*key).sortWithinPartitions(*key)
+    return rows.select(*key, "own", "rep", "c", "n", "sig", "bits").repartition(*key).sortWithinPartitions(*key)
 
 
-def _as_links(comp: DataFrame) -> DataFrame:
-    return comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with further links; without any they are what they were."""
+    if links.isEmpty():
+        return comp
+    return components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
 
 
 def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
@@ -253,7 +264,7 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
                  .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bits").alias("bits")), "op10_reps")
     posted = reps.select("rep", "sig").mapInArrow(_post, "key long, rep long")
     shared = posted.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
-    buckets = stage(posted.join(shared, "key"), "op10_buckets")
+    buckets = stage(posted.join(shared, "key").join(reps.select("rep", F.col("n_shingles").alias("n")), "rep"), "op10_buckets")
     pairs = (buckets.select(F.explode(F.array(F.struct(F.col("rep").alias("a"), F.col("lo").alias("b")),
                                               F.struct(F.col("hi").alias("a"), F.col("rep").alias("b")))).alias("p"))
              .select("p.*").filter("a <> b").distinct())
@@ -265,15 +276,15 @@ def near_duplicates(docs: DataFrame, block: int = 1024) -> DataFrame:
     twice = member.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     links = stage(_linked(pairs, reps, bodies).unionByName(twice), "op10_links")
     comp = components(links)
-    buckets = buckets.select("key", "rep")
+    buckets = buckets.select("key", "rep", "n")
     rows = _open(buckets, comp, reps, block, "op10_open").withColumns({"i": F.col("own"), "j": F.col("own")})
     central = _linked(_dealt(rows).mapInArrow(_central, "a long, b long").distinct(), reps, bodies)
-    comp = components(_as_links(comp).unionByName(stage(central, "op10_central")))
+    comp = _joined(comp, stage(central, "op10_central"))
     rows = _open(buckets, comp, reps, block, "op10_rest")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     more = _linked(_dealt(rows).mapInArrow(_across, "a long, b long").distinct(), reps, bodies)
-    final = components(_as_links(comp).unionByName(stage(more, "op10_more")))
+    final = _joined(comp, stage(more, "op10_more"))
     empty = sets.filter("n_shingles = 0").select("doc_id", F.col("doc_id").alias("rep"), "n_shingles")
     return (member.unionByName(empty).join(final.toDF("rep", "c"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("c", "rep").alias("component_id"))

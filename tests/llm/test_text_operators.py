@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,43 @@ def test_every_pair_within_the_limit_shares_a_key():
         assert (near_dedup.chunk_keys(np.stack([a, b])) == near_dedup.chunk_keys(np.stack([a, a]))).all(axis=0).any()
 
 
+def alike(rng, n):
+    """``n`` texts of one origin, most of them alike but not similar enough for a link, and near copies of the first."""
+    base = prose(rng, 200).split()
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(len(words)), 6):
+            words[at] = f"own{i}x{at}"
+        rows.append((10 * i, " ".join(words)))
+    return rows + [(10 * i + 1, rows[i][1] + " more") for i in range(0, n, 7)]
+
+
+def block_of(rows):
+    ids, texts = zip(*rows)
+    sets = pa.Table.from_batches(near_dedup._sets([pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts)], names=["doc_id", "text"])])).to_pydict()
+    # one bucket: every pair in it is to be given back under this key, so all symbols of chunk 0 but the first are made equal
+    sig = [np.concatenate([[k, 7, 7, 7], np.frombuffer(s, np.uint16)[4:]]).astype(np.uint16).tobytes() for k, s in enumerate(sets["sig"])]
+    n, none = len(ids), [0] * len(ids)
+    return pa.record_batch({"key": pa.array(none, pa.int64()), "i": pa.array(none, pa.int32()), "j": pa.array(none, pa.int32()), "own": pa.array(none, pa.int32()), "rep": pa.array(ids, pa.int64()),
+                            "c": pa.array(ids, pa.int64()), "n": pa.array(sets["n_shingles"], pa.int64()), "sig": pa.array(sig, pa.binary()), "bits": pa.array(sets["bits"], pa.binary())})
+
+
+def test_pairs_that_cannot_be_links_stay_in_their_block():
+    rows = alike(random.Random(5), 80)
+    linked = {(a, b) for a, b in ((max(x, y), min(x, y)) for x in dict(rows) for y in dict(rows)) if a == b + 1 and a % 10 == 1}
+    got = [tuple(r.values()) for b in near_dedup._across(iter([block_of(rows)])) for r in b.to_pylist()]
+    assert len(got) == len(set(got)) and linked <= set(got)
+    assert len(got) < len(rows) * 4     # of 92 * 91 / 2 pairs
+
+
+def test_alike_texts_in_small_blocks_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "ROOM", 60)         # blocks are cut by the texts' lengths as well
+    rows = alike(random.Random(6), 30)
+    got = {tuple(r) for r in near_dedup.near_duplicates(documents(spark, rows), block=8).collect()}
+    assert got == brute_components(rows)
+
+
 # --- repeated lines --------------------------------------------------------------------------
 
 def brute_line_dedup(rows, least):
