@@ -527,6 +527,24 @@ def test_quality_model_learns_an_interaction():
     assert ((model.score(x[3000:]) > 0.5) == y[3000:]).mean() > 0.9
 
 
+def test_toxicity_fit_holds_the_tables_of_one_width_and_gives_memory_back(spark, monkeypatch):
+    docs, labels, _ = labelled(spark, 300, "toxic", lambda r: prose(r, 30) + " grimble " + prose(r, 20), lambda r: prose(r, 50))
+    held, tables, trimmed, rng = [], toxicity_cnn.Cnn.tables, [], np.random.default_rng(2)
+
+    def recorded(self, *rows, **widths):
+        tables(self, *rows, **widths)
+        held.append(sum(t.nbytes for k in self.t.values() for t in k))
+    monkeypatch.setattr(toxicity_cnn.Cnn, "tables", recorded)
+    monkeypatch.setattr(toxicity_cnn, "give_back", lambda: trimmed.append(1))
+    model = toxicity_cnn.fit(docs, labels, F.lit(True))
+    assert trimmed and not model.t
+    assert max(held) <= 3 * toxicity_cnn.BUCKETS * toxicity_cnn.FILTERS * 4     # all six are twice as much
+    texts = [rng.integers(0, toxicity_cnn.BUCKETS, (n, 2)).astype(np.int32) for n in (0, 1, 2, 3, 40, 9000)]
+    z = model.logits(texts)
+    model.tables()
+    assert z.tolist() == [model.logit(t) for t in texts]
+
+
 def test_toxicity_model(spark):
     docs, labels, truth = labelled(spark, 500, "toxic", lambda r: prose(r, 30) + " grimble " + prose(r, 20), lambda r: prose(r, 50))
     got = toxicity_cnn.score_toxicity(docs, labels).collect()
