@@ -195,8 +195,9 @@ def _write(spark: SparkSession, files: list[Row], conf: ExportConf, on_step: Cal
 def start_ingest(spark: SparkSession, conf: ExportConf, on_step: Callable[[str], None] = lambda step: None) -> StreamingQuery:
     """*Action*: process every new export file once and stop."""
     # a replayed batch may name files that are removed already; only names are taken from the stream
+    # a pattern, not the folder: Spark would refuse a checkpoint whose last batch was read where the root lay before
     stream = (spark.readStream.format("binaryFile").option("ignoreMissingFiles", "true").schema("path string, modificationTime timestamp, length long, content binary")
-              .load(f"{conf.root}/raw/{conf.name}/").select("path"))
+              .load(f"{conf.root}/raw/{conf.name}/*").select("path"))
     return (stream.writeStream.foreachBatch(lambda df, bid: process_export(df, bid, conf, on_step))
             .option("checkpointLocation", conf.checkpoint)
             .trigger(availableNow=True).start())
