@@ -558,6 +558,26 @@ def test_toxicity_model(spark):
     assert toxicity_cnn.score_toxicity(documents(spark, []), labels).count() == 0
 
 
+def test_toxicity_is_learnt_from_all_labelled_rows(spark):
+    """One of 800 rare words tells whether a text is toxic: a sample of ``bound`` rows lacks most of them."""
+    rng = random.Random(5)
+    rare = ["".join(rng.choice("bcdfghjkmpqvwxz") for _ in range(7)) for _ in range(800)]
+    rows, toxic = [], {}
+    for i in range(6000):
+        toxic[i] = int(rng.random() < 0.5)
+        word = rare[2 * rng.randrange(400) + toxic[i]]
+        rows.append((i, prose(rng, 4) + " " + word + " " + prose(rng, 4)))
+    labels = [(i, 0, y) for i, y in toxic.items()] + [(i, 0, 1 - toxic[i]) for i in range(0, 40, 4) for _ in range(2) if toxic[i]] + [(30_000, 0, 1), (None, 0, 1), (7, 0, None)]
+    docs, labels = documents(spark, [*rows, rows[3], (None, "kill"), (20_000, None)]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity_cnn.score_toxicity(docs, labels, bound=600).collect()}
+    held = [r for i, r in got.items() if i in toxic and r.held_out]
+    assert len(got) == 6002 and sum(r.predicted == toxic[r.doc_id] for r in held) > 0.9 * len(held)
+    again = {r.doc_id: r for r in toxicity_cnn.score_toxicity(docs.repartition(5), labels.repartition(3), bound=600).collect()}
+    assert {i: r.score for i, r in got.items()} == {i: r.score for i, r in again.items()}
+    one = toxicity_cnn.score_toxicity(docs, labels.filter("toxic = 0"), bound=200)
+    assert {r.predicted for r in one.collect()} == {0}
+
+
 def test_language_is_told_from_the_text():
     buckets = toxicity_cnn.Buckets()
     for name, text in (("en", "The cat and the dog"), ("de", "Der Hund und die Katze"), ("fr", "Le chat et les chiens"), ("es", "El gato y los perros"), ("other", "")):
